@@ -82,7 +82,7 @@ def with_neighbour(
     carried = edges.select(
         *group_by, "_bucket", shift("_edge").over(between).alias("_edge"),
     ).filter("_edge is not null").select(
-        *group_by, "_bucket", F.col("_edge.v").cast(kind).alias(f"_value"), F.lit(True).alias("_carried")
+        *group_by, "_bucket", F.col("_edge.v").cast(kind).alias("_value"), F.lit(True).alias("_carried")
     )
     own = rows.select(*df.columns, "_bucket", F.col(column).alias("_value"), F.lit(False).alias("_carried"))
     merged = own.unionByName(carried, allowMissingColumns=True)
@@ -104,7 +104,7 @@ def dense_rank_desc(df: DataFrame, measure: str, name: str, width: int = 4096) -
     offsets = values.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select(
         "_b", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
     )
-    ranks = inside.join(offsets, F.col("_b").eqNullSafe(offsets["_b"]) if False else "_b").select(
+    ranks = inside.join(offsets, "_b").select(
         measure, (F.col("_r") + F.col("_above")).cast("int").alias(name)
     )
     return df.join(ranks, measure).select(*df.columns, name)
