@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.ordered import with_row_number
+
 
 class QualityGateError(RuntimeError):
     """Raised when a gate fails; carries the counts that failed it."""
@@ -194,15 +196,14 @@ def quarantine_review(quarantine: DataFrame, since: Column) -> DataFrame:
     )
 
 
-def duplicate_preview(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    """Every row beyond the first of its key, with its rank.
+def duplicate_preview(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Every row beyond the first of its key in ascending order, with its rank.
 
     Keys that occur once are dropped first by a pre-counted semi join, so only real
     duplicates are ranked.
     """
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.join(repeated, list(keys), "left_semi").withColumn("rn", F.row_number().over(window)).filter("rn > 1")
+    return with_row_number(df.join(repeated, list(keys), "left_semi"), keys, order_by, "rn").filter("rn > 1")
 
 
 def pass_rate(results: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
