@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.dates import add_periods, truncate
 from tidemark.operators.assertions.core import Expr, bounds, equal_expression, expression_between, failing, restrict
+from tidemark.operators.ordered import with_running_total
 
 GroupBy = Sequence[str] | None
 
@@ -92,13 +93,27 @@ def exact_quantile(df: DataFrame, column: str, quantile: float, group_by: GroupB
     """Interpolated quantile per group, from value counts.
 
     Values are reduced to (group, value, count) with map-side combining, then the two values
-    around the target position are located by a running count, so raw rows are never gathered.
+    around the target position are located by a running count that splits large groups, so no
+    task ever holds all values of a group.
     """
     keys = list(group_by or [])
     counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    return counts.groupBy(*keys).agg(F.expr(f"percentile(_v, {quantile}D, _n)").alias("expression"))
+    running = with_running_total(counts, keys, ["_v"], F.col("_n"), "_upto")
+    if keys:
+        totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
+        placed = running.join(totals, keys)
+    else:
+        placed = running.withColumn("_rows", counts.select(F.sum("_n")).scalar())
+    position = (F.col("_rows") - 1) * F.lit(float(quantile))
+    value = F.col("_v").cast("double")
+    ends = placed.groupBy(*keys).agg(
+        F.min(F.when(F.col("_upto") > F.floor(position), value)).alias("_low"),
+        F.min(F.when(F.col("_upto") > F.ceil(position), value)).alias("_high"),
+        F.max(position - F.floor(position)).alias("_share"),
+    )
+    return ends.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias("expression"))
 
 
 def expect_column_quantile_values_to_be_between(df: DataFrame, column: str, quantile: float, min_value=None, max_value=None, group_by: GroupBy = None, row_condition: Expr | None = None, strictly: bool = False) -> DataFrame:

@@ -91,33 +91,41 @@ def with_neighbour(
     return merged.withColumn(name, shift("_value").over(window)).filter("not _carried").select(*df.columns, name)
 
 
-def with_row_number(
-    df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], name: str,
+def with_running_total(
+    df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], weight: Column, name: str,
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """Add the ascending row number within each group; hot groups are numbered bucket by bucket."""
+    """Add the running total of a weight within each group; hot groups are summed bucket by bucket."""
     sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows)
     hot = sizes.select(*group_by) if group_by else sizes
+    weighed = df.withColumn("_w", weight)
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group_by).orderBy(*order_by)))
-    rows = _bucketed(df, group_by, order_by[0], hot)
+        window = upto(Window.partitionBy(*group_by).orderBy(*order_by))
+        return weighed.withColumn(name, F.sum("_w").over(window)).select(*df.columns, name)
+    rows = _bucketed(weighed, group_by, order_by[0], hot)
     before = Window.partitionBy(*group_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*group_by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        rows.groupBy(*group_by, "_bucket").agg(F.sum("_w").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .filter("_before > 0")
         .select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_by)], F.col("_bucket").alias("_b"), "_before")
     )
     same = [F.col(f"_g{i}").eqNullSafe(F.col(g)) for i, g in enumerate(group_by)]
-    inside = Window.partitionBy(*group_by, "_bucket").orderBy(*order_by)
+    inside = upto(Window.partitionBy(*group_by, "_bucket").orderBy(*order_by))
     return (
-        rows.withColumn("_r", F.row_number().over(inside))
+        rows.withColumn("_r", F.sum("_w").over(inside))
         .join(offsets, [*same, F.col("_b") == F.col("_bucket")], "left")
-        .withColumn(name, (F.col("_r") + F.coalesce("_before", F.lit(0))).cast("bigint"))
+        .withColumn(name, F.col("_r") + F.coalesce("_before", F.lit(0)))
         .select(*df.columns, name)
     )
 
 
+def with_row_number(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], name: str, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Add the ascending row number within each group."""
+    return with_running_total(df, group_by, order_by, F.lit(1).cast("bigint"), name, hot_group_rows)
+
+
 def dense_rank_desc(df: DataFrame, measure: str, name: str, width: int = 4096) -> DataFrame:
     """Global dense rank, highest value first, without a single-task window over the rows.
 
