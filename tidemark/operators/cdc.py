@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.decimals import shift_scale, unscaled_integer
+from tidemark.functions.decimals import Encoded, with_decimals
 from tidemark.sources.contracts import Field, TableConfig
 
 META_COLUMNS = ("op", "event_time", "event_ts_ms", "bronze_offset", "bronze_partition", "kafka_timestamp")
@@ -48,43 +48,46 @@ def first_json(paths: Sequence[str], text: str = "bronze_value") -> Column:
     return F.coalesce(*[F.get_json_object(F.col(text), p) for p in paths])
 
 
-def _micros(field: Field) -> Column:
-    return F.timestamp_micros(first_present(field.source_paths).try_cast("bigint"))
-
-
-def _decimal_bytes(field: Field) -> Column:
-    return shift_scale(
-        unscaled_integer(first_present(field.source_paths)), F.lit(field.scale), field.precision, field.scale
-    )
-
-
-def _decimal_paths(field: Field) -> Column:
+def _row_scale(field: Field) -> Column | None:
+    if not field.json_scale_paths:
+        return None
     fallback = F.lit(field.scale if field.default_scale is None else field.default_scale)
-    scale = F.coalesce(first_json(field.json_scale_paths).try_cast("int"), fallback) if field.json_scale_paths else fallback
-    return shift_scale(unscaled_integer(first_json(field.json_value_paths)), scale, field.precision, field.scale)
+    return F.coalesce(first_json(field.json_scale_paths).try_cast("int"), fallback)
 
 
 # Transform names accepted in table configurations.
-TRANSFORMS: dict[str, Callable[[Field], Column]] = {
+DIRECT: dict[str, Callable[[Field], Column]] = {
     "plain": lambda field: first_present(field.source_paths),
-    "epoch_micros_to_timestamp": _micros,
-    "decimal_from_debezium_bytes": _decimal_bytes,
-    "decimal_from_json_paths": _decimal_paths,
+    "epoch_micros_to_timestamp": lambda field: F.timestamp_micros(first_present(field.source_paths).try_cast("bigint")),
 }
+ENCODED: dict[str, Callable[[Field], Column]] = {
+    "decimal_from_debezium_bytes": lambda field: first_present(field.source_paths),
+    "decimal_from_json_paths": lambda field: first_json(field.json_value_paths),
+}
+
+
+def _encoded(field: Field) -> Encoded:
+    scale = _row_scale(field)
+    if scale is None and field.transform == "decimal_from_json_paths" and field.default_scale is not None:
+        scale = F.lit(field.default_scale)
+    return Encoded(field.target, ENCODED[field.transform](field), field.precision, field.scale, scale)
 
 
 def decode_events(events: DataFrame, config: TableConfig) -> DataFrame:
-    """All configured columns plus operation and ordering metadata, in one projection."""
-    unknown = [f.transform for f in config.fields if f.transform not in TRANSFORMS]
+    """All configured columns plus operation and ordering metadata."""
+    unknown = [f.transform for f in config.fields if f.transform not in DIRECT and f.transform not in ENCODED]
     if unknown:
         raise ValueError(f"unsupported transforms: {unknown}")
     parsed = parse_envelopes(events, config.fields)
-    return parsed.select(
-        *[TRANSFORMS[f.transform](f).alias(f.target) for f in config.fields],
-        "op",
-        F.timestamp_millis(F.col("ts_ms")).alias("event_time"),
-        F.col("ts_ms").alias("event_ts_ms"),
-        "bronze_offset",
-        "bronze_partition",
-        "kafka_timestamp",
+    direct = [DIRECT[f.transform](f).alias(f.target) for f in config.fields if f.transform in DIRECT]
+    rows = with_decimals(
+        parsed.select(
+            *direct,
+            "before", "after", "bronze_value", "op",
+            F.timestamp_millis(F.col("ts_ms")).alias("event_time"),
+            F.col("ts_ms").alias("event_ts_ms"),
+            "bronze_offset", "bronze_partition", "kafka_timestamp",
+        ),
+        [_encoded(f) for f in config.fields if f.transform in ENCODED],
     )
+    return rows.select(*[f.target for f in config.fields], *META_COLUMNS)

@@ -144,7 +144,7 @@ def faulty_landing(t: Tables) -> DataFrame:
         .when(F.col("class") == "P4", F.concat(text, F.lit(" }x")))
         .when(F.col("class") == "F1", F.replace(text, F.lit('"op":"c"'), F.lit('"op":"x"')))
         .when(F.col("class") == "F2", F.replace(text, F.lit('"table":"orders"'), F.lit('"table":""')))
-        .when(F.col("class") == "F3", F.replace(text, F.lit('"op":"c"'), F.lit('"op":"c","note":"a {brace} and \\\\" quote"')))
+        .when(F.col("class") == "F3", F.replace(text, F.lit('"op":"c"'), F.lit('"op":"c","note":"a {brace} and \\" quote"')))
         .otherwise(text)
     )
     return feed.join(origin, "message_key").withColumn("value", broken).select(
