@@ -28,14 +28,15 @@ def truncate(value: Column, period: str) -> Column:
 
 
 def boundaries_between(start: Column, end: Column, period: str) -> Column:
-    """Number of period boundaries crossed going from ``start`` to ``end``."""
+    """Number of period boundaries crossed going from ``start`` to ``end``; weeks turn on Sunday."""
     _check(period)
     if period in ("month", "quarter", "year"):
         months = lambda c: F.year(c) * 12 + F.month(c) - 1
         size = {"month": 1, "quarter": 3, "year": 12}[period]
         return (F.floor(months(end) / size) - F.floor(months(start) / size)).cast("bigint")
     if period == "week":
-        return (F.datediff(F.date_trunc("week", end), F.date_trunc("week", start)) / 7).cast("bigint")
+        sundays = lambda c: F.floor((F.unix_date(c.cast("date")) + 4) / 7)
+        return (sundays(end) - sundays(start)).cast("bigint")
     if period == "day":
         return F.datediff(end, start).cast("bigint")
     seconds = {"hour": 3600, "minute": 60, "second": 1}[period]

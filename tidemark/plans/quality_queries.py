@@ -295,16 +295,17 @@ def stream_drain_to_bronze(t: Tables) -> DataFrame:
     )
 
 
-@query("stream_keyed_upsert", CURRENT_ORDERS_SQL)
+@query("stream_keyed_upsert", f"SELECT * EXCLUDE (last_inserted_dt) FROM ({CURRENT_ORDERS_SQL})")
 def stream_keyed_upsert(t: Tables) -> DataFrame:
-    """Micro-batches in landing order, late events among them, give the batch result."""
-    table, source = scratch_path(t.spark, "silver"), scratch_path(t.spark, "landing")
-    feed.order_landing(t).repartition(6, "offset").write.json(source)
+    """Micro-batches in landing order, late events among them, with a compaction halfway."""
+    table, source, state = (scratch_path(t.spark, n) for n in ("silver", "landing", "state"))
+    rows = feed.order_landing(t)
     job = CurrentStateStream(feed.ORDERS, table, empty_orders(t).schema)
-    job.run(landing.normalise_landing(landing.landing_stream(t.spark, source, max_files_per_trigger=2)), scratch_path(t.spark, "state"))
-    return job.read(t.spark).drop("event_ts_ms", "last_inserted_dt", "last_updated_dt").join(
-        order_changes(t).select("order_id", F.col("event_time").alias("last_inserted_dt"), F.col("event_time").alias("last_updated_dt")), "order_id"
-    )
+    for late in (True, False):
+        rows.filter((F.col("offset") % 4 == 3) == late).repartition(4, "offset").write.mode("append").json(source)
+        job.run(landing.normalise_landing(landing.landing_stream(t.spark, source, max_files_per_trigger=2)), state)
+        job.compact(t.spark)
+    return job.read(t.spark).drop("event_ts_ms", "last_inserted_dt")
 
 
 @query("stream_dedupe_and_gate", """

@@ -50,58 +50,64 @@ class BronzeIngest:
 
 @dataclass(frozen=True)
 class CurrentStateStream:
-    """Keyed upsert of change events into a current-state table, version by version.
+    """Keyed upsert of change events into a current-state table.
 
-    Each batch reads the version before it and writes its own, so a replay gives the same
-    version. The event order is kept in the table, so a late event cannot undo a newer one; a
+    A micro-batch only writes its own latest change per key, so its cost follows the batch and
+    not the table. Reading merges the pending changes into the last compacted base; ``compact``
+    stores that merge as the next base and records it in a manifest, which is the only thing
+    readers trust. Event order is kept in the table, so a late event cannot undo a newer one; a
     deleted key leaves a marker for the same reason.
     """
 
     config: TableConfig
     path: str
     schema: T.StructType
-    gate: bool = True
 
     @property
     def _stored(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField("event_ts_ms", T.LongType()), T.StructField("_deleted", T.BooleanType())])
 
-    def _version(self, spark: SparkSession, before: int | None = None) -> int | None:
-        jvm = spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return None
-        found = []
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith("version=") and fs.exists(done):
-                found.append(int(name.split("=")[1]))
-        usable = [v for v in found if before is None or v < before]
-        return max(usable) if usable else None
-
-    def _read_version(self, spark: SparkSession, version: int | None) -> DataFrame:
-        if version is None:
+    def create(self, spark: SparkSession) -> None:
+        """Lay down an empty table; does nothing when it exists."""
+        spark.createDataFrame([(-1,)], "version bigint").write.mode("ignore").parquet(f"{self.path}/manifest")
+
+    def _version(self, spark: SparkSession) -> int:
+        return spark.read.parquet(f"{self.path}/manifest").agg(F.max("version")).first()[0]
+
+    def _base(self, spark: SparkSession, version: int) -> DataFrame:
+        if version < 0:
             return spark.createDataFrame([], self._stored)
-        return spark.read.schema(self._stored).parquet(f"{self.path}/version={version}")
+        return spark.read.schema(self._stored).parquet(f"{self.path}/base/version={version}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Latest complete version without delete markers."""
-        return self._read_version(spark, self._version(spark)).filter("not _deleted").drop("_deleted")
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        keys = list(self.config.primary_keys)
+        latest = latest_per_key(decode_events(batch, self.config), keys, self.config.dedupe_order_columns)
+        target = f"{self.path}/changes/batch={batch_id}"
+        latest.write.mode("overwrite").parquet(target)
+        require_unique(batch.sparkSession.read.parquet(target), keys, self.config.name)
 
-    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def _merged(self, spark: SparkSession, version: int) -> DataFrame:
         keys = list(self.config.primary_keys)
-        decoded = decode_events(batch, self.config)
-        latest = latest_per_key(decoded, keys, self.config.dedupe_order_columns).withColumns(
+        pending = spark.read.parquet(f"{self.path}/changes").filter(F.col("batch") > version).drop("batch")
+        latest = latest_per_key(pending, keys, self.config.dedupe_order_columns).withColumns(
             {"_deleted": F.col("op") == "d", "op": F.lit("u")}
         )
-        current = self._read_version(spark, self._version(spark, batch_id))
-        merged = merge_changes(current, latest, keys, order_column="event_ts_ms")
-        merged.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        if self.gate:
-            require_unique(self._read_version(spark, batch_id), keys, self.config.name)
+        return merge_changes(self._base(spark, version), latest, keys, order_column="event_ts_ms")
+
+    def compact(self, spark: SparkSession) -> None:
+        """Fold all pending changes into a new base."""
+        version = self._version(spark)
+        newest = spark.read.parquet(f"{self.path}/changes").agg(F.max("batch")).first()[0]
+        if newest is None or newest <= version:
+            return
+        self._merged(spark, version).write.mode("overwrite").parquet(f"{self.path}/base/version={newest}")
+        require_unique(self._base(spark, newest), list(self.config.primary_keys), self.config.name)
+        spark.createDataFrame([(newest,)], "version bigint").write.mode("append").parquet(f"{self.path}/manifest")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Current rows, pending changes included."""
+        return self._merged(spark, self._version(spark)).filter("not _deleted").drop("_deleted")
 
     def run(self, events: DataFrame, checkpoint: str) -> None:
-        drain(events, self.apply_batch, checkpoint)
+        self.create(events.sparkSession)
+        drain(events, self.write_batch, checkpoint)
