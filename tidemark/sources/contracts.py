@@ -6,18 +6,21 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+def _fields(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+_S, _L, _I, _D, _AT = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.TimestampType()
+
 # The landing record, event table and log layouts other jobs read.
-LANDING = T.StructType.fromDDL(
-    "topic string, `partition` int, `offset` bigint, `timestamp` bigint, message_key string, value string"
-)
-BRONZE = T.StructType.fromDDL(
-    "topic string, `partition` int, `offset` bigint, kafka_timestamp timestamp, message_key string, "
-    "value string, ingested_at timestamp, source_schema string, table_name string"
+LANDING = _fields(topic=_S, partition=_I, offset=_L, timestamp=_L, message_key=_S, value=_S)
+BRONZE = _fields(
+    topic=_S, partition=_I, offset=_L, kafka_timestamp=_AT, message_key=_S, value=_S, ingested_at=_AT,
+    source_schema=_S, table_name=_S,
 )
-QUARANTINE = T.StructType.fromDDL(BRONZE.toDDL() + ", quarantine_reason string, quarantined_at timestamp")
-DQ_RESULT = T.StructType.fromDDL(
-    "run_id string, layer string, table_name string, check_name string, status string, "
-    "observed_value double, threshold double, message string, checked_at timestamp"
+QUARANTINE = T.StructType([*BRONZE.fields, *_fields(quarantine_reason=_S, quarantined_at=_AT).fields])
+DQ_RESULT = _fields(
+    run_id=_S, layer=_S, table_name=_S, check_name=_S, status=_S, observed_value=_D, threshold=_D, message=_S, checked_at=_AT
 )
 
 CONTRACTS: dict[str, T.StructType] = {
