@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.hashing import business_hash, diff_hash, nested_hash, plain_hash
 from tidemark.operators.upsert import latest_per_key, new_rows, update_or_insert
 
+TEXT_TYPES = ("string", "varchar", "char")
+
 
 def read_since(df: DataFrame, watermark: Column | None, column: str = "last_updated_dt", fallback: str | None = None) -> DataFrame:
     """Source rows at or past a watermark; all rows when no watermark is given."""
@@ -20,11 +22,17 @@ def read_since(df: DataFrame, watermark: Column | None, column: str = "last_upda
 
 
 def hub_rows(source: DataFrame, keys: Sequence[str], hash_name: str, load_date: Column, record_source: str, hash_column: Column | None = None) -> DataFrame:
-    """One row per business key, hashed."""
+    """One row per business key, hashed.
+
+    Keys are made distinct before hashing, on the raw columns. Only text keys can still share a
+    hash (by case or padding) and need a second pass over the hash.
+    """
     hashed = business_hash(keys) if hash_column is None else hash_column
-    return source.select(
+    rows = source.select(*keys).distinct().select(
         hashed.alias(hash_name), *keys, load_date.alias("load_date"), F.lit(record_source).alias("record_source")
-    ).dropDuplicates([hash_name])
+    )
+    folds = any(source.schema[k].dataType.typeName() in TEXT_TYPES for k in keys)
+    return rows.dropDuplicates([hash_name]) if folds else rows
 
 
 def load_hub(hub: DataFrame, rows: DataFrame, hash_name: str, keep_first_load_date: bool = True) -> DataFrame:
@@ -37,17 +45,27 @@ def load_hub(hub: DataFrame, rows: DataFrame, hash_name: str, keep_first_load_da
 def link_rows(source: DataFrame, references: Mapping[str, str], link_name: str, load_date: Column, record_source: str, nested: bool = False) -> DataFrame:
     """One row per combination of hub references (hash name -> source column).
 
-    ``nested`` hashes the hub hashes instead of the raw foreign keys.
+    ``nested`` hashes the hub hashes instead of the raw foreign keys. Number references are made
+    distinct before hashing, so the shuffle carries short keys; only their incomplete rows can
+    share a hash, because nulls are skipped in it. Text references are made distinct by hash.
     """
     columns = list(references.values())
     key = nested_hash(columns) if nested else business_hash(columns)
     hub_hash = plain_hash if nested else (lambda c: business_hash([c]))
-    return source.select(
-        key.alias(link_name),
-        *[hub_hash(column).alias(name) for name, column in references.items()],
-        load_date.alias("load_date"),
-        F.lit(record_source).alias("record_source"),
-    ).dropDuplicates([link_name])
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            key.alias(link_name),
+            *[hub_hash(column).alias(name) for name, column in references.items()],
+            load_date.alias("load_date"),
+            F.lit(record_source).alias("record_source"),
+        )
+
+    if any(source.schema[c].dataType.typeName() in TEXT_TYPES for c in columns):
+        return hashed(source).dropDuplicates([link_name])
+    distinct = source.select(*columns).distinct()
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    return hashed(distinct.filter(complete)).unionByName(hashed(distinct.filter(~complete)).dropDuplicates([link_name]))
 
 
 def load_link(link: DataFrame, rows: DataFrame, link_name: str) -> DataFrame:
