@@ -7,6 +7,7 @@ that is null for a row does not fail it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -80,6 +81,12 @@ def expression_between(
     return failing(tested, bounds(F.col("expression"), min_value, max_value, strictly))
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """The columns of several one-row frames side by side, without a join."""
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def equal_expression(
     df: DataFrame, expression: Expr, compare: DataFrame | None = None, compare_expression: Expr | None = None,
     group_by: Sequence[str] | None = None, compare_group_by: Sequence[str] | None = None,
@@ -88,8 +95,7 @@ def equal_expression(
 ) -> DataFrame:
     """Groups whose aggregates differ between two tables by more than a tolerance.
 
-    Both sides are aggregated before they meet; without groups the one-row results are joined on
-    a constant key.
+    Both sides are aggregated before they meet.
     """
     left_by = list(group_by or [])
     right_by = list(compare_group_by or left_by)
@@ -99,18 +105,18 @@ def equal_expression(
         .groupBy(*right_by)
         .agg(as_column(expression if compare_expression is None else compare_expression).alias("compare_expression"))
     )
-    names = left_by or ["_all"]
     if left_by:
-        b = b.select(*[F.col(r).alias(n) for r, n in zip(right_by, left_by)], "compare_expression")
+        renamed = b.select(*[F.col(r).alias(n) for r, n in zip(right_by, left_by)], "compare_expression")
+        paired = a.join(renamed, left_by, "full_outer")
     else:
-        a, b = a.withColumn("_all", F.lit(1)), b.withColumn("_all", F.lit(1))
+        paired = one_row(a, b)
     gap = F.abs(F.coalesce("expression", F.lit(0)) - F.coalesce("compare_expression", F.lit(0)))
-    compared = a.join(b, names, "full_outer").withColumns(
+    compared = paired.withColumns(
         {
             "expression_difference": gap,
             "expression_difference_percent": F.try_divide(gap.cast("double"), F.col("expression").cast("double")),
         }
-    ).drop("_all")
+    )
     if tolerance_percent:
         return compared.filter(F.col("expression_difference_percent") > tolerance_percent)
     return compared.filter(F.col("expression_difference") > tolerance)

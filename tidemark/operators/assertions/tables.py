@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import add_periods, boundaries_between, truncate
 from tidemark.operators.assertions.core import (
-    ALL_MISSING, Expr, as_column, bounds, equal_expression, failing, keep_unless_missing, restrict,
+    ALL_MISSING, Expr, as_column, bounds, equal_expression, failing, keep_unless_missing, one_row, restrict,
 )
 from tidemark.operators.ordered import HOT_GROUP_ROWS, with_neighbour
 from tidemark.operators.relational import date_spine
@@ -32,12 +32,11 @@ def cardinality_equality(df: DataFrame, column: str, other: DataFrame, field: st
 
 
 def _count_pairs(df: DataFrame, compare: DataFrame, group_by: GroupBy) -> DataFrame:
-    keys = list(group_by or []) or ["_all"]
-    side = lambda d, n: (d if group_by else d.withColumn("_all", F.lit(1))).groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
-    return (
-        side(df, "count_a").join(side(compare, "count_b"), keys, "full_outer")
-        .select(*(group_by or []), F.coalesce("count_a", F.lit(0)).alias("count_a"), F.coalesce("count_b", F.lit(0)).alias("count_b"))
-    )
+    keys = list(group_by or [])
+    a = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count_a"))
+    b = compare.groupBy(*keys).agg(F.count(F.lit(1)).alias("count_b"))
+    paired = a.join(b, keys, "full_outer") if keys else one_row(a, b)
+    return paired.select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("count_a", "count_b")])
 
 
 def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: GroupBy = None) -> DataFrame:

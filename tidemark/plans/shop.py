@@ -2,7 +2,8 @@
 
 customer = customer, staff and actor = supplier, film = part, store, address and city = nation,
 country = region, category = part brand; an inventory item is a (part, supplier) pair in
-lineitem, a rental is an (order, part, supplier) triple, and a payment is a lineitem row.
+lineitem, a rental is an (order, part, supplier) triple, and a payment is a lineitem row, keyed by
+those with line number, ship date and price because the line number alone repeats.
 """
 
 from __future__ import annotations
@@ -130,7 +131,10 @@ class Shop:
         )
         orders = self.t.orders.select("o_orderkey", "o_custkey")
         return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
-            _dash("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("payment_id"),
+            F.concat_ws(
+                "-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd"),
+                F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+            ).alias("payment_id"),
             _dash("l_orderkey", "l_partkey", "l_suppkey").alias("rental_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("l_suppkey").alias("staff_id"),
@@ -169,7 +173,8 @@ SHOP_SQL = {
         o_orderdate AS last_updated_dt
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey
         GROUP BY l_orderkey, l_partkey, l_suppkey, o_custkey, o_orderdate, o_orderstatus""",
-    "s_payment": """SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber AS payment_id,
+    "s_payment": """SELECT l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' ||
+        strftime(l_shipdate, '%Y%m%d') || '-' || CAST(l_extendedprice AS DECIMAL(18,2)) AS payment_id,
         l_orderkey || '-' || l_partkey || '-' || l_suppkey AS rental_id, o_custkey AS customer_id,
         l_suppkey AS staff_id, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
         CAST(l_discount AS DECIMAL(4,2)) AS discount, l_returnflag AS flag, l_shipdate AS payment_date

@@ -54,7 +54,7 @@ WITH items AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem), rents AS (SE
 SELECT 'customer' AS hub, count(*) AS n_keys FROM customer UNION ALL SELECT 'film', count(*) FROM part
 UNION ALL SELECT 'staff', count(*) FROM supplier UNION ALL SELECT 'actor', count(*) FROM supplier
 UNION ALL SELECT 'inventory', count(*) FROM items UNION ALL SELECT 'rental', count(*) FROM rents
-UNION ALL SELECT 'payment', count(DISTINCT (l_orderkey, l_partkey, l_suppkey, l_linenumber)) FROM lineitem
+UNION ALL SELECT 'payment', count(DISTINCT (l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_extendedprice)) FROM lineitem
 UNION ALL SELECT 'store', count(DISTINCT s_nationkey) FROM supplier JOIN nation ON n_nationkey = s_nationkey
 UNION ALL SELECT 'category', count(DISTINCT p_brand) FROM part UNION ALL SELECT 'address', count(*) FROM nation
 UNION ALL SELECT 'city', count(*) FROM nation UNION ALL SELECT 'country', count(*) FROM region""")
