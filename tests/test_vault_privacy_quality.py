@@ -114,8 +114,9 @@ def test_suppression_ignores_null_registry_rows(spark):
 
 def test_events_are_erased_in_both_nestings(spark):
     events = spark.createDataFrame([
-        ("t", '{"payload":{"after":{"id":1}}}'), ("t", '{"before":{"id":1},"after":{"id":2}}'), ("t", '{"after":{"id":2}}'), ("t", "{}"),
-    ], "table_name string, value string")
+        ("t", 0, 1, '{"payload":{"after":{"id":1}}}'), ("t", 0, 2, '{"before":{"id":1},"after":{"id":2}}'),
+        ("t", 0, 3, '{"after":{"id":2}}'), ("t", 1, 1, "{}"),
+    ], "topic string, partition int, offset bigint, value string").withColumn("table_name", F.col("topic"))
     subject = spark.createDataFrame([(1,)], "s int")
     assert {r["value"] for r in privacy.erase_events(events, subject, "id").collect()} == {'{"after":{"id":2}}', "{}"}
     assert privacy.erasure_preview(events, subject, "id").first()["n_events"] == 2

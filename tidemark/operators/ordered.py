@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_GROUP_ROWS = 5_000_000
+MAX_BROADCAST_GROUPS = 10_000
 COARSE_BUCKETS = 128
 FINE_BUCKETS = 256
 
@@ -21,24 +22,33 @@ def _sort_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _bucketed(df: DataFrame, group_by: Sequence[str], order: str, hot: DataFrame) -> DataFrame:
+def _hot_groups(df: DataFrame, group_by: Sequence[str], hot_group_rows: int) -> tuple[DataFrame, int]:
+    """Groups above the row limit, and how many there are, counted up to just past the broadcast bound."""
+    sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows)
+    hot = sizes.select(*group_by) if group_by else sizes
+    return hot, hot.limit(MAX_BROADCAST_GROUPS + 1).count()
+
+
+def _bucketed(df: DataFrame, group_by: Sequence[str], order: str, hot: DataFrame, n_hot: int) -> DataFrame:
     """Add ``_bucket``: 0 for ordinary groups, an order-preserving bucket within hot groups.
 
     Hot groups get equal-count coarse buckets from an approximate quantile summary and
     equal-width fine buckets inside each, so no task sees more than a sliver of one group. The
-    hot table holds at most rows / HOT_GROUP_ROWS groups, which bounds its broadcast.
+    summary has one row per hot group; it is broadcast only up to a counted bound, and beyond
+    it an ordinary join with adaptive skew splitting is used.
     """
+    side = F.broadcast if n_hot <= MAX_BROADCAST_GROUPS else (lambda frame: frame)
     number = _sort_number(df, order)
     steps = [i / COARSE_BUCKETS for i in range(COARSE_BUCKETS + 1)]
     valued = df.withColumn("_x", number)
     keyed = [F.col(f"_g{i}").eqNullSafe(F.col(g)) for i, g in enumerate(group_by)]
     renamed = hot.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_by)], F.lit(True).alias("_hot"))
     if group_by:
-        members = valued.join(F.broadcast(renamed), keyed, "left_semi")
+        members = valued.join(side(renamed), keyed, "left_semi")
         splits = members.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_by)]).agg(
             F.percentile_approx("_x", steps, 10000).alias("_splits")
         )
-        marked = valued.join(F.broadcast(splits), keyed, "left")
+        marked = valued.join(side(splits), keyed, "left")
     else:
         marked = valued.withColumn("_splits", valued.select(F.percentile_approx("_x", steps, 10000)).scalar())
     inside = F.size(F.filter("_splits", lambda s: s <= F.col("_x")))
@@ -65,13 +75,12 @@ def with_neighbour(
     """
     forward = direction == "previous"
     shift = F.lag if forward else F.lead
-    sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows)
-    hot = sizes.select(*group_by) if group_by else sizes
-    if hot.isEmpty():
+    hot, n_hot = _hot_groups(df, group_by, hot_group_rows)
+    if n_hot == 0:
         window = Window.partitionBy(*group_by).orderBy(*order_by)
         return df.withColumn(name, shift(column).over(window))
 
-    rows = _bucketed(df, group_by, order_by[0], hot)
+    rows = _bucketed(df, group_by, order_by[0], hot, n_hot)
     kind = df.schema[column].dataType
     ranking = F.struct(*[F.col(c) for c in order_by])
     pick = F.max_by if forward else F.min_by
@@ -96,14 +105,13 @@ def with_running_total(
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Add the running total of a weight within each group; hot groups are summed bucket by bucket."""
-    sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows)
-    hot = sizes.select(*group_by) if group_by else sizes
+    hot, n_hot = _hot_groups(df, group_by, hot_group_rows)
     weighed = df.withColumn("_w", weight)
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if hot.isEmpty():
+    if n_hot == 0:
         window = upto(Window.partitionBy(*group_by).orderBy(*order_by))
         return weighed.withColumn(name, F.sum("_w").over(window)).select(*df.columns, name)
-    rows = _bucketed(weighed, group_by, order_by[0], hot)
+    rows = _bucketed(weighed, group_by, order_by[0], hot, n_hot)
     before = Window.partitionBy(*group_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(*group_by, "_bucket").agg(F.sum("_w").alias("_n"))

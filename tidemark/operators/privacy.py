@@ -16,6 +16,9 @@ ERASED = "[ERASED]"
 OPEN_STATES = ("pending", "suppressed")
 REQUEST_LIMIT_DAYS = 30
 
+# An event is identified by where it was read from.
+EVENT_IDENTITY = ("topic", "partition", "offset")
+
 
 def personal_columns(config: Sequence[Mapping[str, object]], spark) -> DataFrame:
     """Registry of personal columns from configuration entries."""
@@ -138,31 +141,24 @@ def event_subjects(events: DataFrame, id_field: str) -> DataFrame:
     return events.withColumn("_ids", ids)
 
 
-def erase_events(events: DataFrame, subjects: DataFrame, id_field: str) -> DataFrame:
+def _doomed(events: DataFrame, subjects: DataFrame, id_field: str, columns: Sequence[str]) -> DataFrame:
+    """Identity of every event that mentions one of the subjects.
+
+    Only identities and ids are shuffled, never the event text, and ids are distinct per event.
+    """
+    wanted = subjects.select(F.col(subjects.columns[0]).cast("string").alias("_id")).distinct()
+    mentioned = event_subjects(events, id_field).select(*columns, F.explode("_ids").alias("_id"))
+    return mentioned.join(wanted, "_id", "left_semi").select(*columns).distinct()
+
+
+def erase_events(events: DataFrame, subjects: DataFrame, id_field: str, identity: Sequence[str] = EVENT_IDENTITY) -> DataFrame:
     """Events that mention none of the subjects."""
-    return _split_events(events, subjects, id_field, "left_anti")
+    return events.join(_doomed(events, subjects, id_field, identity), list(identity), "left_anti")
 
 
-def erasure_preview(events: DataFrame, subjects: DataFrame, id_field: str, by: str = "table_name") -> DataFrame:
+def erasure_preview(events: DataFrame, subjects: DataFrame, id_field: str, by: str = "table_name", identity: Sequence[str] = EVENT_IDENTITY) -> DataFrame:
     """Dry run: events that would be deleted, per table."""
-    return _split_events(events, subjects, id_field, "left_semi").groupBy(by).agg(F.count(F.lit(1)).alias("n_events"))
-
-
-def _split_events(events: DataFrame, subjects: DataFrame, id_field: str, how: str) -> DataFrame:
-    """An event holds at most four ids, so each id position is one equi-join on the subject set."""
-    wanted = subjects.select(F.col(subjects.columns[0]).cast("string").alias("_subject")).distinct()
-    found = event_subjects(events, id_field).withColumn("_row", F.struct(*events.columns))
-    if how == "left_anti":
-        rest = found
-        for i in range(1, 5):
-            rest = rest.withColumn("_id", F.try_element_at("_ids", F.lit(i))).join(
-                wanted, F.col("_id") == F.col("_subject"), "left_anti"
-            )
-        return rest.select("_row.*")
-    exploded = found.select("_row", F.explode("_ids").alias("_id")).join(
-        wanted, F.col("_id") == F.col("_subject"), "left_semi"
-    )
-    return exploded.select("_row").distinct().select("_row.*")
+    return _doomed(events, subjects, id_field, [by, *identity]).groupBy(by).agg(F.count(F.lit(1)).alias("n_events"))
 
 
 def still_readable(df: DataFrame, keys: DataFrame, columns: Sequence[str], subject: str, subject_type: str, shredded: DataFrame) -> DataFrame:

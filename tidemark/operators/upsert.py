@@ -75,7 +75,7 @@ def merge_changes(
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus the first source row of every key the target lacks."""
+    """Target plus the source rows whose key it lacks; source keys must be unique."""
     return target.unionByName(new_rows(target, source, keys))
 
 

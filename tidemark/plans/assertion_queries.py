@@ -46,8 +46,9 @@ add("pair_equal", "SELECT l_orderkey, l_tax, l_discount FROM lineitem WHERE l_di
     lambda t: val.expect_column_pair_values_to_be_equal(t.lineitem, "l_discount", "l_tax").select("l_orderkey", "l_tax", "l_discount"))
 add("pair_in_set", "SELECT l_returnflag, l_linestatus, l_orderkey FROM lineitem WHERE NOT ((l_returnflag = 'A' AND l_linestatus = 'F') OR (l_returnflag = 'N' AND l_linestatus = 'O'))",
     lambda t: val.expect_column_pair_values_to_be_in_set(t.lineitem, "l_returnflag", "l_linestatus", [("A", "F"), ("N", "O")]).select("l_returnflag", "l_linestatus", "l_orderkey"))
-add("unique_within_record", "SELECT n_nationkey FROM nation WHERE n_nationkey = n_regionkey OR n_regionkey = n_nationkey % 7 OR n_nationkey = n_nationkey % 7",
-    lambda t: val.expect_select_column_values_to_be_unique_within_record(t.nation.withColumn("m", F.col("n_nationkey") % 7), ["n_nationkey", "n_regionkey", "m"]).select("n_nationkey"))
+add("unique_within_record", "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem WHERE l_partkey = l_suppkey OR l_partkey = l_linenumber OR l_suppkey = l_linenumber",
+    lambda t: val.expect_select_column_values_to_be_unique_within_record(t.lineitem, ["l_partkey", "l_suppkey", "l_linenumber"])
+    .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
 add("unique_within_record_any_missing", "SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem WHERE l_partkey = l_suppkey AND l_returnflag <> 'R'",
     lambda t: val.expect_select_column_values_to_be_unique_within_record(
         t.lineitem.withColumn("p", F.when(F.col("l_returnflag") != "R", F.col("l_partkey"))), ["p", "l_suppkey"], core.ANY_MISSING).select("l_orderkey", "l_partkey", "l_suppkey"))
@@ -182,12 +183,12 @@ add("relationships", "SELECT o_custkey AS from_value, count(*) AS n_records FROM
 add("relationships_where", "SELECT o_custkey AS from_value, count(*) AS n_records FROM orders WHERE o_orderstatus = 'F' AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY 1",
     lambda t: tab.relationships_where(t.orders, "o_custkey", t.customer, "c_custkey", "o_orderstatus = 'F'", "c_mktsegment = 'BUILDING'"))
 
-RANGES_SQL = """WITH r AS (SELECT o_custkey, o_orderdate AS lo, o_orderdate + INTERVAL 1 DAY * (o_orderkey % 90) AS hi FROM orders),
+RANGES_SQL = """WITH r AS (SELECT o_custkey, o_orderdate AS lo, o_orderdate + INTERVAL 1 DAY * ((day(o_orderdate) - 1) * 3) AS hi FROM orders),
 n AS (SELECT *, lead(lo) OVER w AS nx, lead(1) OVER w IS NULL AS is_last FROM r WINDOW w AS (PARTITION BY o_custkey ORDER BY lo, hi)) """
 
 
 def order_ranges(t: Tables) -> DataFrame:
-    days = (F.col("o_orderkey") % 90).cast("int")
+    days = (F.dayofmonth("o_orderdate") - 1) * 3
     return t.orders.select("o_custkey", F.col("o_orderdate").alias("lo"), F.timestamp_add("DAY", days, "o_orderdate").alias("hi"))
 
 

@@ -334,6 +334,10 @@ def report_rewards(t: Tables) -> DataFrame:
 
 
 @query("report_group_concat", """
-SELECT p_brand, string_agg(p_name, ', ' ORDER BY p_name) AS names FROM part GROUP BY 1""")
+SELECT l_orderkey, string_agg(p_name, ', ' ORDER BY p_name) AS names FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def report_group_concat(t: Tables) -> DataFrame:
-    return t.part.groupBy("p_brand").agg(reports.group_concat(F.col("p_name")).alias("names"))
+    """Product names of every order in one text."""
+    names = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return t.lineitem.select("l_orderkey", "l_partkey").join(names, "l_partkey").groupBy("l_orderkey").agg(
+        reports.group_concat(F.col("p_name")).alias("names")
+    )

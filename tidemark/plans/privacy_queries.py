@@ -20,7 +20,7 @@ AT = "2002-01-01 00:00:00"
 
 REQUESTS_SQL = """WITH req AS (SELECT 'req-' || c_custkey AS request_id,
   CASE WHEN c_mktsegment = 'FURNITURE' THEN 'x' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END AS subject_id, 'silver_customer' AS subject_type,
-  TIMESTAMP '2001-12-30' - INTERVAL 1 DAY * (c_custkey % 40) AS requested_at,
+  TIMESTAMP '2001-12-30' - INTERVAL 1 DAY * (c_nationkey * 2) AS requested_at,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'complete' WHEN 'MACHINERY' THEN 'suppressed' ELSE 'pending' END AS status, c_custkey
   FROM customer WHERE c_acctbal < 0),
 acc AS (SELECT * FROM req WHERE status IN ('pending', 'suppressed') AND TRY_CAST(subject_id AS BIGINT) IS NOT NULL) """
@@ -36,7 +36,7 @@ def requests(t: Tables) -> DataFrame:
         F.concat(F.lit("req-"), key).alias("request_id"),
         F.when(segment == "FURNITURE", F.concat(F.lit("x"), key)).otherwise(key.cast("string")).alias("subject_id"),
         F.lit(KIND).alias("subject_type"),
-        F.timestamp_add("DAY", (-(key % 40)).cast("int"), F.lit("2001-12-30").cast("timestamp_ntz")).alias("requested_at"),
+        F.timestamp_add("DAY", F.col("c_nationkey") * -2, F.lit("2001-12-30").cast("timestamp_ntz")).alias("requested_at"),
         F.when(segment == "BUILDING", "complete").when(segment == "MACHINERY", "suppressed").otherwise("pending").alias("status"),
     )
 

@@ -94,15 +94,15 @@ def quality_result_log(t: Tables) -> DataFrame:
 
 
 @query("quality_volume_anomalies", """
-WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) FILTER (value >= 20 OR day(ts) % 7 <> 3) AS n FROM events GROUP BY 1, 2),
+WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) FILTER (value >= 30 OR dayofweek(ts) <> 0) AS n FROM events GROUP BY 1, 2),
 w AS (SELECT *, sum(CASE WHEN n > 0 THEN n END) OVER p AS s, count(CASE WHEN n > 0 THEN n END) OVER p AS k FROM c
   WINDOW p AS (PARTITION BY event_type ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
 SELECT event_type, CAST(day AS VARCHAR) AS day, n AS n_rows, CASE WHEN k > 0 THEN CAST(s AS DOUBLE) / k END AS rolling_average,
   CASE WHEN n = 0 THEN 'FAIL' WHEN k = 0 THEN 'PASS' WHEN n < CAST(s AS DOUBLE) / k * 0.5 THEN 'WARN' ELSE 'PASS' END AS status FROM w""")
 def quality_volume_anomalies(t: Tables) -> DataFrame:
-    """Daily event counts, with a thinned-out day every week as the anomaly to find."""
+    """Daily event counts in which small values go missing on Sundays: the anomaly to find."""
     day = F.col("ts").cast("date")
-    counted = (F.col("value") >= 20) | (F.dayofmonth("ts") % 7 != 3)
+    counted = (F.col("value") >= 30) | (F.dayofweek("ts") != 1)
     counts = t.events.groupBy("event_type", day.alias("day")).agg(F.count_if(counted).alias("n_rows"))
     return quality.volume_anomalies(counts, "event_type", "day", "n_rows")
 
@@ -113,14 +113,14 @@ def results(t: Tables) -> DataFrame:
         F.concat(F.lit("run-"), F.date_format("o_orderdate", "yyyy-MM")).alias("run_id"),
         F.element_at(F.split("o_orderpriority", "-"), 2).alias("check_name"),
         F.when(F.col("o_totalprice") > 450000, "FAIL").when(F.col("o_totalprice") > 400000, "WARN").otherwise("PASS").alias("status"),
-        F.col("o_orderstatus").alias("layer"), F.concat(F.lit("t"), F.col("o_custkey") % 10).alias("table_name"),
+        F.col("o_orderstatus").alias("layer"), F.concat(F.lit("t"), F.year("o_orderdate")).alias("table_name"),
         F.col("o_totalprice").alias("observed_value"), F.col("o_orderdate").alias("checked_at"), "o_orderkey",
     )
 
 
 RESULTS_SQL = """WITH r AS (SELECT 'run-' || strftime(o_orderdate, '%Y-%m') AS run_id, split_part(o_orderpriority, '-', 2) AS check_name,
   CASE WHEN o_totalprice > 450000 THEN 'FAIL' WHEN o_totalprice > 400000 THEN 'WARN' ELSE 'PASS' END AS status, o_orderstatus AS layer,
-  't' || (o_custkey % 10) AS table_name, o_totalprice AS observed_value, o_orderdate AS checked_at, o_orderkey FROM orders) """
+  't' || year(o_orderdate) AS table_name, o_totalprice AS observed_value, o_orderdate AS checked_at, o_orderkey FROM orders) """
 LOG_NOW = "2000-07-01 00:00:00"
 
 
