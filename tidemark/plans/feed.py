@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.decimals import encode_integer
-from tidemark.session import Tables
+from tidemark.session import Tables, spread
 from tidemark.sources.contracts import Field, TableConfig
 
 DAY_MS = 86400000
@@ -94,7 +94,7 @@ def order_landing(t: Tables) -> DataFrame:
         F.when((status == "P") & (priority == "5-LOW"), event(2, 60, "d", key_only, nothing)),
         F.when((status == "F") & (priority == "1-URGENT"), event(3, 10, "u", opened, image(F.lit("P")))),
     )
-    return t.orders.select(
+    return spread(t.orders).select(
         F.col("o_orderkey").cast("string").alias("message_key"), F.explode(F.array_compact(events)).alias("e")
     ).select(
         F.lit(TOPIC).alias("topic"), F.pmod(F.xxhash64("message_key"), F.lit(8)).cast("int").alias("partition"),

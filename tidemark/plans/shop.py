@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.hashing import business_hash
 from tidemark.operators import vault
-from tidemark.session import Tables
+from tidemark.session import Tables, spread
 
 
 def _dash(*columns: str) -> Column:
@@ -126,7 +126,7 @@ class Shop:
 
     @property
     def payment(self) -> DataFrame:
-        lines = self.t.lineitem.select(
+        lines = spread(self.t.lineitem).select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"
         )
         orders = self.t.orders.select("o_orderkey", "o_custkey")

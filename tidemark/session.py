@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -47,6 +47,20 @@ class Tables:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
 
+def spread(df: DataFrame, limit_bytes: int = 512 * 1024 * 1024) -> DataFrame:
+    """Use all cores for a small input that sits in a few files and cannot be split further.
+
+    A scan of one row group is one task however heavy the work after it. Inputs with at least as
+    many files as cores, or above the size limit, are returned as they are.
+    """
+    spark = df.sparkSession
+    files, cores = df.inputFiles(), spark.sparkContext.defaultParallelism
+    if not files or len(files) >= cores:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return df.repartition(cores) if size <= limit_bytes else df
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
