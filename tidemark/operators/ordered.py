@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import stored
+
 HOT_GROUP_ROWS = 5_000_000
 MAX_BROADCAST_GROUPS = 10_000
 COARSE_BUCKETS = 128
@@ -139,8 +141,10 @@ def dense_rank_desc(df: DataFrame, measure: str, name: str, width: int = 4096) -
 
     Distinct values are ranked inside fixed-width value buckets and shifted by the number of
     distinct values in higher buckets. For integers and decimals a bucket holds a bounded number
-    of distinct values, and the bucket totals are a small table.
+    of distinct values, and the bucket totals are a small table. The rows are stored first
+    because they are read three times.
     """
+    df = stored(df, "ranked")
     values = df.select(measure).distinct().withColumn("_b", F.floor(F.col(measure) / width))
     inside = values.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(F.col(measure).desc())))
     above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)

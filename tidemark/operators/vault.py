@@ -24,14 +24,15 @@ def read_since(df: DataFrame, watermark: Column | None, column: str = "last_upda
 def hub_rows(source: DataFrame, keys: Sequence[str], hash_name: str, load_date: Column, record_source: str, hash_column: Column | None = None) -> DataFrame:
     """One row per business key, hashed.
 
-    Keys are made distinct before hashing, on the raw columns. Only text keys can still share a
-    hash (by case or padding) and need a second pass over the hash.
+    Number keys are made distinct before hashing, on the raw columns; text keys can share a hash
+    by case or padding and are made distinct by it.
     """
     hashed = business_hash(keys) if hash_column is None else hash_column
-    rows = source.select(*keys).distinct().select(
+    folds = any(source.schema[k].dataType.typeName() in TEXT_TYPES for k in keys)
+    chosen = source.select(*keys) if folds else source.select(*keys).distinct()
+    rows = chosen.select(
         hashed.alias(hash_name), *keys, load_date.alias("load_date"), F.lit(record_source).alias("record_source")
     )
-    folds = any(source.schema[k].dataType.typeName() in TEXT_TYPES for k in keys)
     return rows.dropDuplicates([hash_name]) if folds else rows
 
 

@@ -61,6 +61,17 @@ def spread(df: DataFrame, limit_bytes: int = 512 * 1024 * 1024) -> DataFrame:
     return df.repartition(cores) if size <= limit_bytes else df
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows as a written table in the shared folder, computed once.
+
+    For results that are read several times: lineage ends at the files, so a lost executor costs
+    a re-read and not a recomputation.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
