@@ -363,3 +363,68 @@ def vault_typed_satellite(t: Tables) -> DataFrame:
     return vault.satellite_rows(text, "film_id", "film_hk", list(types), load_time(FIRST_LOAD), "film", types).select(
         "film_hk", "length", F.col("title").isNull().alias("title_unreadable"), "rental_rate"
     )
+
+
+MODEL = {
+    "hubs": [
+        {"name": f"HUB_{table.upper()}", "source_table": table, "business_key_columns": [f"{table}_id"], "record_source": table}
+        for table in ("customer", "film", "inventory", "rental")
+    ] + [{"name": "HUB_STAFF", "source_table": "staff", "business_key_columns": ["staff_id"], "record_source": "staff", "enabled": False}],
+    "links": [
+        {"name": "LNK_RENTAL_CUSTOMER", "source_table": "rental", "record_source": "rental", "hub_references": [
+            {"hub": "HUB_RENTAL", "source_column": "rental_id"}, {"hub": "HUB_CUSTOMER", "source_column": "customer_id"}]},
+        {"name": "LNK_RENTAL_INVENTORY", "source_table": "rental", "record_source": "rental", "hub_references": [
+            {"hub": "HUB_RENTAL", "source_column": "rental_id"}, {"hub": "HUB_INVENTORY", "source_column": "inventory_id"}]},
+        {"name": "LNK_INVENTORY_FILM", "source_table": "inventory", "record_source": "inventory", "hub_references": [
+            {"hub": "HUB_INVENTORY", "source_column": "inventory_id"}, {"hub": "HUB_FILM", "source_column": "film_id"}]},
+    ],
+    "satellites": [
+        {"name": "SAT_CUSTOMER_CORE", "source_table": "customer", "parent_hub": "HUB_CUSTOMER", "hub_key_source_column": "customer_id",
+         "tracked_columns": ["first_name", "last_name", "segment", "fax"], "record_source": "customer"},
+        {"name": "SAT_FILM_PRICING", "source_table": "film", "parent_hub": "HUB_FILM", "hub_key_source_column": "film_id",
+         "tracked_columns": ["rental_rate", "replacement_cost"], "record_source": "film"},
+    ],
+    "pit_tables": [{"name": "PIT_FILM", "hub": "HUB_FILM", "satellites": ["SAT_FILM_PRICING", "SAT_FILM_TEXT"]}],
+    "bridge_tables": [{"name": "BRG_RENTAL_FILM", "path": ["HUB_RENTAL", "LNK_RENTAL_INVENTORY", "HUB_INVENTORY", "LNK_INVENTORY_FILM", "HUB_FILM"]}],
+}
+
+
+@query("vault_from_configuration", with_tables("s_rental s_inventory", """
+SELECT 'HUB_CUSTOMER' AS table_name, count(*) AS n_first, CAST(0 AS BIGINT) AS n_second FROM customer UNION ALL SELECT 'HUB_FILM', count(*), 0 FROM part
+UNION ALL SELECT 'HUB_INVENTORY', count(*), 0 FROM s_inventory UNION ALL SELECT 'HUB_RENTAL', count(*), 0 FROM s_rental
+UNION ALL SELECT 'LNK_RENTAL_CUSTOMER', count(*), 0 FROM s_rental UNION ALL SELECT 'LNK_RENTAL_INVENTORY', count(*), 0 FROM s_rental
+UNION ALL SELECT 'LNK_INVENTORY_FILM', count(*), 0 FROM s_inventory
+UNION ALL SELECT 'SAT_CUSTOMER_CORE', count(*), CAST(count_if(c_acctbal < 0) AS BIGINT) FROM customer UNION ALL SELECT 'SAT_FILM_PRICING', count(*), 0 FROM part
+UNION ALL SELECT 'PIT_FILM', count(*), count(*) FROM part UNION ALL SELECT 'BRG_RENTAL_FILM', count(*), count(*) FROM s_rental"""))
+def vault_from_configuration(t: Tables) -> DataFrame:
+    """The whole model loaded twice; in between, inactive customers changed their segment."""
+    from tidemark.operators import vault_model as vm
+    from tidemark.session import scratch_path
+    from tidemark.sources.sinks import append_rows
+
+    shop, base, written = Shop(t), scratch_path(t.spark, "vault"), set()
+    moved = shop.customer.withColumn("segment", F.when(F.col("active"), F.col("segment")).otherwise("CLOSED"))
+    counts = []
+
+    def stored(name: str) -> DataFrame | None:
+        return t.spark.read.parquet(f"{base}/{name}") if name in written else None
+
+    for run, at_time in ((1, FIRST_LOAD), (2, SECOND_LOAD)):
+        source = lambda table, run=run: moved if run == 2 and table == "customer" else getattr(shop, table)
+        for load in (vm.hub_loads, vm.link_loads, vm.satellite_loads):
+            for name, rows in load(MODEL, source, stored, load_time(at_time)).items():
+                append_rows(rows, f"{base}/{name}")
+                written.add(name)
+        tables = {n: stored(n).filter(F.col("load_date") == load_time(at_time)) for n in sorted(written)}
+        tables |= vm.snapshot_tables(MODEL, stored, F.lit("2002-03-01").cast("date"))
+        tables |= vm.bridge_tables(MODEL, stored)
+        counts += [
+            rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), F.lit(run).alias("run"), "n")
+            for name, rows in tables.items()
+        ]
+    log = counts[0]
+    for part in counts[1:]:
+        log = log.unionByName(part)
+    return log.groupBy("table_name").agg(
+        F.sum(F.when(F.col("run") == 1, F.col("n"))).alias("n_first"), F.sum(F.when(F.col("run") == 2, F.col("n"))).alias("n_second")
+    )

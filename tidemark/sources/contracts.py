@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import types as T
 
@@ -68,3 +68,20 @@ class TableConfig:
     dedupe_order_columns: tuple[str, ...] = ("event_ts_ms", "bronze_offset")
     merge_columns: tuple[str, ...] = ()
     foreign_keys: dict[str, str] = field(default_factory=dict)
+
+    @classmethod
+    def from_dict(cls, name: str, config: dict) -> TableConfig:
+        """From the stored configuration layout of one table."""
+        known = {f.name for f in fields(Field)}
+        mappings = [
+            Field(**{k: tuple(v) if isinstance(v, list) else v for k, v in m.items() if k in known})
+            for m in config["field_mappings"]
+        ]
+        return cls(
+            name=name,
+            primary_keys=tuple(config["primary_keys"]),
+            fields=tuple(mappings),
+            dedupe_order_columns=tuple(config.get("dedupe_order_columns", ("event_ts_ms", "bronze_offset"))),
+            merge_columns=tuple(config.get("merge_core_fields", ())),
+            foreign_keys=dict(config.get("fk_references", {})),
+        )
