@@ -15,8 +15,13 @@ FINE_BUCKETS = 256
 
 
 def _sort_number(df: DataFrame, column: str) -> Column:
-    """A double that sorts like the column: used only to choose buckets."""
+    """A double that never falls as the column rises: used only to choose buckets."""
     kind = df.schema[column].dataType.typeName()
+    if kind in ("string", "binary"):
+        prefix = F.hex(F.substring(F.col(column).cast("binary"), 1, 6))
+        return F.conv(F.rpad(prefix, 12, "0"), 16, 10).cast("double")
+    if kind == "boolean":
+        return F.col(column).cast("int").cast("double")
     if kind in ("timestamp", "timestamp_ntz"):
         return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
     if kind == "date":
@@ -147,11 +152,11 @@ def dense_rank_desc(df: DataFrame, measure: str, name: str, width: int = 4096) -
     df = stored(df, "ranked")
     values = df.select(measure).distinct().withColumn("_b", F.floor(F.col(measure) / width))
     inside = values.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(F.col(measure).desc())))
-    above = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.orderBy(F.col("_b").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = values.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_b", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
+        F.col("_b").alias("_ob"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
     )
-    ranks = inside.join(offsets, "_b").select(
-        measure, (F.col("_r") + F.col("_above")).cast("int").alias(name)
+    ranks = inside.join(offsets, F.col("_b").eqNullSafe(F.col("_ob"))).select(
+        F.col(measure).alias("_m"), (F.col("_r") + F.col("_above")).cast("int").alias(name)
     )
-    return df.join(ranks, measure).select(*df.columns, name)
+    return df.join(ranks, F.col(measure).eqNullSafe(F.col("_m"))).select(*df.columns, name)

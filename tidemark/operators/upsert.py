@@ -41,37 +41,33 @@ def merge_changes(
     ``last_updated_dt`` takes the event time. With ``order_column`` (present on both sides) a
     change older than the stored row is ignored, so late batches cannot overwrite newer state.
     """
-    present = set(target.columns)
-    wanted = list(columns) if columns else [c for c in changes.columns if c in present]
-    stamps = {"last_inserted_dt", "last_updated_dt"}
-    core = [c for c in wanted if c in present and c not in stamps and c not in keys]
-
-    left = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*target.columns).alias("_t"))
-    right = changes.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*changes.columns).alias("_s"))
-    joined = left.join(right, [F.col(f"_k_{k}") == F.col(f"_s_{k}") for k in keys], "full_outer")
-
-    has_target, has_change = F.col("_t").isNotNull(), F.col("_s").isNotNull()
-    applies = has_change
+    stamps = ("last_inserted_dt", "last_updated_dt")
+    wanted = [c for c in (columns or changes.columns) if c in target.columns and c not in stamps and c not in keys]
+    needed = list(dict.fromkeys([*keys, *wanted, event_time, op, *([order_column] if order_column else [])]))
+    old = lambda name: F.col(f"_t_{name}")
+    new = lambda name: F.col(f"_s_{name}")
+
+    left = target.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_in_target"))
+    right = changes.select(*[F.col(c).alias(f"_s_{c}") for c in needed], F.lit(True).alias("_in_changes"))
+    joined = left.join(right, [old(k) == new(k) for k in keys], "full_outer")
+
+    stored = F.col("_in_target").isNotNull()
+    applies = F.col("_in_changes").isNotNull()
     if order_column:
-        newer = F.col(f"_s.{order_column}") >= F.col(f"_t.{order_column}")
-        applies = has_change & (~has_target | F.coalesce(newer, F.lit(True)))
-    is_delete = F.coalesce(F.col(f"_s.{op}") == "d", F.lit(False))
+        newer = F.coalesce(new(order_column) >= old(order_column), F.lit(True))
+        applies = applies & (~stored | newer)
+    deletes = applies & F.coalesce(new(op) == "d", F.lit(False))
 
     def value(name: str) -> Column:
-        old = F.col(f"_t.{name}")
         if name in keys:
-            return F.coalesce(old, F.col(f"_s.{name}"))
+            return F.coalesce(old(name), new(name))
         if name == "last_inserted_dt":
-            return F.when(has_target, old).otherwise(F.col(f"_s.{event_time}"))
+            return F.when(stored, old(name)).otherwise(new(event_time))
         if name == "last_updated_dt":
-            return F.when(applies, F.col(f"_s.{event_time}")).otherwise(old)
-        if name in core:
-            return F.when(applies, F.col(f"_s.{name}")).otherwise(old)
-        return old
-
-    return joined.filter(~(applies & is_delete) & (has_target | applies)).select(
-        *[value(c).alias(c) for c in target.columns]
-    )
+            return F.when(applies, new(event_time)).otherwise(old(name))
+        return F.when(applies, new(name)).otherwise(old(name)) if name in wanted else old(name)
+
+    return joined.filter(~deletes & (stored | applies)).select(*[value(c).alias(c) for c in target.columns])
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
