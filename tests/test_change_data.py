@@ -196,3 +196,11 @@ def test_scratch_folder_without_a_setting(spark):
         scratch_path(Bare, "x")
     Bare.sparkContext.master = "local[2]"
     assert scratch_path(Bare, "x") != scratch_path(Bare, "x")
+
+
+def test_counted_append_of_rows_and_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert sinks.append_counted(spark.range(5), path) == 5
+    assert sinks.append_counted(spark.range(5).filter("id < 0"), path) == 0
+    assert sinks.append_counted(spark.range(5).join(spark.range(0), "id"), path) == 0
+    assert spark.read.parquet(path).count() == 5

@@ -6,10 +6,10 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators import marts, reports
+from tidemark.operators import marts, reports, upsert
 from tidemark.plans.registry import query
 from tidemark.plans.shop import Shop, Vault, hk, with_tables
-from tidemark.session import Tables
+from tidemark.session import Tables, stored
 
 AS_OF = "2002-03-01"
 
@@ -26,28 +26,56 @@ def as_of():
     return F.lit(AS_OF).cast("date")
 
 
-@query("mart_film", with_tables("s_film", """
+FILM_SQL = with_tables("s_film", """
 SELECT film_id, title, CAST(rental_rate AS DOUBLE) AS rental_rate, CAST(replacement_cost AS DOUBLE) AS replacement_cost,
   CAST(last_update AS VARCHAR) AS last_update,
-  CASE WHEN rental_rate < 1 THEN 'budget' WHEN rental_rate < 3 THEN 'standard' ELSE 'premium' END AS rental_rate_tier FROM s_film"""))
+  CASE WHEN rental_rate < 1 THEN 'budget' WHEN rental_rate < 3 THEN 'standard' ELSE 'premium' END AS rental_rate_tier FROM s_film""")
+FILM_COLUMNS = ("film_id", "title", "rental_rate", "replacement_cost", "last_update", "rental_rate_tier")
+
+
+@query("mart_film", FILM_SQL)
 def mart_film(t: Tables) -> DataFrame:
-    return marts.film_mart(Shop(t).film).select(
-        "film_id", "title", "rental_rate", "replacement_cost", "last_update", "rental_rate_tier"
-    )
+    return marts.film_mart(Shop(t).film).select(*FILM_COLUMNS)
 
 
-@query("mart_rental", with_tables("s_rental s_payment s_customer", """
+@query("mart_film_incremental", FILM_SQL)
+def mart_film_incremental(t: Tables) -> DataFrame:
+    """A stored mart that ends at a date, refreshed from its own high-water mark on."""
+    film = Shop(t).film
+    mark = F.date_add(F.lit("2000-01-01").cast("date"), 30).cast("timestamp_ntz")
+    existing = marts.film_mart(film.filter(F.col("last_update") <= mark))
+    outdated = existing.withColumn("title", F.when(F.col("last_update") == mark, "?").otherwise(F.col("title")))
+    return upsert.refresh_since(outdated, marts.film_mart(film), ["film_id"], "last_update").select(*FILM_COLUMNS)
+
+
+RENTAL_SQL = with_tables("s_rental s_payment s_customer", """
 SELECT r.rental_id, r.customer_id, CAST(r.rental_date AS VARCHAR) AS rental_date, CAST(r.return_date AS VARCHAR) AS return_date,
   CASE WHEN r.return_date IS NULL THEN 'open' ELSE 'returned' END AS rental_status, CAST(p.total_paid AS DOUBLE) AS total_paid
 FROM s_rental r LEFT JOIN (SELECT rental_id, sum(amount) AS total_paid FROM s_payment GROUP BY 1) p ON p.rental_id = r.rental_id
-WHERE r.customer_id NOT IN (SELECT customer_id FROM s_customer WHERE NOT active)"""))
-def mart_rental(t: Tables) -> DataFrame:
+WHERE r.customer_id NOT IN (SELECT customer_id FROM s_customer WHERE NOT active)""")
+
+
+def _rental_mart(t: Tables) -> DataFrame:
     """Inactive customers stand for erased subjects; a null registry entry must not matter."""
     s = Shop(t)
     erased = s.customer.select(F.when(~F.col("active"), F.col("customer_id").cast("string")).alias("subject_id"))
-    return marts.rental_mart(s.rental, s.payment, erased).select(
-        "rental_id", "customer_id", "rental_date", "return_date", "rental_status", "total_paid"
-    )
+    return marts.rental_mart(s.rental, s.payment, erased)
+
+
+RENTAL_COLUMNS = ("rental_id", "customer_id", "rental_date", "return_date", "rental_status", "total_paid")
+
+
+@query("mart_rental", RENTAL_SQL)
+def mart_rental(t: Tables) -> DataFrame:
+    return _rental_mart(t).select(*RENTAL_COLUMNS)
+
+
+@query("mart_rental_incremental", RENTAL_SQL)
+def mart_rental_incremental(t: Tables) -> DataFrame:
+    """A stored mart without the last years, refreshed from its high-water mark on."""
+    existing = _rental_mart(t).filter(F.col("last_updated_dt") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    table = stored(existing, "rental-mart")
+    return upsert.refresh_since(table, _rental_mart(t), ["rental_id"], "last_updated_dt").select(*RENTAL_COLUMNS)
 
 
 def _customer_sql(paid: str, factor: str) -> str:
@@ -125,6 +153,23 @@ def mart_inventory_status(t: Tables) -> DataFrame:
     )
 
 
+@query("mart_inventory_status_any_return", with_tables("s_inventory s_rental s_film", f"""
+, last AS (SELECT inventory_id, max(rental_date) AS rental_date, max(return_date) AS return_date FROM s_rental GROUP BY 1)
+SELECT {hk('i.film_id')} AS film_hk, f.title, count(*) AS total_copies,
+  CAST(count_if(l.rental_date IS NOT NULL AND l.return_date IS NULL) AS BIGINT) AS copies_rented,
+  CAST(count_if(l.rental_date IS NULL OR l.return_date IS NOT NULL) AS BIGINT) AS copies_available
+FROM s_inventory i LEFT JOIN last l ON l.inventory_id = i.inventory_id LEFT JOIN s_film f ON f.film_id = i.film_id GROUP BY i.film_id, f.title"""))
+def mart_inventory_status_any_return(t: Tables) -> DataFrame:
+    """The lenient reading: one return makes a copy available for good."""
+    v = Vault(t)
+    return marts.inventory_status(
+        v.hub("inventory", "inventory_id"),
+        v.link("inventory", "inventory_film_hk", inventory_hk="inventory_id", film_hk="film_id"), v.sat_film,
+        v.link("rental", "rental_inventory_hk", rental_hk="rental_id", inventory_hk="inventory_id"), v.sat_rental, as_of(),
+        latest_rental_only=False,
+    ).drop("overdue_copies")
+
+
 @query("mart_revenue_by_store", with_tables("s_payment s_staff", f"""
 SELECT CAST(CAST(p.payment_date AS DATE) AS VARCHAR) AS payment_day, {hk('s.store_id')} AS store_hk, count(*) AS total_transactions,
   CAST(sum({PAID}) AS DOUBLE) AS total_revenue, {avg_sql(f'sum({PAID})', 'count(*)')} AS avg_transaction,

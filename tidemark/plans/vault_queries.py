@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.hashing import business_hash, diff_hash, surrogate_key
-from tidemark.operators import snapshots, vault
+from tidemark.operators import snapshots, vault, vault_model
 from tidemark.plans.registry import query
 from tidemark.plans.shop import FIRST_LOAD, SECOND_LOAD, Shop, Vault, hk, load_time, with_tables
-from tidemark.session import Tables
+from tidemark.session import Tables, scratch_path
+from tidemark.sources.sinks import append_counted
 
 
 @query("vault_hash_key", """
@@ -398,33 +399,23 @@ UNION ALL SELECT 'SAT_CUSTOMER_CORE', count(*), CAST(count_if(c_acctbal < 0) AS
 UNION ALL SELECT 'PIT_FILM', count(*), count(*) FROM part UNION ALL SELECT 'BRG_RENTAL_FILM', count(*), count(*) FROM s_rental"""))
 def vault_from_configuration(t: Tables) -> DataFrame:
     """The whole model loaded twice; in between, inactive customers changed their segment."""
-    from tidemark.operators import vault_model as vm
-    from tidemark.session import scratch_path
-    from tidemark.sources.sinks import append_rows
-
-    shop, base, written = Shop(t), scratch_path(t.spark, "vault"), set()
+    shop, base, written, log = Shop(t), scratch_path(t.spark, "vault"), set(), []
     moved = shop.customer.withColumn("segment", F.when(F.col("active"), F.col("segment")).otherwise("CLOSED"))
-    counts = []
 
     def stored(name: str) -> DataFrame | None:
         return t.spark.read.parquet(f"{base}/{name}") if name in written else None
 
     for run, at_time in ((1, FIRST_LOAD), (2, SECOND_LOAD)):
         source = lambda table, run=run: moved if run == 2 and table == "customer" else getattr(shop, table)
-        for load in (vm.hub_loads, vm.link_loads, vm.satellite_loads):
+        for load in (vault_model.hub_loads, vault_model.link_loads, vault_model.satellite_loads):
             for name, rows in load(MODEL, source, stored, load_time(at_time)).items():
-                append_rows(rows, f"{base}/{name}")
+                log.append((name, run, append_counted(rows, f"{base}/{name}")))
                 written.add(name)
-        tables = {n: stored(n).filter(F.col("load_date") == load_time(at_time)) for n in sorted(written)}
-        tables |= vm.snapshot_tables(MODEL, stored, F.lit("2002-03-01").cast("date"))
-        tables |= vm.bridge_tables(MODEL, stored)
-        counts += [
-            rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), F.lit(run).alias("run"), "n")
-            for name, rows in tables.items()
-        ]
-    log = counts[0]
-    for part in counts[1:]:
-        log = log.unionByName(part)
-    return log.groupBy("table_name").agg(
+        derived = vault_model.snapshot_tables(MODEL, stored, F.lit("2002-03-01").cast("date"))
+        derived |= vault_model.bridge_tables(MODEL, stored)
+        for name, rows in derived.items():
+            log.append((name, run, append_counted(rows, f"{base}/{name}-{run}")))
+    counts = t.spark.createDataFrame(log, "table_name string, run int, n bigint")
+    return counts.groupBy("table_name").agg(
         F.sum(F.when(F.col("run") == 1, F.col("n"))).alias("n_first"), F.sum(F.when(F.col("run") == 2, F.col("n"))).alias("n_second")
     )
