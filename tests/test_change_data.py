@@ -130,8 +130,11 @@ def test_late_event_is_ignored_only_with_an_order_column(spark):
 
 def test_first_insert_time_is_kept(spark):
     first = upsert.merge_changes(empty(spark), changes(spark, [(1, 0, "c", None, {"id": 1, "name": "a"})]), ["id"])
-    second = upsert.merge_changes(first, changes(spark, [(2, 60000, "u", None, {"id": 1, "name": "b"})]), ["id"]).first()
+    update = changes(spark, [(2, 60000, "u", None, {"id": 1, "name": "b"})])
+    second = upsert.merge_changes(first, update, ["id"]).first()
     assert (second["last_inserted_dt"].minute, second["last_updated_dt"].minute) == (0, 1)
+    moved = upsert.merge_changes(first, update, ["id"], keep_first_insert_time=False).first()
+    assert moved["last_inserted_dt"].minute == 1
 
 
 def test_unmatched_topics_are_dropped(spark):

@@ -39,3 +39,9 @@ def test_merge_reads_only_target_columns_of_the_changes(t):
 def test_no_python_workers(t):
     for df in (marts.film_mart(Shop(t).film), upsert.latest_per_key(t.events, ["user_id"], ["ts", "event_id"])):
         assert "Python" not in plan(df)
+
+
+def test_partitioned_writes_are_rebalanced(t):
+    from tidemark.sources.sinks import balanced
+
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(balanced(t.orders, ["o_orderstatus"]))

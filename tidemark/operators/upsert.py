@@ -34,11 +34,12 @@ def merge_changes(
     event_time: str = "event_time",
     op: str = "op",
     order_column: str | None = None,
+    keep_first_insert_time: bool = True,
 ) -> DataFrame:
     """Apply one change per key: update, delete on op ``d``, insert unless delete.
 
-    Only columns the target has are written. ``last_inserted_dt`` keeps its first value and
-    ``last_updated_dt`` takes the event time. With ``order_column`` (present on both sides) a
+    Only columns the target has are written. ``last_updated_dt`` takes the event time, and
+    ``last_inserted_dt`` keeps its first value unless ``keep_first_insert_time`` is off. With ``order_column`` (present on both sides) a
     change older than the stored row is ignored, so late batches cannot overwrite newer state.
     """
     stamps = ("last_inserted_dt", "last_updated_dt")
@@ -61,8 +62,10 @@ def merge_changes(
     def value(name: str) -> Column:
         if name in keys:
             return F.coalesce(old(name), new(name))
-        if name == "last_inserted_dt":
+        if name == "last_inserted_dt" and keep_first_insert_time:
             return F.when(stored, old(name)).otherwise(new(event_time))
+        if name == "last_inserted_dt":
+            return F.when(applies, F.coalesce(new(event_time), old(name))).otherwise(old(name))
         if name == "last_updated_dt":
             return F.when(applies, new(event_time)).otherwise(old(name))
         return F.when(applies, new(name)).otherwise(old(name)) if name in wanted else old(name)

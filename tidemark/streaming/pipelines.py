@@ -14,7 +14,7 @@ from tidemark.operators.cdc import decode_events
 from tidemark.operators.quality import require_unique
 from tidemark.operators.upsert import latest_per_key, merge_changes
 from tidemark.sources.contracts import TableConfig
-from tidemark.sources.sinks import split_valid
+from tidemark.sources.sinks import balanced, split_valid
 
 
 def drain(stream: DataFrame, on_batch, checkpoint: str) -> None:
@@ -39,7 +39,7 @@ class BronzeIngest:
         held = batch.persist()
         try:
             good, bad = split_valid(held, F.current_timestamp())
-            good.write.mode("overwrite").partitionBy("table_name").parquet(f"{self.bronze_path}/batch={batch_id}")
+            balanced(good, ["table_name"]).write.mode("overwrite").partitionBy("table_name").parquet(f"{self.bronze_path}/batch={batch_id}")
             bad.write.mode("overwrite").parquet(f"{self.quarantine_path}/batch={batch_id}")
         finally:
             held.unpersist()
