@@ -59,6 +59,13 @@ def test_quarantine_reasons(spark):
     assert got == [reason for _, reason in CASES]
 
 
+def test_long_values_with_many_escapes(spark):
+    text = json.dumps({"a": 'x"\\{\n' * 40000, "b": {"c": "}" * 40000}})
+    rows = spark.createDataFrame([(text,), (text + "}",), (text[:-1],)], "value string")
+    got = [r[0] for r in rows.select(quarantine_reason(F.col("value"))).collect()]
+    assert got == [None, "invalid_json", "invalid_json"]
+
+
 def test_extended_reasons(spark):
     event = lambda **kw: json.dumps({"payload": {"op": "c", "ts_ms": 1704067200000, "source": {"table": "t"}, **kw}})
     cases = [

@@ -14,7 +14,7 @@ from tidemark.operators.cdc import decode_events
 from tidemark.operators.quality import require_unique
 from tidemark.operators.upsert import latest_per_key, merge_changes
 from tidemark.sources.contracts import TableConfig
-from tidemark.sources.sinks import balanced, split_valid
+from tidemark.sources.sinks import balanced, split_marked, with_reason
 
 
 def drain(stream: DataFrame, on_batch, checkpoint: str) -> None:
@@ -36,9 +36,9 @@ class BronzeIngest:
     quarantine_path: str
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()
+        held = with_reason(batch).persist()
         try:
-            good, bad = split_valid(held, F.current_timestamp())
+            good, bad = split_marked(held, F.current_timestamp())
             balanced(good, ["table_name"]).write.mode("overwrite").partitionBy("table_name").parquet(f"{self.bronze_path}/batch={batch_id}")
             bad.write.mode("overwrite").parquet(f"{self.quarantine_path}/batch={batch_id}")
         finally:
