@@ -140,6 +140,19 @@ def test_drift_policies(spark, changes, policy, severity, valid):
     assert (row["severity"], row["is_valid"]) == (severity, valid)
 
 
+def test_field_types_are_those_of_the_json(spark):
+    objects = ['{"a":1,"b":"2","c":{"x":1},"d":[1],"e":true,"f":null,"g":1.5}', '{"a":"1"}', "[1]", "oops", None]
+    df = spark.createDataFrame([("t", o) for o in objects], "t string, j string")
+    got = {(r["field"], r["json_type"]): r["n_events"] for r in drift.field_profile(df, F.col("j"), "t").collect()}
+    assert got == {
+        ("a", "number"): 1, ("a", "string"): 1, ("b", "string"): 1, ("c", "object"): 1, ("d", "array"): 1,
+        ("e", "boolean"): 1, ("f", "null"): 1, ("g", "number"): 1,
+    }
+    contract = spark.createDataFrame([("t", f, k) for f, k in (("a", "number"), ("b", "string"), ("f", "string"), ("z", "string"))], "t string, field string, json_type string")
+    changes = {r["field"]: r["change"] for r in drift.classify_drift(drift.field_profile(df, F.col("j"), "t"), contract, "t").collect()}
+    assert changes == {"a": "type_changed", "c": "added", "d": "added", "e": "added", "g": "added", "z": "removed"}
+
+
 def test_lenient_strict_policy_and_gate(spark):
     assert verdict(spark, [("a", "f", "added")], "strict", allow_additive=True)["is_valid"]
     df = spark.createDataFrame([("a", "f", "removed")], "t string, field string, change string")

@@ -16,19 +16,22 @@ class SchemaDriftError(RuntimeError):
 def field_profile(events: DataFrame, json_column: Column, by: str) -> DataFrame:
     """Fields and JSON types that occur in the objects, with event counts.
 
-    The type is read from the value's first character, after one parse into a text map.
+    Each object is parsed once into typed members, so the text "12" is told from the number 12.
+    Objects that repeat a key do not parse and are left out.
     """
-    value = F.ltrim(F.col("v"))
+    objects = events.select(by, json_column.alias("_json")).filter(F.col("_json").isNotNull())
+    members = events.sparkSession.tvf.variant_explode(F.try_parse_json(F.col("_json").outer()))
+    found = F.schema_of_variant("value")
     kind = (
-        F.when(F.col("v").isNull(), "null")
-        .when(value.startswith("{"), "object")
-        .when(value.startswith("["), "array")
-        .when(value.isin("true", "false"), "boolean")
-        .when(value.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), "number")
-        .otherwise("string")
+        F.when(found == "VOID", "null")
+        .when(found.startswith("OBJECT"), "object")
+        .when(found.startswith("ARRAY"), "array")
+        .when(found == "BOOLEAN", "boolean")
+        .when(found == "STRING", "string")
+        .otherwise("number")
     )
-    pairs = events.select(by, F.explode(F.from_json(json_column, "map<string,string>")).alias("field", "v"))
-    return pairs.select(by, "field", kind.alias("json_type")).groupBy(by, "field", "json_type").agg(
+    pairs = objects.lateralJoin(members).filter(F.col("key").isNotNull())
+    return pairs.select(by, F.col("key").alias("field"), kind.alias("json_type")).groupBy(by, "field", "json_type").agg(
         F.count(F.lit(1)).alias("n_events")
     )
 
