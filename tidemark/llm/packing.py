@@ -5,7 +5,7 @@ histogram of item lengths (one count for each length up to the capacity) comes t
 multiset of lengths that fits one sequence; the program covers all items with as few configurations as possible.
 Multiplicative weights solve it: a token is priced by its length's weight, a knapsack dynamic program finds the
 dearest configurations through each length, and the weights of the lengths they cover fall. The covering is rounded
-down to whole sequences; what is left gets full sequences from the same knapsack, and the last items the best fit.
+down to whole sequences and the items left are placed best-fit.
 
 Items learn their sequences without passing the driver: tasks number their items by length, counts of tasks are
 summed to offsets, and the plan says which of a length's items go to which sequences and where.
@@ -30,11 +30,11 @@ from tidemark.llm.common import arrow_type, slices, written
 
 CAPACITY = 1024
 #: Rounds of multiplicative weights.
-ROUNDS = 60
+ROUNDS = 120
 #: How fast the weight of a length that is covered ahead of its share falls.
-STEP = 3.0
+STEP = 1.0
 #: Least part of a sequence that a configuration must fill to be used in rounding.
-FULL = 0.9
+FULL = 0.95
 
 
 class Knapsack:
@@ -154,15 +154,6 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
             if int((found * lengths).sum()) >= FULL * capacity:
                 take(found, int(amount))
     out.solved = out.sequences
-    moved = True
-    while moved and left.any():  # the rest: full sequences through each length while the knapsack finds them
-        knapsack, moved = Knapsack(lengths.astype(np.float64), left > 0), False
-        for length in np.flatnonzero(left)[::-1].tolist():
-            while left[length]:
-                found = knapsack.through(length, left)
-                if int((found * lengths).sum()) < capacity or not take(found, int(left[length])):
-                    break
-                moved = True
     out.runs += fullest(left, capacity)
     return out
 
