@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, language, packing, quality, simhash, sketches
+from tidemark.llm import bpe, language, packing, pii, quality, simhash, sketches
 from tidemark.llm.common import map_slices, table
 
 
@@ -102,6 +102,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and all spans of personal data in every document."""
+    found = pii.with_spans(table(spark, sf_dir, "documents"), ["doc_id"])
+    kinds = F.transform("_base", lambda x: x["kind"])
+    counts = [F.size(F.filter(kinds, (lambda n: lambda k: k == n)(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text("_base"), 256).alias("base_sha256"), pii.spans_text("_spans").alias("spans"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), ["doc_id"], byte_bpe_path(), end_id=2).select(
@@ -118,5 +126,5 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_simhash, op5_bottom_k, op6_quality_rules, op8_best_fit_packing, op9_language_id)}
+    op2_bpe_round_trip, op3_simhash, op4_pii, op5_bottom_k, op6_quality_rules, op8_best_fit_packing, op9_language_id)}
 SQL = {"op6_quality_rules": OP6_SQL}
