@@ -19,7 +19,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from tidemark.llm.common import map_slices, written
@@ -131,12 +131,32 @@ def components(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(current.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``fp`` and ``component_id``, the smallest id of the documents reachable over links."""
-    prints = written(with_fingerprints(docs, shingle, [doc_id], text), "fingerprints")
+def named_components(prints: DataFrame, distance: int, doc_id: str) -> DataFrame:
+    """(fp, component_id): the smallest id of the documents reachable from each fingerprint."""
     nodes = written(prints.groupBy("fp").agg(F.min(doc_id).alias("least")), "fingerprint-nodes")
     roots = written(components(links(nodes, distance)), "fingerprint-roots")
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = written(
+        nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprint-rooted")
     ids = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
-    named = written(rooted.join(ids, "root").select("fp", "component_id"), "fingerprint-components")
+    return written(rooted.join(ids, "root").select("fp", "component_id"), "fingerprint-components")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``doc_id``, ``fp`` and ``component_id``, the smallest id of the documents reachable over links."""
+    prints = written(with_fingerprints(docs, shingle, [doc_id], text), "fingerprints")
+    named = named_components(prints, distance, doc_id)
     return prints.join(named, "fp").select(doc_id, "fp", "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 5, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component: that of the smallest id (null ids last), of repeated rows one."""
+    columns = docs.columns
+    numbered = docs.withColumn("_id", F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit((1 << 63) - 1)))
+    prints = written(with_fingerprints(numbered, shingle, [*columns, "_id"], text), "fingerprints")
+    named = named_components(prints.select("_id", "fp"), distance, "_id")
+    # ids are unique but for repeated rows, so few rows of a component share its smallest
+    first = prints.select("_id", "fp").join(named, "fp").where(F.col("_id") == F.col("component_id"))
+    first = written(first.groupBy("component_id").agg(F.min("fp").alias("fp")).withColumnRenamed("component_id", "_id"), "component-firsts")
+    order = Window.partitionBy("_id", "fp").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    same = prints.join(first, ["_id", "fp"]).withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    return same.select(*[F.col(f"`{c}`") for c in columns])
