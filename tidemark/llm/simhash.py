@@ -8,6 +8,12 @@ linked exactly and in linear work through the points of the cube beside them: tw
 exactly if some point is within one bit of both, so all members beside a point are linked to the least of them.
 Components come from alternating star contractions, written to the shared folder in each round.
 
+Two bits are very near copies. For texts whose five-word shingles resemble each other by 0.8 (``representatives``) about
+15 % of the bits differ, so there a fingerprint has two halves: the first is cut into ten blocks and filed under every
+three of them, and a pair is verified by the distance of both halves. Three blocks are surely shared up to 7 bits of
+the half, and mostly above that. Files are sorted runs scanned with bounded memory: the first ``FILE_LIMIT`` members
+are all compared; later ones with those and with the leaders, later members that are near none before them.
+
 Defined cases: a null text is an empty text; a text without words has fingerprint zero, which links like any other;
 a text with fewer words than a shingle is one shingle; very long texts are hashed whole; repeated rows link to
 themselves and each keeps its row; a null id stays in the result and is never the smallest id unless a component has
@@ -16,18 +22,22 @@ no other; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import map_slices, written
+from tidemark.llm.common import arrow_type, map_slices, written
 
 #: Seed of the shingle hash.
 SEED = 42
 #: Fingerprints in a file that are compared pair by pair; larger files are linked through neighbouring points.
 FILE_LIMIT = 64
+#: Wide fingerprints: blocks of the first half, how many are filed together, and the bits of both halves that may differ.
+BLOCKS, CHOSEN, WIDE_DISTANCE = 10, 3, 24
 
 
 def shingle_hashes(text: str, size: int) -> list[int]:
@@ -38,24 +48,29 @@ def shingle_hashes(text: str, size: int) -> list[int]:
     return [xxh64_intdigest(b" ".join(s), SEED) for s in zip(*(words[i:] for i in range(size)), strict=False)]
 
 
-def fingerprints(texts: list[str], size: int) -> np.ndarray:
-    """A fingerprint per text, as signed 64-bit numbers: a bit is set if it is in over half the shingle hashes."""
-    out = np.zeros(len(texts), dtype=np.int64)
+def fingerprints(texts: list[str], size: int, halves: int = 1) -> np.ndarray:
+    """Fingerprints of texts, a row of signed 64-bit numbers each: a bit is set if it is in over half the shingle hashes.
+
+    Further halves take the hashes mixed anew.
+    """
+    out = np.zeros((len(texts), halves), dtype=np.int64)
     hashes = [shingle_hashes(t, size) for t in texts]
     counts = np.array([len(h) for h in hashes], dtype=np.int64)
     full = np.flatnonzero(counts)
     if len(full):
         flat = np.fromiter((h for hs in hashes for h in hs), dtype=np.uint64, count=int(counts.sum()))
-        bits = np.unpackbits(flat.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         starts = np.append(0, np.cumsum(counts[full])[:-1])
-        sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        set_ = 2 * sums > counts[full][:, None]
-        out[full] = np.packbits(set_, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64).view(np.int64)
+        for half in range(halves):
+            bits = np.unpackbits(flat.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            set_ = 2 * np.add.reduceat(bits, starts, axis=0, dtype=np.int32) > counts[full][:, None]
+            out[full, half] = np.packbits(set_, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64).view(np.int64)
+            flat = (flat ^ (flat >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+            flat ^= flat >> np.uint64(29)
     return out
 
 
 def with_fingerprints(docs: DataFrame, shingle: int, keep: list[str], text: str = "text") -> DataFrame:
-    return map_slices(docs, text, keep, "fp long", lambda texts: [fingerprints(texts, shingle)])
+    return map_slices(docs, text, keep, "fp long", lambda texts: [fingerprints(texts, shingle)[:, 0]])
 
 
 def block_keys(fp: Column, distance: int) -> Column:
@@ -148,15 +163,139 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 2, doc_id
     return prints.join(named, "fp").select(doc_id, "fp", "component_id")
 
 
-def representatives(docs: DataFrame, shingle: int = 5, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: that of the smallest id (null ids last), of repeated rows one."""
+def block_masks(blocks: int, chosen: int) -> np.ndarray:
+    """A mask of the chosen blocks' bits for each choice."""
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    masks = [sum((1 << cuts[b + 1]) - (1 << cuts[b]) for b in some) for some in combinations(range(blocks), chosen)]
+    return np.array(masks, dtype=np.uint64).view(np.int64)
+
+
+def filed(nodes: DataFrame, blocks: int, chosen: int) -> DataFrame:
+    """(file, bits, node, f0, f1): each node under every choice of blocks."""
+    schema = "file short, bits long, node long, f0 long, f1 long"
+    out = arrow_type(T._parse_datatype_string(schema))
+    masks = block_masks(blocks, chosen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                node, f0, f1 = (np.repeat(c.to_numpy(), len(masks)) for c in part.columns)
+                number = np.tile(np.arange(len(masks), dtype=np.int16), part.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (number, f0 & np.tile(masks, part.num_rows), node, f0, f1)], schema=out)
+
+    return nodes.select("node", "f0", "f1").mapInArrow(run, schema)
+
+
+class FileScan:
+    """Links of the members of files, fed as sorted columns; memory holds one file's first members and leaders."""
+
+    def __init__(self, distance: int, limit: int = FILE_LIMIT):
+        self.distance, self.limit = distance, limit
+        self.rest: list[np.ndarray] | None = None  # members of the file that may go on, its first and its leaders
+        self.seen = 0
+
+    def near(self, a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+        return np.bitwise_count(a[3] ^ b[3]).astype(np.int16) + np.bitwise_count(a[4] ^ b[4]) <= self.distance
+
+    def feed(self, columns: list[np.ndarray], last: bool = False) -> np.ndarray:
+        """Pairs of nodes; the last file of the columns is kept for the next call unless this is the last."""
+        pairs = []
+        if self.seen > self.limit and len(columns[0]):  # a crowded file goes on
+            same = (columns[0] == self.rest[0][0]) & (columns[1] == self.rest[1][0])
+            more = int(same.argmin()) if not same.all() else len(same)
+            pairs += self.crowd([c[:more] for c in columns])
+            columns = [c[more:] for c in columns]
+            if len(columns[0]):
+                self.rest, self.seen = None, 0
+        elif self.rest is not None:
+            columns = [np.concatenate(x) for x in zip(self.rest, columns, strict=True)]
+            self.rest, self.seen = None, 0
+        if len(columns[0]):
+            starts = np.flatnonzero(np.append(True, (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])))
+            if not last:
+                tail = [c[starts[-1] :] for c in columns]
+                columns, starts = [c[: starts[-1]] for c in columns], starts[:-1]
+                self.rest, self.seen = [c[: self.limit] for c in tail], min(len(tail[0]), self.limit)
+                if len(tail[0]) > self.limit:
+                    pairs += self.all_pairs(self.rest)
+                    pairs += self.crowd([c[self.limit :] for c in tail])
+            sizes = np.diff(np.append(starts, len(columns[0])))
+            for start, size in zip(starts[sizes > self.limit], sizes[sizes > self.limit], strict=True):
+                scan = FileScan(self.distance, self.limit)
+                scan.rest = [c[start : start + self.limit] for c in columns]
+                scan.seen = self.limit
+                pairs += scan.all_pairs(scan.rest) + scan.crowd([c[start + self.limit : start + size] for c in columns])
+            small = np.repeat((sizes > 1) & (sizes <= self.limit), sizes)
+            pairs += self.all_pairs([c[small] for c in columns])
+        return np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+
+    def all_pairs(self, columns: list[np.ndarray]) -> list[np.ndarray]:
+        """All near pairs within files of at most ``limit`` members, by comparing rows that lie 1, 2, ... apart."""
+        out = []
+        for apart in range(1, self.limit):
+            a, b = [c[:-apart] for c in columns], [c[apart:] for c in columns]
+            same = np.flatnonzero((a[0] == b[0]) & (a[1] == b[1])) if len(columns[0]) > apart else ()
+            if not len(same):
+                break
+            a, b = [c[same] for c in a], [c[same] for c in b]
+            near = self.near(a, b)
+            out.append(np.stack([a[2][near], b[2][near]], axis=1))
+        return out
+
+    def crowd(self, columns: list[np.ndarray]) -> list[np.ndarray]:
+        """Links of later members of a crowded file to its first ones and leaders."""
+        out = []
+        self.seen += len(columns[0])
+        for i in range(len(columns[0])):
+            one = [c[i : i + 1] for c in columns]
+            near = np.flatnonzero(self.near(self.rest, one))
+            if len(near):
+                out.append(np.array([[self.rest[2][near[0]], one[2][0]]]))
+            else:
+                self.rest = [np.concatenate(x) for x in zip(self.rest, one, strict=True)]
+        return out
+
+
+def wide_links(nodes: DataFrame, distance: int, blocks: int = BLOCKS, chosen: int = CHOSEN) -> DataFrame:
+    """Links (a, b), a < b, of nodes (node, f0, f1) within ``distance`` bits that share ``chosen`` blocks."""
+    spark = nodes.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = "a long, b long"
+    out = arrow_type(T._parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = FileScan(distance)
+
+        def linked(pairs: np.ndarray) -> pa.RecordBatch:
+            pairs = np.unique(np.sort(pairs, axis=1), axis=0) if len(pairs) else pairs
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
+
+        for batch in batches:
+            yield linked(scan.feed([c.to_numpy() for c in batch.columns]))
+        empty = [np.zeros(0, np.int16)] + [np.zeros(0, np.int64)] * 4
+        yield linked(scan.feed(empty, last=True))
+
+    rows = filed(nodes, blocks, chosen).repartition(tasks, "file", "bits").sortWithinPartitions("file", "bits", "node")
+    return rows.mapInArrow(run, schema).where("a < b").distinct()
+
+
+def representatives(docs: DataFrame, shingle: int = 5, distance: int = WIDE_DISTANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of texts within ``distance`` of 128 bits: that of the smallest id, of repeated rows one.
+
+    Null ids come after all others, by their text.
+    """
     columns = docs.columns
-    numbered = docs.withColumn("_id", F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit((1 << 63) - 1)))
-    prints = written(with_fingerprints(numbered, shingle, [*columns, "_id"], text), "fingerprints")
-    named = named_components(prints.select("_id", "fp"), distance, "_id")
-    # ids are unique but for repeated rows, so few rows of a component share its smallest
-    first = prints.select("_id", "fp").join(named, "fp").where(F.col("_id") == F.col("component_id"))
-    first = written(first.groupBy("component_id").agg(F.min("fp").alias("fp")).withColumnRenamed("component_id", "_id"), "component-firsts")
-    order = Window.partitionBy("_id", "fp").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
-    same = prints.join(first, ["_id", "fp"]).withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    late = F.xxhash64(F.col(f"`{text}`")).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    numbered = docs.withColumn("_id", F.coalesce(F.col(f"`{doc_id}`").cast("long"), late))
+    prints = written(
+        map_slices(numbered, text, [*columns, "_id"], "f0 long, f1 long", lambda texts: list(fingerprints(texts, shingle, 2).T.copy())),
+        "fingerprints")
+    nodes = written(prints.groupBy("f0", "f1").agg(F.min("_id").alias("node")), "fingerprint-nodes")
+    roots = components(wide_links(nodes, distance))
+    # a component's root is its least node, and a node the least id of its texts
+    gone = roots.where("node != root").select("node")
+    first = written(nodes.join(gone, "node", "left_anti").withColumnRenamed("node", "_id"), "fingerprint-firsts")
+    order = Window.partitionBy("_id", "f0", "f1").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    same = prints.join(first, ["_id", "f0", "f1"]).withColumn("_n", F.row_number().over(order)).where("_n = 1")
     return same.select(*[F.col(f"`{c}`") for c in columns])
