@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, language, packing, pii, quality, simhash, sketches
+from tidemark.llm import bpe, chat, language, packing, pii, quality, scoring, simhash, sketches, urls
 from tidemark.llm.common import map_slices, table
 
 
@@ -17,6 +17,17 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+URL_RULES = [
+    urls.Rule("allow", "com"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"),
+]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's url."""
+    return urls.judged(table(spark, sf_dir, "pages"), ["page_id"], URL_RULES)
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text; digests of the ids and of the decoded text."""
     vocabulary = spark.sparkContext.broadcast(bpe.Vocabulary.load(byte_bpe_path()))
@@ -142,6 +153,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document under a network trained on all of them."""
+    return scoring.scored(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_bpe_round_trip, op3_simhash, op4_pii, op5_bottom_k, op6_quality_rules, op7_chat_formatting, op8_best_fit_packing, op9_language_id)}
+    op1_url_filters, op2_bpe_round_trip, op3_simhash, op4_pii, op5_bottom_k, op6_quality_rules, op7_chat_formatting, op8_best_fit_packing, op9_language_id, op10_lm_scoring)}
 SQL = {"op6_quality_rules": OP6_SQL}
