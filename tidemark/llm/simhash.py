@@ -257,8 +257,33 @@ class FileScan:
         return out
 
 
+def spanning(pairs: np.ndarray) -> np.ndarray:
+    """Links (least node, node) that connect what the pairs connect: one fewer than a component has nodes."""
+    if not len(pairs):
+        return pairs
+    nodes, at = np.unique(pairs, return_inverse=True)
+    a, b = at.reshape(-1, 2).T
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        np.minimum.at(new, label[a], least)
+        np.minimum.at(new, label[b], least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    own = label != np.arange(len(nodes))
+    return np.stack([nodes[label[own]], nodes[own]], axis=1)
+
+
 def wide_links(nodes: DataFrame, distance: int, blocks: int = BLOCKS, chosen: int = CHOSEN) -> DataFrame:
-    """Links (a, b), a < b, of nodes (node, f0, f1) within ``distance`` bits that share ``chosen`` blocks."""
+    """Links (a, b), a < b, that connect the nodes (node, f0, f1) within ``distance`` bits that share ``chosen`` blocks.
+
+    Tasks hand on links that span the components of the pairs they found, not all pairs of a group.
+    """
     spark = nodes.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = "a long, b long"
@@ -267,14 +292,19 @@ def wide_links(nodes: DataFrame, distance: int, blocks: int = BLOCKS, chosen: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = FileScan(distance)
 
-        def linked(pairs: np.ndarray) -> pa.RecordBatch:
-            pairs = np.unique(np.sort(pairs, axis=1), axis=0) if len(pairs) else pairs
+        held: list[np.ndarray] = []
+
+        def linked() -> pa.RecordBatch:
+            pairs = spanning(np.concatenate(held)) if held else np.zeros((0, 2), np.int64)
+            held.clear()
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
 
         for batch in batches:
-            yield linked(scan.feed([c.to_numpy() for c in batch.columns]))
-        empty = [np.zeros(0, np.int16)] + [np.zeros(0, np.int64)] * 4
-        yield linked(scan.feed(empty, last=True))
+            held.append(scan.feed([c.to_numpy() for c in batch.columns]))
+            if sum(map(len, held)) > HELD_PAIRS:
+                yield linked()
+        held.append(scan.feed([np.zeros(0, np.int16)] + [np.zeros(0, np.int64)] * 4, last=True))
+        yield linked()
 
     rows = filed(nodes, blocks, chosen).repartition(tasks, "file", "bits").sortWithinPartitions("file", "bits", "node")
     return rows.mapInArrow(run, schema).where("a < b").distinct()
@@ -285,9 +315,10 @@ def representatives(docs: DataFrame, shingle: int = 5, distance: int = WIDE_DIST
 
     Null ids come after all others, by their text.
     """
-    columns = docs.columns
-    late = F.xxhash64(F.col(f"`{text}`")).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
-    numbered = docs.withColumn("_id", F.coalesce(F.col(f"`{doc_id}`").cast("long"), late))
+    masked = Masked(docs)
+    columns, text = masked.df.columns, masked[text]
+    late = F.xxhash64(text).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    numbered = masked.df.withColumn("_id", F.coalesce(F.col(masked[doc_id]).cast("long"), late))
     prints = written(
         map_slices(numbered, text, [*columns, "_id"], "f0 long, f1 long", lambda texts: list(fingerprints(texts, shingle, 2).T.copy())),
         "fingerprints")
