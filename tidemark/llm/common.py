@@ -79,3 +79,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+
+
+class Masked:
+    """A table under column names that no operator makes, so that further columns of any name pass through.
+
+    ``df`` has the renamed columns, ``masked["text"]`` is a column's new name and ``restore`` gives the old names back.
+    """
+
+    def __init__(self, docs: DataFrame):
+        self.columns = docs.columns
+        self.names = {c: f"_in{i}" for i, c in enumerate(docs.columns)}
+        self.df = docs.toDF(*self.names.values())
+
+    def __getitem__(self, column: str) -> str:
+        return self.names[column]
+
+    def restore(self, df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(n).alias(c) for c, n in self.names.items()])

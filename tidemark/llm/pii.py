@@ -22,6 +22,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.common import Masked
+
 # Kinds in their order, and the base patterns. Possessive forms match the same texts as greedy ones here,
 # and a start inside a run that already failed is skipped, so long runs cost linear time.
 KINDS = ("email", "ip", "card", "phone")
@@ -300,8 +302,9 @@ def redacted(docs: DataFrame, text: str = "text", size: str = "n_chars") -> Data
 
     Overlapping spans become one mark, of the first.
     """
-    columns = docs.columns
-    marked = with_spans(docs, columns, text)
+    masked = Masked(docs)
+    text, size = masked[text], masked.names.get(size)
+    marked = with_spans(masked.df, masked.df.columns, text)
     by_start = F.sort_array(F.transform("_spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     first = F.struct(F.array().cast("array<array<string>>").alias("blocks"), F.array().cast("array<string>").alias("block"), F.lit(0).alias("at"))
@@ -318,8 +321,8 @@ def redacted(docs: DataFrame, text: str = "text", size: str = "n_chars") -> Data
         return F.concat(F.array_join(F.flatten(F.concat(s["blocks"], F.array(s["block"]))), ""), tail)
 
     made = F.when(F.size("_spans") > 0, F.aggregate(by_start, first, step, finish)).otherwise(F.col(f"`{text}`"))
-    out = marked.select(*[F.col(f"`{c}`") for c in columns], F.inline(F.array(F.struct(made.alias("_made")))))
+    out = marked.select(*masked.df.columns, F.inline(F.array(F.struct(made.alias("_made")))))
     changed = {text: F.col("_made")}
-    if size in columns:
-        changed[size] = F.when(F.col("_made").isNull(), F.col(f"`{size}`")).otherwise(F.char_length("_made").cast("long"))
-    return out.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+    if size:
+        changed[size] = F.when(F.col("_made").isNull(), F.col(size)).otherwise(F.char_length("_made").cast("long"))
+    return masked.restore(out.select(*[changed.get(c, F.col(c)).alias(c) for c in masked.df.columns]))

@@ -30,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import arrow_type, map_slices, written
+from tidemark.llm.common import Masked, arrow_type, map_slices, written
 
 #: Seed of the shingle hash.
 SEED = 42
 #: Fingerprints in a file that are compared pair by pair; larger files are linked through neighbouring points.
 FILE_LIMIT = 64
+#: Pairs that a task gathers before it hands on the links that span them.
+HELD_PAIRS = 300_000
 #: Wide fingerprints: blocks of the first half, how many are filed together, and the bits of both halves that may differ.
 BLOCKS, CHOSEN, WIDE_DISTANCE = 10, 3, 24
 
@@ -327,6 +329,6 @@ def representatives(docs: DataFrame, shingle: int = 5, distance: int = WIDE_DIST
     # a component's root is its least node, and a node the least id of its texts
     gone = roots.where("node != root").select("node")
     first = written(nodes.join(gone, "node", "left_anti").withColumnRenamed("node", "_id"), "fingerprint-firsts")
-    order = Window.partitionBy("_id", "f0", "f1").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    order = Window.partitionBy("_id", "f0", "f1").orderBy(F.xxhash64(*columns))
     same = prints.join(first, ["_id", "f0", "f1"]).withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    return same.select(*[F.col(f"`{c}`") for c in columns])
+    return masked.restore(same)
