@@ -4,8 +4,11 @@ from tidemark.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", **{
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    })
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

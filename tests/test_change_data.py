@@ -192,20 +192,29 @@ def test_config_from_dict_and_merge_columns(spark):
     assert (row["id"], row["price"], config.merge_columns) == ("7", Decimal("-12.35"), ("id", "name"))
 
 
-def test_scratch_folder_without_a_setting(spark):
+def test_scratch_folder_is_shared_in_every_mode():
     from tidemark.session import scratch_path
 
     class Bare:
         class conf:
-            get = staticmethod(lambda *_: None)
+            settings = {"spark.sql.warehouse.dir": "hdfs://house/"}
+            get = staticmethod(lambda key, default=None: Bare.conf.settings.get(key, default))
 
-        class sparkContext:
-            master = "spark://somewhere"
+    assert scratch_path(Bare, "x").startswith("hdfs://house/_shared/x-") and scratch_path(Bare, "x") != scratch_path(Bare, "x")
+    Bare.conf.settings["spark.checkpoint.dir"] = "s3://shared/"
+    assert scratch_path(Bare, "x").startswith("s3://shared/x-")
 
-    with pytest.raises(RuntimeError):
-        scratch_path(Bare, "x")
-    Bare.sparkContext.master = "local[2]"
-    assert scratch_path(Bare, "x") != scratch_path(Bare, "x")
+
+@pytest.mark.parametrize(("text", "good"), [
+    ('{"a":1}{"b":2}', False), ('{"a":1},{"b":2}', False), ('{"a":1} x {"b":2}', False), ('{"a":1},"x":{"b":2}', False),
+    ('{"a":1}}{"b":{"c":1}', False), ('{"a":1}] [{"b":2}', False), ("{'a':1}", False), ('{"a":NaN', False), ("", False),
+    ('{"a":1,"a":2}', True), (' \n{"a":{"b":"}{\'"}}\t', True), ('{"a":"' + "x" * 100000 + '"}', True), ("{}", True),
+])
+def test_only_one_whole_object_is_valid(spark, text, good):
+    from tidemark.functions.payloads import is_json_object
+
+    frame = spark.createDataFrame([(text,)], "v string").repartition(1)
+    assert bool(frame.select(is_json_object(F.col("v"))).first()[0]) is good
 
 
 def test_counted_append_of_rows_and_of_nothing(spark, tmp_path):

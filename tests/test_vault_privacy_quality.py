@@ -182,3 +182,32 @@ def test_freshness_limits(spark):
     df = spark.createDataFrame([("2020-01-01 00:00:00",)], "s string").select(F.col("s").cast("timestamp_ntz").alias("ts"))
     for now, want in (("2020-01-01 00:30:00", "PASS"), ("2020-01-01 00:30:01", "WARN"), ("2020-01-01 02:00:01", "ERROR")):
         assert quality.freshness(df, "ts", at(now)).first()["status"] == want
+
+
+def test_hub_rows_with_null_parts_and_spellings(spark):
+    load = F.lit("2020-01-01").cast("timestamp")
+    rows = spark.createDataFrame([(1, None), (None, 1), (2, 3), (2, 3)], "a int, b int")
+    found = vault.hub_rows(rows, ["a", "b"], "h", load, "s").collect()
+    assert len(found) == len({r["h"] for r in found}) == 2
+    text = spark.createDataFrame([("b ",), ("B",), ("b",)], "k string").repartition(3)
+    assert [r["k"] for r in vault.hub_rows(text, ["k"], "h", load, "s").collect()] == ["B"]
+
+
+def test_read_since_without_a_time_column_reads_all(spark):
+    frame = spark.createDataFrame([(1,), (2,)], "id int")
+    assert vault.read_since(frame, F.lit("2020-01-01").cast("timestamp")).count() == 2
+
+
+def test_random_keys_are_long_and_distinct(spark):
+    keys = spark.range(1000).select(F.when(F.col("id") > 3, F.col("id")).alias("subject_id")).select(privacy.random_key().alias("k")).collect()
+    assert {len(r["k"]) for r in keys} == {32} and len({bytes(r["k"]) for r in keys}) == 1000
+
+
+def test_equality_shuffles_once(spark):
+    from tidemark.operators.assertions import tables
+
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "i int, s string")
+    b = spark.createDataFrame([(1, None), (3, "y")], "i int, s string")
+    found = tables.equality(a, b)
+    assert sorted(map(tuple, found.collect())) == [(2, "x", "a_minus_b"), (3, "y", "b_minus_a")]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2

@@ -25,18 +25,21 @@ def is_blank(text: Column) -> Column:
 
 
 def is_json_object(text: Column) -> Column:
-    """Whether the text is one complete JSON object.
+    """Whether the text is one complete JSON object in double quotes.
 
-    The parser alone accepts trailing text, so the last non-blank character must close an
-    object and braces outside quoted strings must balance. Escapes are taken out before
-    strings, which leaves a pattern without nesting: it is linear on texts of any length.
+    The parser alone stops after a first document. In brackets the text must still be one element, and
+    as the value of a field it must still close there; so trailing text, second documents and unbalanced
+    braces are invalid. Repeated keys are valid.
     """
-    bare = _trimmed(text)
-    unescaped = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
-    outside = F.regexp_replace(unescaped, '"[^"]*"', "")
-    opened = F.length(F.regexp_replace(outside, "[^{]+", ""))
-    closed = F.length(F.regexp_replace(outside, "[^}]+", ""))
-    return bare.startswith("{") & bare.endswith("}") & F.get_json_object(text, "$").isNotNull() & (opened == closed)
+    listed = F.concat(F.lit("["), text, F.lit("]"))
+    field = F.concat(F.lit('{"w":'), text, F.lit("}"))
+    return (
+        _trimmed(text).startswith("{")
+        & F.get_json_object(listed, "$").isNotNull()
+        & F.get_json_object(listed, "$[1]").isNull()
+        & F.get_json_object(field, "$").isNotNull()
+        & F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"}).isNotNull()
+    )
 
 
 def quarantine_reason(value: Column) -> Column:

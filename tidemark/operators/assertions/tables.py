@@ -67,10 +67,11 @@ def equality(
             (F.round(F.col(c), precision) if precision is not None and c in numeric else F.col(c)).alias(c) for c in names
         ])
 
-    # Copies are removed map-side before the two tables meet, so a much repeated row is cheap.
-    a, b = shaped(df).distinct(), shaped(compare).distinct()
-    left = a.subtract(b).withColumn("which_diff", F.lit("a_minus_b"))
-    return left.unionByName(b.subtract(a).withColumn("which_diff", F.lit("b_minus_a")))
+    # One shuffle: both tables are marked and combined by row, copies map-side.
+    marked = shaped(df).withColumn("_in_a", F.lit(True)).unionByName(shaped(compare).withColumn("_in_a", F.lit(False)))
+    sides = marked.groupBy(*names).agg(F.bool_or("_in_a").alias("_any_a"), F.bool_and("_in_a").alias("_all_a"))
+    found = sides.where(F.col("_any_a") == F.col("_all_a"))
+    return found.select(*names, F.when(F.col("_any_a"), "a_minus_b").otherwise("b_minus_a").alias("which_diff"))
 
 
 def unique_combination_of_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

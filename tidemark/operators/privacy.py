@@ -30,8 +30,16 @@ def personal_columns(config: Sequence[Mapping[str, object]], spark) -> DataFrame
 
 
 def random_key() -> Column:
-    """A fresh 256-bit key per row. Store the result before using it: it differs per evaluation."""
-    return F.unhex(F.sha2(F.concat(F.uuid(), F.uuid()), 256))
+    """A fresh 256-bit key per row of ``subject_id``. Store the result before using it: it differs per evaluation.
+
+    The entropy is that of the nonces which encryption draws from the system's secure generator. The encrypted
+    texts depend on the row and differ, or the optimizer would fold the calls into one constant.
+    """
+    def nonce(i: int) -> Column:
+        text = F.concat(F.coalesce(F.col("subject_id").cast("string"), F.lit("")), F.lit(f"#{i}"))
+        return F.substring(F.aes_encrypt(text, F.lit("0" * 16), F.lit("GCM")), 1, 12)
+
+    return F.unhex(F.sha2(F.concat(*[nonce(i) for i in range(3)]), 256))
 
 
 def derived_key(secret: str) -> Column:

@@ -13,27 +13,26 @@ from tidemark.operators.upsert import latest_per_key, new_rows, update_or_insert
 TEXT_TYPES = ("string", "varchar", "char")
 
 
-def read_since(df: DataFrame, watermark: Column | None, column: str = "last_updated_dt", fallback: str | None = None) -> DataFrame:
-    """Source rows at or past a watermark; all rows when no watermark is given."""
-    if watermark is None:
-        return df
-    name = column if column in df.columns else fallback
-    return df.filter(F.col(name) >= watermark) if name else df
+def read_since(df: DataFrame, watermark: Column | None, column: str = "last_updated_dt") -> DataFrame:
+    """Source rows at or past a watermark; all rows without a watermark or a time column to hold it against."""
+    return df if watermark is None or column not in df.columns else df.filter(F.col(column) >= watermark)
 
 
 def hub_rows(source: DataFrame, keys: Sequence[str], hash_name: str, load_date: Column, record_source: str, hash_column: Column | None = None) -> DataFrame:
     """One row per business key, hashed.
 
-    Number keys are made distinct before hashing, on the raw columns; text keys can share a hash
-    by case or padding and are made distinct by it.
+    A single number key is made distinct before hashing, on the raw column. Text keys can share a hash
+    by case or padding, and composite keys by their nulls, so these are made distinct by it; the least
+    key stands for all, so that reruns agree.
     """
     hashed = business_hash(keys) if hash_column is None else hash_column
     folds = any(source.schema[k].dataType.typeName() in TEXT_TYPES for k in keys)
-    chosen = source.select(*keys) if folds else source.select(*keys).distinct()
-    rows = chosen.select(
-        hashed.alias(hash_name), *keys, load_date.alias("load_date"), F.lit(record_source).alias("record_source")
-    )
-    return rows.dropDuplicates([hash_name]) if folds else rows
+    if folds or len(keys) > 1 or hash_column is not None:
+        chosen = source.select(hashed.alias(hash_name), F.struct(*keys).alias("_key")).groupBy(hash_name).agg(F.min("_key").alias("_key"))
+        chosen = chosen.select(hash_name, "_key.*")
+    else:
+        chosen = source.select(*keys).distinct().select(hashed.alias(hash_name), *keys)
+    return chosen.select(hash_name, *keys, load_date.alias("load_date"), F.lit(record_source).alias("record_source"))
 
 
 def load_hub(hub: DataFrame, rows: DataFrame, hash_name: str, keep_first_load_date: bool = True) -> DataFrame:

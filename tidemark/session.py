@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -35,11 +33,6 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 class Tables:
     """Attribute access to the parquet tables under one directory."""
 
@@ -79,14 +72,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint location.
-
-    ``spark.checkpoint.dir`` names the shared folder. Only a local session without that setting
-    (tests, a single machine) gets a temporary folder; a cluster must name one.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = _local_base()
+    """A fresh folder that all executors reach: under ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
