@@ -164,10 +164,12 @@ def test_keep_first_plan_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_deduplicate_golden(spark):
-    rows = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
-    got = upsert.keep_first(rows, ["user_id"], [F.col("version").desc()])
-    assert {tuple(r) for r in got.collect()} == {(1, "play", 2), (2, "pause", 1)}
+def test_keep_first_with_ties_and_nulls(spark):
+    rows = spark.createDataFrame(
+        [(7, "late", 30), (7, "early", 10), (7, "unknown", None), (None, "a", 2), (None, "b", 5), (8, "same", 1), (8, "same", 1)],
+        "sensor int, reading string, taken int")
+    got = upsert.keep_first(rows, ["sensor"], [F.col("taken").asc_nulls_last()])
+    assert sorted(map(repr, map(tuple, got.collect()))) == ["(7, 'early', 10)", "(8, 'same', 1)", "(None, 'a', 2)"]
 
 
 def test_replaced_slices_are_idempotent(spark, tmp_path):

@@ -15,9 +15,9 @@ def rows(df):
 
 
 def test_pivot(spark):
-    df = spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
-    got = relational.pivot(df, ["size"], "color", ["red", "blue", "blue's"])
-    assert got.columns == ["size", "red", "blue", "blue's"] and rows(got) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
+    df = spark.createDataFrame([(1, "o'clock"), (1, "day"), (1, "day"), (2, None), (3, "week")], "room int, slot string")
+    got = relational.pivot(df, ["room"], "slot", ["day", "o'clock", "never"])
+    assert got.columns == ["room", "day", "o'clock", "never"] and rows(got) == [(1, 2, 1, 0), (2, 0, 0, 0), (3, 0, 0, 0)]
 
 
 def test_unpivot(spark):

@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.sources.contracts import LANDING
 
-# Fixed value: topics are named cdc.<schema>.<table>.
-TOPIC = r"^[^.]+\.([^.]+)\.([^.]+)$"
-
 
 def landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental stream of landed JSON change records, explicit schema, no inference."""
@@ -23,14 +20,18 @@ def landing_batch(spark: SparkSession, path: str) -> DataFrame:
 
 
 def normalise_landing(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Landing record to event row: typed times, topic split, unmatched topics dropped."""
-    return (
-        records.withColumn("kafka_timestamp", F.timestamp_millis(F.col("timestamp")))
-        .withColumn("ingested_at", F.current_timestamp() if ingested_at is None else ingested_at)
-        .withColumn("source_schema", F.regexp_extract("topic", TOPIC, 1))
-        .withColumn("table_name", F.regexp_extract("topic", TOPIC, 2))
-        .filter(F.col("table_name") != "")
-        .drop("timestamp")
+    """Event rows of the landing records whose topic names a server, a schema and a table (a fixed form).
+
+    The millisecond time becomes a timestamp; all other columns stay.
+    """
+    names = F.split("topic", r"\.")
+    complete = (F.size(names) == 3) & ~F.array_contains(names, "")
+    return records.where(complete).select(
+        *[c for c in records.columns if c != "timestamp"],
+        F.timestamp_millis("timestamp").alias("kafka_timestamp"),
+        (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
+        F.get(names, F.lit(1)).alias("source_schema"),
+        F.get(names, F.lit(2)).alias("table_name"),
     )
 
 
