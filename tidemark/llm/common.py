@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: Characters of text that a Python task works on at a time; rows are never cut, a longer text is a slice of its own.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 400_000
+#: Bytes of the Arrow batches that Spark hands to a Python task, unless the application is configured with a bound of its own.
+BATCH_BYTES = "8m"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,6 +47,13 @@ def arrow_type(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound what a Python task holds at a time by bytes; ten thousand long rows would be one batch otherwise."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def map_slices(df: DataFrame, text: str, keep: list[str], added: str, function: Callable[[list[str]], list]) -> DataFrame:
     """Apply ``function`` to whole texts (null: empty) in slices; return the ``keep`` columns and the added ones.
 
@@ -52,6 +61,7 @@ def map_slices(df: DataFrame, text: str, keep: list[str], added: str, function:
     """
     spark_type = T.StructType([df.schema[c] for c in keep] + T._parse_datatype_string(added).fields)
     out = arrow_type(spark_type)
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

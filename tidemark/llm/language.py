@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import arrow_type, map_slices
+from tidemark.llm.common import arrow_type, bound_batches, map_slices, slices
 
 #: Distinct texts that are learned from, for each language.
 SAMPLE = 2000
@@ -55,15 +55,18 @@ def gram_counts(sample: DataFrame) -> DataFrame:
     from pyspark.sql import types as T
 
     out = arrow_type(T._parse_datatype_string(schema))
+    bound_batches(sample.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                texts.setdefault(lang, []).append(text.encode())
-            for lang, parts in texts.items():
-                grams, n = np.unique(np.concatenate([grams_of(p) for p in parts]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], schema=out)
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in slices(texts):
+                parts: dict[str, list[np.ndarray]] = {}
+                for lang, text in zip(langs[a:b], texts[a:b], strict=True):
+                    parts.setdefault(lang, []).append(grams_of(text.encode()))
+                for lang, found in parts.items():
+                    grams, n = np.unique(np.concatenate(found), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n)], schema=out)
 
     return sample.select("lang", "text").mapInArrow(run, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 

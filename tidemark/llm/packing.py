@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.llm import bpe
-from tidemark.llm.common import arrow_type, slices, written
+from tidemark.llm.common import arrow_type, bound_batches, slices, written
 
 CAPACITY = 1024
 #: Rounds of multiplicative weights.
@@ -189,6 +189,7 @@ def pieces(docs: DataFrame, keep: list[str], path: str, end_id: int, capacity: i
     extra = ", ids array<int>" if with_ids else ""
     schema = T.StructType([docs.schema[c] for c in keep] + T._parse_datatype_string(PIECES + extra).fields)
     out = arrow_type(schema)
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
