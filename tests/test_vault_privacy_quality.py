@@ -134,6 +134,8 @@ def verdict(spark, changes, policy, **kw):
     ([("a", "f", "added")], "additive_only", "WARNING", True),
     ([("a", "f", "removed")], "additive_only", "CRITICAL", False),
     ([("a", "f", "type_changed")], "permissive", "CRITICAL", True),
+    ([("a", None, "unparsed")], "strict", "WARNING", False),
+    ([("a", None, "unparsed")], "additive_only", "WARNING", True),
 ])
 def test_drift_policies(spark, changes, policy, severity, valid):
     row = verdict(spark, changes, policy)
@@ -146,11 +148,18 @@ def test_field_types_are_those_of_the_json(spark):
     got = {(r["field"], r["json_type"]): r["n_events"] for r in drift.field_profile(df, F.col("j"), "t").collect()}
     assert got == {
         ("a", "number"): 1, ("a", "string"): 1, ("b", "string"): 1, ("c", "object"): 1, ("d", "array"): 1,
-        ("e", "boolean"): 1, ("f", "null"): 1, ("g", "number"): 1,
+        ("e", "boolean"): 1, ("f", "null"): 1, ("g", "number"): 1, (None, "unparsed"): 3,
     }
     contract = spark.createDataFrame([("t", f, k) for f, k in (("a", "number"), ("b", "string"), ("f", "string"), ("z", "string"))], "t string, field string, json_type string")
     changes = {r["field"]: r["change"] for r in drift.classify_drift(drift.field_profile(df, F.col("j"), "t"), contract, "t").collect()}
-    assert changes == {"a": "type_changed", "c": "added", "d": "added", "e": "added", "g": "added", "z": "removed"}
+    assert changes == {"a": "type_changed", "c": "added", "d": "added", "e": "added", "g": "added", "z": "removed", None: "unparsed"}
+
+
+def test_profile_reads_both_images_and_repeated_keys_once_an_event(spark):
+    rows = [('{"a":1,"a":"x"}', '{"a":2,"b":null}'), (None, '{"a":3}'), ('{"b":1', '{"b":2}'), ('{"o":{"x":1,"x":2}}', None)]
+    df = spark.createDataFrame([("t", *r) for r in rows], "t string, before string, after string")
+    got = {(r["field"], r["json_type"]): r["n_events"] for r in drift.field_profile(df, [F.col("before"), F.col("after")], "t").collect()}
+    assert got == {("a", "number"): 2, ("a", "string"): 1, ("b", "null"): 1, ("b", "number"): 1, (None, "unparsed"): 2}
 
 
 def test_lenient_strict_policy_and_gate(spark):

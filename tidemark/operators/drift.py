@@ -2,46 +2,65 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.sources.contracts import POLICIES
 
+#: Type in a profile, and change, that stands for events that could not be read.
+UNPARSED = "unparsed"
+
 
 class SchemaDriftError(RuntimeError):
     """Raised when the policy does not allow the drift that was found."""
 
 
-def field_profile(events: DataFrame, json_column: Column, by: str) -> DataFrame:
-    """Fields and JSON types that occur in the objects, with event counts.
+def field_profile(events: DataFrame, images: Column | Sequence[Column], by: str) -> DataFrame:
+    """Fields and JSON types that occur in the events' objects, with event counts.
 
-    Each object is parsed once into typed members, so the text "12" is told from the number 12.
-    Objects that repeat a key do not parse and are left out.
+    ``images`` are the JSON texts of an event's objects, such as before and after. Each is parsed once into typed
+    members, so the text "12" is told from the number 12; repeated keys keep all their types. An event counts
+    once for a field and type, in however many images these occur. An event with an image that can't be parsed,
+    or with none, also counts in a row of its table with no field and the type ``unparsed``.
     """
-    objects = events.select(by, json_column.alias("_json")).filter(F.col("_json").isNotNull())
-    members = events.sparkSession.tvf.variant_explode(F.try_parse_json(F.col("_json").outer()))
-    found = F.schema_of_variant("value")
-    kind = (
-        F.when(found == "VOID", "null")
-        .when(found.startswith("OBJECT"), "object")
-        .when(found.startswith("ARRAY"), "array")
-        .when(found == "BOOLEAN", "boolean")
-        .when(found == "STRING", "string")
-        .otherwise("number")
+    images = [images] if isinstance(images, Column) else list(images)
+    texts = F.array_compact(F.array(*images))
+    parsed = events.select(by, F.transform(texts, lambda j: F.from_json(j, "map<string,variant>")).alias("_maps"))
+
+    def kind(value: Column) -> Column:
+        found = F.schema_of_variant(value)
+        return (
+            F.when(found == "VOID", "null")
+            .when(found.startswith("OBJECT"), "object")
+            .when(found.startswith("ARRAY"), "array")
+            .when(found == "BOOLEAN", "boolean")
+            .when(found == "STRING", "string")
+            .otherwise("number")
+        )
+
+    def pair(field: Column, json_type: Column) -> Column:
+        return F.struct(field.alias("field"), json_type.alias("json_type"))
+
+    members = F.transform(
+        F.flatten(F.transform(F.array_compact("_maps"), F.map_entries)), lambda e: pair(e["key"], kind(e["value"]))
     )
-    pairs = objects.lateralJoin(members).filter(F.col("key").isNotNull())
-    return pairs.select(by, F.col("key").alias("field"), kind.alias("json_type")).groupBy(by, "field", "json_type").agg(
+    unread = (F.size("_maps") == 0) | F.exists("_maps", lambda m: m.isNull())
+    lost = F.when(unread, F.array(pair(F.lit(None).cast("string"), F.lit(UNPARSED)))).otherwise(F.array())
+    pairs = parsed.select(by, F.explode(F.array_union(members, lost)).alias("_p"))
+    return pairs.groupBy(by, F.col("_p.field").alias("field"), F.col("_p.json_type").alias("json_type")).agg(
         F.count(F.lit(1)).alias("n_events")
     )
 
 
 def classify_drift(profile: DataFrame, contract: DataFrame, by: str) -> DataFrame:
-    """Added, removed and type-changed fields per table.
+    """Added, removed and type-changed fields per table, and a row without a field for tables with unparsed events.
 
     ``contract`` has one row per table and field with the allowed ``json_type``. Nulls never
     contradict a type.
     """
+    lost = profile.filter(F.col("json_type") == UNPARSED).select(by, F.lit(UNPARSED).alias("change")).distinct()
+    profile = profile.filter(F.col("json_type") != UNPARSED)
     seen = profile.filter("json_type <> 'null'").groupBy(by, "field").agg(
         F.array_join(F.array_sort(F.collect_set("json_type")), ",").alias("seen_type")
     )
@@ -59,13 +78,14 @@ def classify_drift(profile: DataFrame, contract: DataFrame, by: str) -> DataFram
         )
         .filter("change is not null")
         .select(by, "field", "contract_type", "seen_type", "change")
+        .unionByName(lost, allowMissingColumns=True)
     )
 
 
 def drift_severity(changes: DataFrame, tables: DataFrame, by: str, policy: str = "strict", allow_additive: bool = False) -> DataFrame:
-    """Severity and policy verdict per table: NONE, WARNING (additions) or CRITICAL.
+    """Severity and policy verdict per table: NONE, WARNING (additions, unparsed events) or CRITICAL.
 
-    ``allow_additive`` gives the lenient reading of the strict policy, where additions pass.
+    Only the strict policy blocks unparsed events. ``allow_additive`` gives the lenient reading of the strict policy, where additions pass.
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown drift policy {policy!r}")
@@ -74,22 +94,26 @@ def drift_severity(changes: DataFrame, tables: DataFrame, by: str, policy: str =
         listed("added").alias("added_columns"),
         listed("removed").alias("removed_columns"),
         listed("type_changed").alias("type_changes"),
+        F.max(F.col("change") == UNPARSED).alias("has_unparsed"),
     )
     filled = tables.select(by).distinct().join(summary, by, "left")
     empty = F.array().cast("array<string>")
     names = ("added_columns", "removed_columns", "type_changes")
-    filled = filled.withColumns({c: F.coalesce(F.col(c), empty) for c in names})
+    filled = filled.withColumns(
+        {c: F.coalesce(F.col(c), empty) for c in names} | {"has_unparsed": F.coalesce("has_unparsed", F.lit(False))}
+    )
     breaking = (F.size("removed_columns") + F.size("type_changes")) > 0
     additive = F.size("added_columns") > 0
+    unread = F.col("has_unparsed")
     if policy == "permissive":
         blocked = F.lit(False)
-    elif policy == "additive_only" or allow_additive:
+    elif policy == "additive_only":
         blocked = breaking
     else:
-        blocked = breaking | additive
+        blocked = breaking | unread if allow_additive else breaking | additive | unread
     return filled.withColumns(
         {
-            "severity": F.when(breaking, "CRITICAL").when(additive, "WARNING").otherwise("NONE"),
+            "severity": F.when(breaking, "CRITICAL").when(additive | unread, "WARNING").otherwise("NONE"),
             "is_valid": ~blocked,
         }
     )
@@ -101,7 +125,7 @@ def require_no_drift(verdicts: DataFrame, by: str) -> None:
     if row is not None:
         raise SchemaDriftError(
             f"{row[by]}: severity {row['severity']}, added {row['added_columns']}, "
-            f"removed {row['removed_columns']}, changed {row['type_changes']}"
+            f"removed {row['removed_columns']}, changed {row['type_changes']}, unparsed {row['has_unparsed']}"
         )
 
 

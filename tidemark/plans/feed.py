@@ -102,6 +102,16 @@ def order_landing(t: Tables) -> DataFrame:
     )
 
 
+def drifting_landing(t: Tables) -> DataFrame:
+    """The order feed with updates that repeat a key under another type, and cut creations of one priority."""
+    text = F.col("value")
+    cut = text.contains('"op":"c"') & text.contains('"priority":"4-NOT SPECIFIED"')
+    repeated = F.replace(text, F.lit('"order_id":'), F.lit('"order_id":"x","order_id":'))
+    return order_landing(t).withColumn(
+        "value", F.when(cut, F.substring(text, 1, 10)).when(text.contains('"op":"u"'), repeated).otherwise(text)
+    )
+
+
 def order_events(t: Tables) -> DataFrame:
     """The same events in their stored (normalised) layout."""
     from tidemark.sources.landing import normalise_landing

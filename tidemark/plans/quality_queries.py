@@ -231,48 +231,66 @@ def quality_unique_grain(t: Tables) -> DataFrame:
     return unique_combination_of_columns(t.part, ["p_brand", "p_type"])
 
 
+# The drifting feed's fields and types by the events that show them, from the orders and customer tables alone.
+PROFILE_SQL = f"""
+  WITH ev AS (SELECT *, op = 'c' AND o_orderpriority = '4-NOT SPECIFIED' AS cut FROM ({EVENTS_SQL})), found AS (
+    SELECT 'orders' AS table_name, NULL AS field, 'unparsed' AS json_type FROM ev WHERE cut
+    UNION ALL SELECT 'orders', 'order_id', 'number' FROM ev WHERE NOT cut
+    UNION ALL SELECT 'orders', 'order_id', 'string' FROM ev WHERE op = 'u'
+    UNION ALL SELECT 'orders', f, 'number' FROM ev, unnest(['customer_id', 'ordered_at']) u(f) WHERE NOT cut AND op <> 'd'
+    UNION ALL SELECT 'orders', f, 'string' FROM ev, unnest(['status', 'priority', 'total']) u(f) WHERE NOT cut AND op <> 'd'
+    UNION ALL SELECT 'customer', 'customer_id', 'number' FROM customer
+    UNION ALL SELECT 'customer', 'name', 'string' FROM customer
+    UNION ALL SELECT 'customer', 'balance', 'object' FROM customer)
+  SELECT table_name, field, json_type, count(*) AS n_events FROM found GROUP BY ALL"""
+
+FIELDS = [
+    ("orders", "order_id", "number"), ("orders", "customer_id", "number"), ("orders", "status", "string"),
+    ("orders", "priority", "number"), ("orders", "ordered_at", "number"), ("orders", "total", "string"),
+    ("orders", "comment", "string"), ("customer", "customer_id", "number"), ("customer", "name", "string"),
+]
+CHANGES_SQL = f"""
+  WITH p AS ({PROFILE_SQL}), k(table_name, field, contract_type) AS (VALUES {", ".join(map(str, FIELDS))}),
+  seen AS (SELECT table_name, field, string_agg(json_type, ',' ORDER BY json_type) AS seen_type FROM p WHERE json_type <> 'unparsed' GROUP BY 1, 2)
+  SELECT * FROM (
+    SELECT table_name, field, contract_type, seen_type,
+      CASE WHEN contract_type IS NULL THEN 'added' WHEN seen_type IS NULL THEN 'removed' WHEN seen_type <> contract_type THEN 'type_changed' END AS change
+    FROM seen FULL JOIN k USING (table_name, field)) WHERE change IS NOT NULL
+  UNION ALL SELECT DISTINCT table_name, NULL, NULL, NULL, 'unparsed' FROM p WHERE json_type = 'unparsed'"""
+VERDICTS_SQL = f"""
+  SELECT table_name, {", ".join(f"coalesce(string_agg(field, ',' ORDER BY field) FILTER (change = '{c}'), '') AS {n}" for c, n in (("added", "added_columns"), ("removed", "removed_columns"), ("type_changed", "type_changes")))},
+    bool_or(change = 'unparsed') AS has_unparsed, CASE WHEN bool_or(change IN ('removed', 'type_changed')) THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+    NOT bool_or(change IN ('removed', 'type_changed')) AS is_valid FROM ({CHANGES_SQL}) GROUP BY 1"""
+
+
 def _drift_profile(t: Tables) -> DataFrame:
-    events = feed.order_events(t).unionByName(landing.normalise_landing(feed.customer_landing(t), F.current_timestamp()))
-    return drift.field_profile(events, F.get_json_object("value", "$.payload.after"), "table_name")
+    landed = feed.drifting_landing(t).unionByName(feed.customer_landing(t))
+    images = [F.get_json_object("value", f"$.payload.{image}") for image in ("before", "after")]
+    return drift.field_profile(landing.normalise_landing(landed, F.current_timestamp()), images, "table_name")
 
 
 def _contract(t: Tables) -> DataFrame:
-    rows = [
-        ("orders", "order_id", "number"), ("orders", "customer_id", "number"), ("orders", "status", "string"),
-        ("orders", "priority", "number"), ("orders", "ordered_at", "number"), ("orders", "total", "string"),
-        ("orders", "comment", "string"), ("customer", "customer_id", "number"), ("customer", "name", "string"),
-    ]
-    return t.spark.createDataFrame(rows, "table_name string, field string, json_type string")
+    return t.spark.createDataFrame(FIELDS, "table_name string, field string, json_type string")
 
 
-@query("drift_field_profile", f"""
-WITH ev AS ({EVENTS_SQL}), o AS (SELECT count(*) AS n FROM ev WHERE op <> 'd'), c AS (SELECT count(*) AS n FROM customer)
-SELECT 'orders' AS table_name, f AS field, CASE WHEN f IN ('status', 'priority', 'total') THEN 'string' ELSE 'number' END AS json_type, n AS n_events
-FROM o, unnest(['order_id', 'customer_id', 'status', 'priority', 'ordered_at', 'total']) u(f)
-UNION ALL SELECT 'customer', f, CASE f WHEN 'customer_id' THEN 'number' WHEN 'name' THEN 'string' ELSE 'object' END, n
-FROM c, unnest(['customer_id', 'name', 'balance']) u(f)""")
+@query("drift_field_profile", PROFILE_SQL)
 def drift_field_profile(t: Tables) -> DataFrame:
+    """Both images of all events; repeated keys and events that can't be parsed are counted."""
     return _drift_profile(t)
 
 
-@query("drift_classify", """
-SELECT 'orders' AS table_name, 'priority' AS field, 'number' AS contract_type, 'string' AS seen_type, 'type_changed' AS change
-UNION ALL SELECT 'orders', 'comment', 'string', NULL, 'removed' UNION ALL SELECT 'customer', 'balance', NULL, 'object', 'added'""")
+@query("drift_classify", CHANGES_SQL)
 def drift_classify(t: Tables) -> DataFrame:
     return drift.classify_drift(_drift_profile(t), _contract(t), "table_name")
 
 
-@query("drift_policy", """
-SELECT 'orders' AS table_name, '' AS added_columns, 'comment' AS removed_columns, 'priority' AS type_changes, 'CRITICAL' AS severity, false AS is_valid
-UNION ALL SELECT 'customer', 'balance', '', '', 'WARNING', true""")
+@query("drift_policy", VERDICTS_SQL)
 def drift_policy(t: Tables) -> DataFrame:
     changes = drift.classify_drift(_drift_profile(t), _contract(t), "table_name")
     return drift.drift_severity(changes, _contract(t), "table_name", policy="additive_only")
 
 
-@query("drift_log", """
-SELECT 'run-1' AS pipeline_run_id, 'orders_feed' AS source_system, 'orders' AS table_name, 'CRITICAL' AS severity UNION ALL
-SELECT 'run-1', 'orders_feed', 'customer', 'WARNING'""")
+@query("drift_log", f"SELECT 'run-1' AS pipeline_run_id, 'orders_feed' AS source_system, table_name, severity FROM ({VERDICTS_SQL})")
 def drift_log(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "drift-log")
     changes = drift.classify_drift(_drift_profile(t), _contract(t), "table_name")
