@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, upsert
+from tidemark.operators.quality import QualityGateError
 from tidemark.sources import landing
 from tidemark.sources.contracts import Field, TableConfig
 from tidemark.streaming.pipelines import BronzeIngest, CurrentStateStream
@@ -69,6 +70,25 @@ def test_any_batching_gives_the_folded_state(spark, tmp_path, seed):
     assert {r["id"]: r["name"] for r in batch_state.collect()} == got
 
 
+def test_ties_in_time_go_by_offset_after_a_compaction(spark, tmp_path):
+    job = CurrentStateStream(CONFIG, str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema)
+    job.create(spark)
+    for batch, offset in enumerate((11, 10, 12)):
+        job.write_batch(frame(spark, [(offset, 5000, "u", 1, f"v{offset}")]), batch)
+        job.compact(spark)
+        assert [r["name"] for r in job.read(spark).collect()] == ["v12" if batch == 2 else "v11"]
+
+
+def test_empty_stream_and_null_keys(spark, tmp_path):
+    job = CurrentStateStream(CONFIG, str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema)
+    job.create(spark)
+    job.compact(spark)
+    assert job.read(spark).isEmpty()
+    with pytest.raises(QualityGateError):
+        job.write_batch(frame(spark, [(1, 5000, "u", 1, "v"), (2, 5000, "u", None, "w")]), 0)
+    assert job.read(spark).isEmpty()
+
+
 def test_ingest_replay_does_not_duplicate(spark, tmp_path):
     events = frame(spark, history(1, n=20)).unionByName(
         frame(spark, history(2, n=1)).withColumn("value", F.lit("broken"))

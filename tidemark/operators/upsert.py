@@ -33,18 +33,20 @@ def merge_changes(
     columns: Sequence[str] | None = None,
     event_time: str = "event_time",
     op: str = "op",
-    order_column: str | None = None,
+    order_column: str | Sequence[str] | None = None,
     keep_first_insert_time: bool = True,
 ) -> DataFrame:
     """Apply one change per key: update, delete on op ``d``, insert unless delete.
 
     Only columns the target has are written. ``last_updated_dt`` takes the event time, and
-    ``last_inserted_dt`` keeps its first value unless ``keep_first_insert_time`` is off. With ``order_column`` (present on both sides) a
-    change older than the stored row is ignored, so late batches cannot overwrite newer state.
+    ``last_inserted_dt`` keeps its first value unless ``keep_first_insert_time`` is off. With ``order_column`` (one
+    or several, present on both sides, compared in turn) a change older than the stored row is ignored, so late batches
+    cannot overwrite newer state; a null on either side doesn't hold a change back.
     """
     stamps = ("last_inserted_dt", "last_updated_dt")
     wanted = [c for c in (columns or changes.columns) if c in target.columns and c not in stamps and c not in keys]
-    needed = list(dict.fromkeys([*keys, *wanted, event_time, op, *([order_column] if order_column else [])]))
+    order = [order_column] if isinstance(order_column, str) else list(order_column or ())
+    needed = list(dict.fromkeys([*keys, *wanted, event_time, op, *order]))
     old = lambda name: F.col(f"_t_{name}")
     new = lambda name: F.col(f"_s_{name}")
 
@@ -54,8 +56,10 @@ def merge_changes(
 
     stored = F.col("_in_target").isNotNull()
     applies = F.col("_in_changes").isNotNull()
-    if order_column:
-        newer = F.coalesce(new(order_column) >= old(order_column), F.lit(True))
+    if order:
+        newer = F.lit(True)
+        for c in reversed(order):
+            newer = F.coalesce((new(c) > old(c)) | ((new(c) == old(c)) & newer), F.lit(True))
         applies = applies & (~stored | newer)
     deletes = applies & F.coalesce(new(op) == "d", F.lit(False))
 
