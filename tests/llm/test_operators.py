@@ -385,3 +385,18 @@ def test_pipeline_equals_its_stages(spark, docs):
     once = collections.Counter((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in docs_frame.collect())
     again = collections.Counter((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, PATH).collect())
     assert once == again and once
+
+
+def near_texts(random, words, changed):
+    """A text of so many distinct words, and a copy with every shingle of the last words changed."""
+    own = [f"w{random.integers(0, 1 << 40)}" for _ in range(words)]
+    return " ".join(own), " ".join([*own[: words - changed], *(f"v{random.integers(0, 1 << 40)}" for _ in range(changed))])
+
+
+def test_near_copies_are_those_of_exact_resemblance(spark):
+    random = np.random.default_rng(8)
+    near = [near_texts(random, 104, 11) for _ in range(60)]  # 89 of 111 shingles: 0.80
+    far = [near_texts(random, 104, 14) for _ in range(60)]  # 86 of 114: 0.75
+    rows = [(i, t) for i, t in enumerate(t for pair in near + far for t in pair)]
+    kept = {r["doc_id"] for r in simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {*range(0, 120, 2), *range(120, 240)}

@@ -9,10 +9,11 @@ exactly if some point is within one bit of both, so all members beside a point a
 Components come from alternating star contractions, written to the shared folder in each round.
 
 Two bits are very near copies. For texts whose five-word shingles resemble each other by 0.8 (``representatives``) about
-15 % of the bits differ, so there a fingerprint has two halves: the first is cut into ten blocks and filed under every
-three of them, and a pair is verified by the distance of both halves. Three blocks are surely shared up to 7 bits of
-the half, and mostly above that. Files are sorted runs scanned with bounded memory: the first ``FILE_LIMIT`` members
-are all compared; later ones with those and with the leaders, later members that are near none before them.
+15 % of the bits differ, with so wide a spread that no choice of blocks is both sure to be shared and selective. There
+texts are filed under ``BANDS`` hashes of ``ROWS`` least shingle hashes each, and every candidate pair is verified by the
+exact resemblance of its two sets of shingles. A pair at 0.8 shares no file once in eight million, above that less often.
+Pairs are tested unless their texts are in one component already: while files hold too many pairs, one leader of each is
+tested against its members, and then all pairs that lie in different components are (``resemblance_links``).
 
 Defined cases: a null text is an empty text; a text without words has fingerprint zero, which links like any other;
 a text with fewer words than a shingle is one shingle; very long texts are hashed whole; repeated rows link to
@@ -22,24 +23,24 @@ no other; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import Masked, arrow_type, map_slices, written
+from tidemark.llm.common import Masked, map_slices, written
 
 #: Seed of the shingle hash.
 SEED = 42
 #: Fingerprints in a file that are compared pair by pair; larger files are linked through neighbouring points.
 FILE_LIMIT = 64
-#: Pairs that a task gathers before it hands on the links that span them.
-HELD_PAIRS = 300_000
-#: Wide fingerprints: blocks of the first half, how many are filed together, and the bits of both halves that may differ.
-BLOCKS, CHOSEN, WIDE_DISTANCE = 10, 3, 24
+#: Files of a text for the resemblance of shingle sets, and least hashes that name a file together.
+BANDS, ROWS = 40, 5
+#: Percent of two texts' shingles that both must have to be near copies.
+RESEMBLANCE = 80
+#: Pairs of a file's members, for each member of a file, above which leaders are tested before all pairs.
+DENSE = 2
 
 
 def shingle_hashes(text: str, size: int) -> list[int]:
@@ -165,30 +166,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 2, doc_id
     return prints.join(named, "fp").select(doc_id, "fp", "component_id")
 
 
-def block_masks(blocks: int, chosen: int) -> np.ndarray:
-    """A mask of the chosen blocks' bits for each choice."""
-    cuts = [64 * i // blocks for i in range(blocks + 1)]
-    masks = [sum((1 << cuts[b + 1]) - (1 << cuts[b]) for b in some) for some in combinations(range(blocks), chosen)]
-    return np.array(masks, dtype=np.uint64).view(np.int64)
-
-
-def filed(nodes: DataFrame, blocks: int, chosen: int) -> DataFrame:
-    """(file, bits, node, f0, f1): each node under every choice of blocks."""
-    schema = "file short, bits long, node long, f0 long, f1 long"
-    out = arrow_type(T._parse_datatype_string(schema))
-    masks = block_masks(blocks, chosen)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                node, f0, f1 = (np.repeat(c.to_numpy(), len(masks)) for c in part.columns)
-                number = np.tile(np.arange(len(masks), dtype=np.int16), part.num_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (number, f0 & np.tile(masks, part.num_rows), node, f0, f1)], schema=out)
-
-    return nodes.select("node", "f0", "f1").mapInArrow(run, schema)
-
-
 class FileScan:
     """Links of the members of files, fed as sorted columns; memory holds one file's first members and leaders."""
 
@@ -281,54 +258,105 @@ def spanning(pairs: np.ndarray) -> np.ndarray:
     return np.stack([nodes[label[own]], nodes[own]], axis=1)
 
 
-def wide_links(nodes: DataFrame, distance: int, blocks: int = BLOCKS, chosen: int = CHOSEN) -> DataFrame:
-    """Links (a, b), a < b, that connect the nodes (node, f0, f1) within ``distance`` bits that share ``chosen`` blocks.
-
-    Tasks hand on links that span the components of the pairs they found, not all pairs of a group.
-    """
-    spark = nodes.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "a long, b long"
-    out = arrow_type(T._parse_datatype_string(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = FileScan(distance)
+def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
+    """Distinct shingle hashes of texts."""
+    return [np.unique(np.array(shingle_hashes(t, size), dtype=np.uint64)) for t in texts]
 
-        held: list[np.ndarray] = []
 
-        def linked() -> pa.RecordBatch:
-            pairs = spanning(np.concatenate(held)) if held else np.zeros((0, 2), np.int64)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
-
-        for batch in batches:
-            held.append(scan.feed([c.to_numpy() for c in batch.columns]))
-            if sum(map(len, held)) > HELD_PAIRS:
-                yield linked()
-        held.append(scan.feed([np.zeros(0, np.int16)] + [np.zeros(0, np.int64)] * 4, last=True))
-        yield linked()
-
-    rows = filed(nodes, blocks, chosen).repartition(tasks, "file", "bits").sortWithinPartitions("file", "bits", "node")
-    return rows.mapInArrow(run, schema).where("a < b").distinct()
+def banded(texts: list[str], size: int) -> list:
+    """For each text: a hash of its set of shingles, how many there are, and the files it belongs to (none without shingles)."""
+    sets = shingle_sets(texts, size)
+    counts = np.array([len(s) for s in sets], dtype=np.int64)
+    full = np.flatnonzero(counts)
+    keys: list = [[]] * len(texts)
+    if len(full):
+        flat, starts = np.concatenate([sets[i] for i in full]), np.append(0, np.cumsum(counts[full])[:-1])
+        random = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS), dtype=np.uint64)
+        made = np.empty((len(full), BANDS), dtype=np.uint64)
+        for band in range(BANDS):
+            made[:, band] = band
+            for mask, odd in random[:, band * ROWS : (band + 1) * ROWS].T:
+                made[:, band] = (made[:, band] ^ np.minimum.reduceat((flat ^ mask) * (odd | np.uint64(1)), starts)) * np.uint64(0x9E3779B97F4A7C15)
+                made[:, band] ^= made[:, band] >> np.uint64(29)
+        for i, row in zip(full, made.view(np.int64), strict=True):
+            keys[i] = row
+    nodes = np.array([xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
+    return [nodes, counts, keys]
+
+
+def similar(pairs: DataFrame, sets: DataFrame, resemblance: int = RESEMBLANCE) -> DataFrame:
+    """The pairs (a, b) whose ``sets`` (node, hashes) share at least ``resemblance`` percent of all their members."""
+    sides = {c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"h{c}")) for c in ("a", "b")}
+    both = F.size(F.array_intersect("ha", "hb"))
+    near = 100 * both >= resemblance * (F.size("ha") + F.size("hb") - both)
+    return pairs.join(sides["b"], "b").join(sides["a"], "a").where(near).select("a", "b")
+
+
+def resemblance_links(members: DataFrame, sets: DataFrame, resemblance: int = RESEMBLANCE, dense: float = DENSE) -> DataFrame:
+    """Links (a, b), a < b, that connect all pairs of ``members`` (key, node, n) of one file that are similar.
+
+    Texts of one component are connected already, so only pairs across components are tested. A large group of near copies
+    has very many pairs: while there are more than ``dense`` a member, each file's leader, another in each round, is
+    tested against the others. When few are left, or leaders link nothing more, all pairs across components are tested.
+    """
+    fits = 100 * F.least("n", "m") >= resemblance * F.greatest("n", "m")
+    ends = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    found, number = None, 0
+    open_ = members.withColumn("label", F.col("node"))
+    while True:
+        labels = open_.groupBy("key", "label").agg(F.count("*").alias("c"))
+        sizes = labels.groupBy("key").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("own"))
+        sizes = written(sizes.where("t * t > own"), "set-sizes")  # files of one component are done
+        t, pairs = sizes.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum((F.col("t") * F.col("t") - F.col("own")) / 2), F.lit(0))).first()
+        if not t:
+            break
+        open_ = written(open_.join(sizes.select("key"), "key"), "set-open")
+        other = open_.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("label").alias("label2"))
+        last = pairs <= dense * t
+        if last:
+            tested = open_.join(other, "key").where("node < other")
+        else:
+            first = other.groupBy("key").agg(F.min(F.struct(F.xxhash64("other", F.lit(number)).alias("h"), "other", "m", "label2")).alias("x"))
+            first = written(first.select("key", "x.other", "x.m", "x.label2"), "set-leaders")
+            tested = open_.join(first, "key")
+        tested = written(tested.where((F.col("label") != F.col("label2")) & fits).select(*ends).distinct(), "set-pairs")
+        new = written(similar(tested, sets, resemblance), "set-links")
+        linked = not new.isEmpty()
+        if linked:
+            found = new if found is None else found.unionByName(new)
+        if last:
+            break
+        if not linked:
+            dense = float("inf")
+            continue
+        roots = written(components(found), "set-roots").withColumnRenamed("node", "_node")
+        open_ = open_.drop("label").join(roots, F.col("node") == F.col("_node"), "left").select("key", "node", "n", F.coalesce("root", "node").alias("label"))
+        open_, number = written(open_, "set-labels"), number + 1
+    none = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    return none if found is None else found
 
 
-def representatives(docs: DataFrame, shingle: int = 5, distance: int = WIDE_DISTANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component of texts within ``distance`` of 128 bits: that of the smallest id, of repeated rows one.
+def representatives(docs: DataFrame, shingle: int = 5, resemblance: int = RESEMBLANCE, doc_id: str = "doc_id", text: str = "text", dense: float = DENSE) -> DataFrame:
+    """One row of each component of texts that resemble each other: that of the smallest id, of repeated rows one.
 
-    Null ids come after all others, by their text.
+    Null ids come after all others, by their text. Texts of equal shingles are one node, named by a hash of the set.
     """
     masked = Masked(docs)
     columns, text = masked.df.columns, masked[text]
     late = F.xxhash64(text).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     numbered = masked.df.withColumn("_id", F.coalesce(F.col(masked[doc_id]).cast("long"), late))
     prints = written(
-        map_slices(numbered, text, [*columns, "_id"], "f0 long, f1 long", lambda texts: list(fingerprints(texts, shingle, 2).T.copy())),
-        "fingerprints")
-    nodes = written(prints.groupBy("f0", "f1").agg(F.min("_id").alias("node")), "fingerprint-nodes")
-    roots = components(wide_links(nodes, distance))
-    # a component's root is its least node, and a node the least id of its texts
-    gone = roots.where("node != root").select("node")
-    first = written(nodes.join(gone, "node", "left_anti").withColumnRenamed("node", "_id"), "fingerprint-firsts")
-    order = Window.partitionBy("_id", "f0", "f1").orderBy(F.xxhash64(*columns))
-    same = prints.join(first, ["_id", "f0", "f1"]).withColumn("_n", F.row_number().over(order)).where("_n = 1")
+        map_slices(numbered, text, [*columns, "_id"], "node long, n long, keys array<long>", lambda texts: banded(texts, shingle)), "set-prints")
+    nodes = written(prints.groupBy("node").agg(F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "set-nodes")
+    files = nodes.select("node", "n", F.explode("keys").alias("key"))
+    shared = written(files.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "set-files")
+    members = written(files.join(shared, "key").select("key", "node", "n"), "set-members")
+    texts = prints.join(written(nodes.select("node", "_id").join(members.select("node").distinct(), "node"), "set-filed"), ["node", "_id"])
+    texts = texts.groupBy("node").agg(F.first(text).alias("text"))
+    sets = written(map_slices(texts, "text", ["node"], "hashes array<long>", lambda ts: [[s.view(np.int64) for s in shingle_sets(ts, shingle)]]), "set-hashes")
+    roots = components(resemblance_links(members, sets, resemblance, dense)).withColumnRenamed("node", "_node")
+    rooted = nodes.join(roots, F.col("node") == F.col("_node"), "left").select("node", "_id", F.coalesce("root", "node").alias("root"))
+    first = written(rooted.groupBy("root").agg(F.min(F.struct("_id", "node")).alias("x")).select("x._id", "x.node"), "set-firsts")
+    order = Window.partitionBy("_id", "node").orderBy(F.xxhash64(*columns))
+    same = prints.join(first, ["_id", "node"]).withColumn("_n", F.row_number().over(order)).where("_n = 1")
     return masked.restore(same)
