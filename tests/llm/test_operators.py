@@ -400,3 +400,20 @@ def test_near_copies_are_those_of_exact_resemblance(spark):
     rows = [(i, t) for i, t in enumerate(t for pair in near + far for t in pair)]
     kept = {r["doc_id"] for r in simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {*range(0, 120, 2), *range(120, 240)}
+
+
+def test_crowded_files_keep_every_near_link(spark):
+    f0 = np.array([0, 0b1111, 0b0011, 0xF0, 0xFF])  # 2 links 0 and 1; 4 links 1 and 3
+    columns = [np.zeros(5, np.int16), np.zeros(5, np.int64), np.arange(5), f0, np.zeros(5, np.int64)]
+    scan = simhash.FileScan(2, limit=2)
+    pairs = scan.feed(columns) if not len(scan.feed([c[:0] for c in columns])) else None
+    pairs = np.concatenate([pairs, scan.feed([c[:0] for c in columns], last=True)])
+    assert {tuple(sorted(p)) for p in pairs.tolist()} == {(0, 2), (1, 2)}
+    # sliding texts: each is near a few others only, and all are one component of a file too dense for all pairs at once
+    random = np.random.default_rng(6)
+    words = [f"w{random.integers(0, 1 << 40)}" for _ in range(700)]
+    rows = [(i, " ".join(words[at : at + 104])) for i, at in enumerate([*range(0, 400, 5), *range(480, 560, 5)])]
+    order = random.permutation(len(rows)).tolist()
+    frame = spark.createDataFrame([(order[i], t) for i, t in rows], "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.representatives(frame, dense=0).collect()}
+    assert kept == {min(order[:80]), min(order[80:])}

@@ -167,11 +167,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, distance: int = 2, doc_id
 
 
 class FileScan:
-    """Links of the members of files, fed as sorted columns; memory holds one file's first members and leaders."""
+    """Near pairs of the members of files, fed as sorted columns; memory holds one file's members.
+
+    The pipeline doesn't scan files (``resemblance_links``); this is for fingerprints that fit one task.
+    """
 
     def __init__(self, distance: int, limit: int = FILE_LIMIT):
         self.distance, self.limit = distance, limit
-        self.rest: list[np.ndarray] | None = None  # members of the file that may go on, its first and its leaders
+        self.rest: list[np.ndarray] | None = None  # members of the file that may go on
         self.seen = 0
 
     def near(self, a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -223,16 +226,13 @@ class FileScan:
         return out
 
     def crowd(self, columns: list[np.ndarray]) -> list[np.ndarray]:
-        """Links of later members of a crowded file to its first ones and leaders."""
-        out = []
+        """All near pairs of later members of a crowded file with the members before them."""
+        out, before = [], len(self.rest[0])
         self.seen += len(columns[0])
-        for i in range(len(columns[0])):
-            one = [c[i : i + 1] for c in columns]
-            near = np.flatnonzero(self.near(self.rest, one))
-            if len(near):
-                out.append(np.array([[self.rest[2][near[0]], one[2][0]]]))
-            else:
-                self.rest = [np.concatenate(x) for x in zip(self.rest, one, strict=True)]
+        self.rest = [np.concatenate(x) for x in zip(self.rest, columns, strict=True)]
+        for i in range(before, len(self.rest[0])):
+            near = np.flatnonzero(self.near([c[:i] for c in self.rest], [c[i : i + 1] for c in self.rest]))
+            out.append(np.stack([self.rest[2][near], np.full(len(near), self.rest[2][i])], axis=1))
         return out
 
 
