@@ -417,3 +417,18 @@ def test_crowded_files_keep_every_near_link(spark):
     frame = spark.createDataFrame([(order[i], t) for i, t in rows], "doc_id long, text string")
     kept = {r["doc_id"] for r in simhash.representatives(frame, dense=0).collect()}
     assert kept == {min(order[:80]), min(order[80:])}
+
+
+def found_spans(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r[0]: r[1] for r in pii.with_spans(frame, ["doc_id"]).select("doc_id", pii.spans_text("_spans")).collect()}
+    return [[t[int(a) : int(b)] + f" {k}" for k, a, b in (x.split(":") for x in rows[i].split(",") if x)] for i, t in enumerate(texts)]
+
+
+def test_spelt_emails_are_found(spark):
+    base = [f"write to ann.{i}@mail{i % 4}.example.com now" for i in range(40)]
+    prose = [f"they were at work. Then at home. Word{i}" for i in range(20)]
+    spelt = ["write to bob.7 (at) mail1 (dot) example (dot) com now", "write to bob at mail1 dot example dot com. Then", "x bob[at]mail2.example.com y"]
+    spans = found_spans(spark, base + prose + spelt)
+    assert all(len(s) == 1 for s in spans[:40]) and not any(spans[40:60])
+    assert spans[60:] == [["bob.7 (at) mail1 (dot) example (dot) com email"], ["bob at mail1 dot example dot com email"], ["bob[at]mail2.example.com email"]]

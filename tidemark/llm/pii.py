@@ -1,11 +1,13 @@
 """Personal data in texts: base patterns, and further spans chosen by boosted trees.
 
 Base spans are leftmost matches of a pattern for each kind that pass the kind's check. High-recall generators then
-propose further, overlapping spans (every run of digits and separators as a card, an address and a phone; every
-``name at host`` form as an email). A candidate has format and context features with few values each. Trees are boosted
+propose further, overlapping spans (every run of digits and separators as a card, an address and a phone, and every part
+of it between separators that has a kind's digits; every ``name@host`` and ``name at host`` form as an email). A candidate has format and context features with few values each. Trees are boosted
 on the table of feature cells of the whole corpus, counted by whether the candidate is a base span, and each kind's
-threshold is the least score at which cells above it are base spans often enough. Base spans stay; chosen candidates
-that overlap none of them and no better candidate are added.
+threshold is the least score at which cells above it are base spans often enough. An email's features are those that
+addresses with a sign and spelt ones share; spelt in full (``(at)``, ``dot``) they are unlabelled and not learned from, while
+words with `` at `` and plain dots, as prose has them, count as no base spans. Base spans stay; of the chosen candidates
+that overlap none of them the best are added first, of equal ones the leftmost.
 
 Everything is column expressions; only the cell counts, bounded by the features' values, reach the driver. Matches get
 their places from the lengths of the matches and of the texts between them, in one pass.
@@ -35,8 +37,12 @@ PATTERNS = {
 }
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 ADDRESS = rf"^{OCTET}(?:\.{OCTET}){{3}}$"
-#: Generators of candidates.
+#: Generators of candidates. ``WRITTEN`` has the addresses with a sign or spelt; ``SPELT`` those with spaces beside a dot, too.
 RUN = r"[0-9](?:[0-9\x20().-]*[0-9])?"
+DOT = r"(?:\.|\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?)"
+WRITTEN = (
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:(?:@|\x20?(?:\(at\)|\[at\])\x20?)[A-Za-z0-9-]++(?:" + DOT + r"[A-Za-z0-9-]++)*+"
+    r"|\x20at\x20[A-Za-z0-9-]++(?:" + DOT + r"[A-Za-z0-9-]++)++)")
 SPELT = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z0-9-]++)++"
 CUES = {
     "email": r"(?i)mail|contact|write",
@@ -44,7 +50,13 @@ CUES = {
     "card": r"(?i)card|visa|credit|payment",
     "phone": r"(?i)phone|\btel|call|mobile|fax",
 }
-LEAST_DIGITS = 7
+LEAST_DIGITS, MOST_DIGITS = 7, 19
+#: Digits that a part of a run needs for each kind.
+DIGITS = {"ip": (4, 12), "card": (12, 19), "phone": (8, 15)}
+DOTTED = r"^[0-9]+(?:\.[0-9]+){3}$"
+SIGNED = r"^[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$"
+AT, SPACED = r"(?:@|\(at\)|\[at\]|\x20at\x20)", r"\x20\.|\.\x20"
+SPELT_OUT = r"\(at\)|\[at\]|\(dot\)|\[dot\]|\x20dot\x20"
 CONTEXT_CHARS = 24
 #: Boosting: trees a kind, learning rate, least share of base spans above the threshold.
 TREES, RATE, PRECISION = 20, 0.3, 0.9
@@ -116,11 +128,35 @@ def base_spans(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
 FEATURES = {"length": 9, "separators": 5, "groups": 6, "luhn": 2, "address": 2, "before": 3, "cue": 2}
 
 
+def parts(run: Column) -> Column:
+    """The parts of a run that begin and end at separators, as an array of (start, end, match, n digits), without the run."""
+    groups = found(run["match"], "[0-9]++", F.lit(True))
+
+    def of_groups(gs: Column) -> Column:
+        def of_start(g: Column, i: Column) -> Column:
+            def cut(h: Column) -> Column:
+                match = F.substring(run["match"], g["start"] + 1, h["end"] - g["start"])
+                return F.struct((run["start"] + g["start"]).alias("start"), (run["start"] + h["end"]).alias("end"), match.alias("match"), F.char_length(digits(match)).alias("n"))
+
+            return F.transform(F.slice(gs, i + 1, MOST_DIGITS), cut)  # a group has a digit at least
+
+        return F.flatten(F.transform(gs, of_start))
+
+    every = F.flatten(F.transform(F.array(groups), of_groups))  # the groups are bound once
+    inner = F.filter(every, lambda x: (x["n"] <= MOST_DIGITS) & (x["end"] - x["start"] < run["end"] - run["start"]))
+    return F.when(run["match"].rlike("[^0-9]"), inner).otherwise(F.array().cast("array<struct<start:int,end:int,match:string,n:int>>"))
+
+
 def candidates(with_base: DataFrame) -> DataFrame:
     """Adds ``_candidates``: spans with their features, and whether they are base spans of their kind."""
     text = F.col("_text")
     runs = F.filter(found(text, RUN, F.col("_digits")), lambda x: F.char_length(digits(x["match"])) >= LEAST_DIGITS)
-    spelt = found(text, SPELT, text.contains("(at)") | text.contains("[at]") | text.contains(" at "))
+    gate = text.contains("(at)") | text.contains("[at]") | text.contains(" at ")
+    spaced = F.filter(found(text, SPELT, gate), lambda x: x["match"].rlike(SPACED))
+    names = [F.col(f"`{c}`") for c in with_base.columns]
+    made = F.struct(runs.alias("_runs"), F.concat(found(text, WRITTEN, gate | text.contains("@")), spaced).alias("_written"))
+    with_runs = with_base.select(*names, F.inline(F.array(made)))
+    with_runs = with_runs.select(*names, "_runs", "_written", F.inline(F.array(F.struct(F.flatten(F.transform("_runs", parts)).alias("_parts")))))
 
     def described(x: Column, number: int, kind: str) -> Column:
         plain, match = digits(x["match"]), x["match"]
@@ -132,25 +168,32 @@ def candidates(with_base: DataFrame) -> DataFrame:
         lead = F.substring(text, F.greatest(F.lit(1), x["start"] - CONTEXT_CHARS + 1), F.least(x["start"], F.lit(CONTEXT_CHARS)))
         before = F.when(lead.rlike(r"[\p{L}0-9]$"), 1).when(lead.rlike(r"[=:\"']\s*$"), 2).otherwise(0)
         if kind == "email":
-            length, separators, groups = F.lit(0), F.when(match.rlike(r"[(\[]"), 1).otherwise(0), F.lit(0)
+            length, separators = match.rlike(SPACED).cast("int"), F.when(match.rlike(r"[A-Za-z0-9-]\W[a-z]{2,6}$"), 0).when(match.rlike(r"\W[A-Za-z]+$"), 1).otherwise(2)
+            groups = F.least(F.size(F.split(F.regexp_extract(match, f"{AT}(.*)$", 1), DOT)) - 1, F.lit(5))
         return F.struct(
             F.lit(number).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
             length.cast("int").alias("length"), separators.cast("int").alias("separators"), groups.cast("int").alias("groups"),
             (F.lit(0) if kind == "email" else F.call_function("luhn_check", plain).cast("int")).alias("luhn"),
-            match.rlike(ADDRESS).cast("int").alias("address"), before.cast("int").alias("before"),
+            (match.rlike(r"^[A-Za-z]+[._%+0-9-]") if kind == "email" else match.rlike(ADDRESS)).cast("int").alias("address"), before.cast("int").alias("before"),
             lead.rlike(CUES[kind]).cast("int").alias("cue"),
             # the base rule, seen from the candidate
             (F.when(F.lit(kind == "phone"), lead.endswith("+") & n.between(8, 15))
              .when(F.lit(kind == "card"), n.between(16, 19) & F.call_function("luhn_check", plain) & match.rlike(r"^[0-9](?:[\x20-]?[0-9])++$"))
+             .when(F.lit(kind == "email"), match.rlike(SIGNED))
              .when(F.lit(kind == "ip"), match.rlike(ADDRESS)).otherwise(F.lit(False))).cast("int").alias("is_base"),
+            (~match.rlike(SPELT_OUT) if kind == "email" else F.lit(True)).alias("learned"),
         )
 
     def of_kind(number: int, kind: str) -> Column:
-        return F.transform(spelt if kind == "email" else runs, lambda x: described(x, number, kind))
+        if kind == "email":
+            return F.transform("_written", lambda x: described(x, number, kind))
+        low, high = DIGITS[kind]
+        fits = F.filter("_parts", lambda x: x["n"].between(low, high) & (x["match"].rlike(DOTTED) if kind == "ip" else F.lit(True)))
+        every = F.concat("_runs", F.transform(fits, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match"))))
+        return F.transform(every, lambda x: described(x, number, kind))
 
     proposed = [of_kind(i, k) for i, k in enumerate(KINDS)]
-    rest = [c for c in with_base.columns]
-    return with_base.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.array(F.struct(F.concat(*proposed).alias("_candidates")))))
+    return with_runs.select(*names, F.inline(F.array(F.struct(F.concat(*proposed).alias("_candidates")))))
 
 
 @dataclass(frozen=True)
@@ -220,7 +263,7 @@ def boost(cells: np.ndarray, good: np.ndarray, total: np.ndarray, trees: int = T
 def learn(described: DataFrame) -> dict[int, Trees]:
     """Trees of each kind, from the cells of all candidates of the corpus."""
     names = list(FEATURES)
-    each = described.select(F.explode("_candidates").alias("c")).select("c.kind", *[f"c.{n}" for n in names], "c.is_base")
+    each = described.select(F.explode("_candidates").alias("c")).where("c.learned").select("c.kind", *[f"c.{n}" for n in names], "c.is_base")
     rows = each.groupBy("kind", *names).agg(F.sum("is_base").alias("good"), F.count("*").alias("total")).collect()
     out = {}
     for number in range(len(KINDS)):
@@ -242,47 +285,44 @@ def chosen(described: DataFrame, trees: dict[int, Trees]) -> DataFrame:
             value = F.when(x["kind"] == number, t.score(x) - F.lit(t.threshold)).otherwise(value)
         return value
 
-    some = F.transform(
-        F.filter("_candidates", lambda x: (x["is_base"] == 0) & (scored(x) >= 0)),
-        lambda x: F.struct(x["start"].alias("start"), F.lit(1).alias("added"), x["kind"].alias("kind"), x["end"].alias("end"), scored(x).alias("score")),
-    )
+    good = F.filter("_candidates", lambda x: scored(x) >= 0)
+    some = F.transform(good, lambda x: F.struct(
+        x["start"].alias("start"), F.lit(1).alias("added"), x["kind"].alias("kind"), x["end"].alias("end"), scored(x).alias("score")))
     base = F.transform("_base", lambda x: F.struct(x["start"].alias("start"), F.lit(0).alias("added"), x["kind"].alias("kind"), x["end"].alias("end"), F.lit(float("inf")).alias("score")))
-    item = "struct<kind:int,start:int,end:int>"
-    pending = "struct<kind:int,start:int,end:int,score:double>"
+    rest = [F.col(f"`{c}`") for c in described.columns if c != "_candidates"]
+    if not trees:
+        return described.select(*rest, F.col("_base").alias("_spans"))
+    item = "struct<start:int,added:int,kind:int,end:int,score:double>"
     first = F.struct(
-        F.array().cast(f"array<array<{item}>>").alias("blocks"), F.array().cast(f"array<{item}>").alias("block"),
-        F.lit(None).cast(pending).alias("pending"), F.lit(0).alias("reach"),
-    )
+        F.array().cast(f"array<array<array<{item}>>>").alias("blocks"), F.array().cast(f"array<array<{item}>>").alias("block"),
+        F.array().cast(f"array<{item}>").alias("chain"), F.lit(0).alias("reach"))
 
-    def span(x: Column) -> Column:
-        return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
+    def step(s: Column, x: Column) -> Column:
+        """Chains of spans that overlap."""
+        goes_on = x["start"] < s["reach"]
+        same = F.struct(s["blocks"].alias("blocks"), s["block"].alias("block"))
+        lists = F.when(goes_on | (F.size(s["chain"]) == 0), same).otherwise(appended(s, s["chain"]))
+        chain = F.when(goes_on, F.concat(s["chain"], F.array(x))).otherwise(F.array(x))
+        return F.struct(lists["blocks"].alias("blocks"), lists["block"].alias("block"), chain.alias("chain"), F.greatest(s["reach"], x["end"]).alias("reach"))
 
-    def state(lists: Column, waiting: Column, reach: Column) -> Column:
-        return F.struct(lists["blocks"].alias("blocks"), lists["block"].alias("block"), waiting.alias("pending"), reach.alias("reach"))
+    def best(chain: Column) -> Column:
+        """The base spans of a chain, and of its other spans the best that overlap none taken before."""
+        order = F.sort_array(F.transform(chain, lambda x: F.struct(
+            x["added"].alias("added"), (-x["score"]).alias("score"), x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))))
 
-    def flushed(s: Column, go: Column) -> Column:
-        """The lists, with the waiting candidate if it goes."""
-        same = F.struct(s["blocks"].alias("blocks"), s["block"].alias("block"))
-        return F.when(go & s["pending"].isNotNull(), appended(s, span(s["pending"]))).otherwise(same)
+        def take(taken: Column, x: Column) -> Column:
+            free = (x["added"] == 0) | ~F.exists(taken, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+            span = F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
+            return F.when(free, F.concat(taken, F.array(span))).otherwise(taken)
 
-    def step(s: Column, x: Column) -> Column:
-        clash = s["pending"].isNotNull() & (x["start"] < s["pending"]["end"])
-        own = F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["score"].alias("score"))
-        for_base = state(appended(flushed(s, ~clash), span(x)), F.lit(None).cast(pending), F.greatest(s["reach"], x["end"]))
-        better = F.when(x["score"] > s["pending"]["score"], own).otherwise(s["pending"])
-        for_added = F.when(x["start"] < s["reach"], s).when(clash, state(s, better, s["reach"])).otherwise(state(flushed(s, F.lit(True)), own, s["reach"]))
-        return F.when(x["added"] == 0, for_base).otherwise(for_added)
+        return F.aggregate(order, F.array().cast(SPAN), take)
 
     def finish(s: Column) -> Column:
-        lists = flushed(s, F.lit(True))
-        return F.sort_array(F.flatten(F.concat(lists["blocks"], F.array(lists["block"]))))
-
-    every = F.col("_base")
-    if trees:
-        both = F.aggregate(F.sort_array(F.concat(base, some)), first, step, finish)
-        every = F.when(F.size("_candidates") > 0, both).otherwise(every)
-    rest = [c for c in described.columns if c != "_candidates"]
-    return described.select(*[F.col(f"`{c}`") for c in rest], F.inline(F.array(F.struct(every.alias("_spans")))))
+        return F.sort_array(F.flatten(F.transform(F.concat(F.flatten(s["blocks"]), s["block"], F.array(s["chain"])), best)))
+
+    marked = described.select(*rest, F.inline(F.array(F.struct(some.alias("_some")))))
+    every = F.when(F.size("_some") > 0, F.aggregate(F.sort_array(F.concat(base, F.col("_some"))), first, step, finish)).otherwise(F.col("_base"))
+    return marked.select(*rest, F.inline(F.array(F.struct(every.alias("_spans")))))
 
 
 def with_spans(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
