@@ -432,3 +432,11 @@ def test_spelt_emails_are_found(spark):
     spans = found_spans(spark, base + prose + spelt)
     assert all(len(s) == 1 for s in spans[:40]) and not any(spans[40:60])
     assert spans[60:] == [["bob.7 (at) mail1 (dot) example (dot) com email"], ["bob at mail1 dot example dot com email"], ["bob[at]mail2.example.com email"]]
+
+
+def test_parts_of_digit_runs_are_found(spark):
+    texts = ["pay 4111 1111 1111 1111 now"] * 20 + [f"call +1 (0{i}) 555-20{i} now" for i in range(10, 90)]
+    mixed = ["order 12 4111 1111 1111 1111 ok", "at 10.0.0.1 4111 1111 1111 1111 ok", "call 1 (068) 555-2748 1 (069) 555-2749 ok", "4111 1111 1111 1111 5500 0000 0000 0004"]
+    spans = found_spans(spark, texts + mixed)[100:]
+    assert spans[0] == ["4111 1111 1111 1111 card"] and spans[1] == ["10.0.0.1 ip", "4111 1111 1111 1111 card"]
+    assert spans[2] == ["1 (068) 555-2748 phone", "1 (069) 555-2749 phone"] and spans[3] == ["4111 1111 1111 1111 card", "5500 0000 0000 0004 card"]
