@@ -440,3 +440,15 @@ def test_parts_of_digit_runs_are_found(spark):
     spans = found_spans(spark, texts + mixed)[100:]
     assert spans[0] == ["4111 1111 1111 1111 card"] and spans[1] == ["10.0.0.1 ip", "4111 1111 1111 1111 card"]
     assert spans[2] == ["1 (068) 555-2748 phone", "1 (069) 555-2749 phone"] and spans[3] == ["4111 1111 1111 1111 card", "5500 0000 0000 0004 card"]
+
+
+def test_every_word_has_its_own_probability(spark):
+    # "u" and "v" have one class if their hashes agree; the network can't tell them apart, their counts do
+    own = [f"c{i}" for i in range(scoring.FREQUENT)]
+    rest = [w for w in (f"z{i}" for i in range(3000)) if scoring.xxh64_intdigest(w.encode(), 42) % scoring.SHARED == 5][:2]
+    rows = [(i, f"{' '.join(own)} {' '.join(own)} {' '.join(own)} {' '.join(own)} {rest[0]}" + (f" {rest[1]}" if not i else "")) for i in range(4)]
+    rows += [(10, f"c1 c2 {rest[0]} c3 c4"), (11, f"c1 c2 {rest[1]} c3 c4"), (11, f"c1 c2 {rest[1]} c3 c4"), (12, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = scoring.scored(frame, ["doc_id"]).collect()
+    scores = {r["doc_id"]: r["log_likelihood"] for r in found}
+    assert len(found) == 8 and abs(scores[10] - scores[11] - np.log(5 / 3)) < 1e-3 and scores[12] == 0

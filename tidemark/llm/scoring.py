@@ -2,12 +2,14 @@
 
 Words are classes: the most frequent words of the corpus have one each, all others share classes by hash. A network sees
 the two classes on each side of a word, not the word: their position-specific vectors are added, passed through tanh, and
-predict the word's class in two steps (a group of classes, then the class in it). A document's score is the sum of the
-log-probabilities of all its words.
+predict the word's class in two steps (a group of classes, then the class in it); a word that shares its class has its share
+of the class's count in the corpus as probability within it. A document's score is the sum of the log-probabilities of all
+its words.
 
-Word counts cover the corpus. The network is trained in numpy by parameter averaging: every task runs gradient steps on a
-fixed share of the windows of its own texts from the same start, and the average over tasks, weighted by windows, starts
-the next round. What is gathered grows with the corpus; only the averaged network and the class words reach the driver.
+Word counts cover the corpus, stay a table and are joined by word. The network is trained in numpy by parameter averaging:
+every task runs gradient steps on all windows of its own texts from the same start, and the average over tasks, weighted by
+windows, starts the next round; so the tasks' texts have an influence, as in any such averaging. What is gathered grows with
+the corpus; only the averaged network and the class words reach the driver.
 
 Defined cases: null and empty texts have no words and score 0; words beside the ends see a padding class; repeated rows get
 equal scores; very long texts are scored whole; an empty table gives no rows; ties of frequent words go by their bytes.
@@ -24,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import arrow_type, map_slices, slices
+from tidemark.llm.common import arrow_type, map_slices, slices, written
 
 #: Classes: of frequent words, and shared by hash; together GROUPS * GROUPS.
 FREQUENT, SHARED, GROUPS = 896, 128, 32
 CLASSES, PAD = FREQUENT + SHARED, FREQUENT + SHARED
 HIDDEN, SIDE = 24, 2
-#: Rounds of averaging, share of windows trained on in each, windows in a step, learning rates of the rounds.
-ROUNDS, SHARE, STEP, RATES = 2, 1 / 8, 512, (0.25, 0.12)
+#: Rounds of averaging, windows in a step, learning rates of the rounds.
+ROUNDS, STEP, RATES = 2, 2048, (0.25, 0.12)
+#: Seed of Spark's own xxhash64, so that words meet their counts by the same hash.
+SEED = 42
 #: Words counted by a task before it passes its counts on, and words whose class it remembers.
 COUNT_MEMORY, WORD_MEMORY = 300_000, 300_000
 POSITIONS = 100_000
@@ -78,7 +82,7 @@ class Classes:
         except KeyError:
             if len(memory) > WORD_MEMORY:
                 self.memory = memory = dict(self.fixed)
-            memory.update((w, FREQUENT + xxh64_intdigest(w) % SHARED) for w in set(found).difference(memory))
+            memory.update((w, FREQUENT + xxh64_intdigest(w, SEED) % SHARED) for w in set(found).difference(memory))
             return np.fromiter(map(memory.__getitem__, found), dtype=np.int32, count=len(found))
 
     def padded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,7 +189,7 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def trained(docs: DataFrame, frequent: list[bytes], text: str = "text", rounds: int = ROUNDS, share: float = SHARE) -> Network:
+def trained(docs: DataFrame, frequent: list[bytes], text: str = "text", rounds: int = ROUNDS) -> Network:
     """The network after averaging rounds over all tasks."""
     schema = "i int, weighted double, weight double"
     out = arrow_type(T._parse_datatype_string(schema))
@@ -195,17 +199,14 @@ def trained(docs: DataFrame, frequent: list[bytes], text: str = "text", rounds:
         start = sc.broadcast(network)
         rate = RATES[min(number, len(RATES) - 1)]
 
-        def run(batches: Iterator[pa.RecordBatch], start=start, number=number, rate=rate) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], start=start, rate=rate) -> Iterator[pa.RecordBatch]:
             classes, own, windows = Classes(vocabulary.value), Network.from_flat(start.value.flat()), 0
             for batch in batches:
                 texts = [t or "" for t in batch.column(0).to_pylist()]
                 for a, b in slices(texts):
                     flat, places, _ = classes.padded(texts[a:b])
-                    # a share of the windows by a hash of the words' places and classes, another in each round
-                    draw = (flat[places].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + places.astype(np.uint64) + np.uint64(number)) * np.uint64(0xBF58476D1CE4E5B9)
-                    some = places[(draw >> np.uint64(40)) < share * (1 << 24)]
-                    own.train(flat, np.random.default_rng(len(some)).permutation(some), rate)
-                    windows += len(some)
+                    own.train(flat, np.random.default_rng(len(places)).permutation(places), rate)
+                    windows += len(places)
             if windows:
                 values = own.flat().astype(np.float64)
                 yield pa.RecordBatch.from_arrays([
@@ -220,14 +221,23 @@ def trained(docs: DataFrame, frequent: list[bytes], text: str = "text", rounds:
     return network
 
 
-def frequent_words(docs: DataFrame, text: str = "text") -> list[bytes]:
-    top = word_counts(docs, text).orderBy(F.col("n").desc(), "word").limit(FREQUENT)
-    return [bytes(r["word"]) for r in top.collect()]
+def frequent_words(counts: DataFrame) -> list[bytes]:
+    return [bytes(r["word"]) for r in counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).collect()]
+
+
+def word_shares(counts: DataFrame, frequent: list[bytes]) -> DataFrame:
+    """(hash, share): the logarithm of each word's share of the class that it shares with others."""
+    own = counts.sparkSession.createDataFrame([(w,) for w in frequent], "word binary")
+    hashed = F.xxhash64("word")
+    rest = counts.join(own, "word", "left_anti").select(hashed.alias("hash"), hashed.bitwiseAND(SHARED - 1).alias("class"), "n")
+    sums = rest.groupBy("class").agg(F.sum("n").alias("all"))  # a row a class
+    return rest.join(F.broadcast(sums), "class").groupBy("hash").agg(F.ln(F.sum("n") / F.max("all")).alias("share"))
 
 
 def scored(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The ``keep`` columns, ``n_words``, ``log_likelihood`` and its mean by word, of every document."""
-    frequent = frequent_words(docs, text)
+    counts = written(word_counts(docs, text), "word-counts")
+    frequent = frequent_words(counts)
     shared = docs.sparkSession.sparkContext.broadcast((frequent, trained(docs, frequent, text)))
     memory: dict[str, Classes] = {}
 
@@ -241,6 +251,21 @@ def scored(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         full = np.flatnonzero(counts)
         if len(full):
             total[full] = np.add.reduceat(each, ends[:-1][full])
-        return [counts, total, total / np.maximum(1, counts)]
-
-    return map_slices(docs, text, keep, "n_words long, log_likelihood double, mean_log_likelihood double", run)
+        rare, times = [], []
+        for t in texts:
+            found = Counter(w for w in words(t) if w not in classes.fixed)
+            rare.append(np.array([xxh64_intdigest(w, SEED) for w in found], dtype=np.uint64).view(np.int64))
+            times.append(list(found.values()))
+        return [counts, total, rare, times]
+
+    names = [f"_k{i}" for i in range(len(keep))]
+    kept = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)], F.col(f"`{text}`").alias("_text"))
+    added = "_words long, _classes double, _rare array<long>, _times array<long>"
+    rows = written(map_slices(kept.withColumn("_row", F.monotonically_increasing_id()), "_text", [*names, "_row"], added, run), "word-scores")
+    uses = rows.select("_row", F.explode(F.arrays_zip("_rare", "_times")).alias("u")).select("_row", F.col("u._rare").alias("hash"), F.col("u._times").alias("times"))
+    # summed as decimals, so that the order of the words doesn't matter
+    within = uses.join(word_shares(counts, frequent), "hash").groupBy("_row").agg(F.sum((F.col("times") * F.col("share")).cast("decimal(28,12)")).cast("double").alias("_within"))
+    total = F.col("_classes") + F.coalesce("_within", F.lit(0.0))
+    return rows.join(within, "_row", "left").select(
+        *[F.col(n).alias(c) for c, n in zip(keep, names, strict=True)], F.col("_words").alias("n_words"), total.alias("log_likelihood"),
+        (total / F.greatest(F.lit(1), "_words")).alias("mean_log_likelihood"))
