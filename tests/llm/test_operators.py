@@ -452,3 +452,11 @@ def test_every_word_has_its_own_probability(spark):
     found = scoring.scored(frame, ["doc_id"]).collect()
     scores = {r["doc_id"]: r["log_likelihood"] for r in found}
     assert len(found) == 8 and abs(scores[10] - scores[11] - np.log(5 / 3)) < 1e-3 and scores[12] == 0
+
+
+def test_training_sees_every_window(spark, monkeypatch):
+    frame = spark.createDataFrame([("a b",)], "text string").coalesce(1)
+    start = scoring.Network.start()
+    net = scoring.trained(frame, [b"a", b"b"], rounds=1)
+    target_bias = net.group_bias - start.group_bias
+    assert target_bias[0] > 0 and target_bias[1] > 0 and (target_bias[2:] < 0).all()  # classes 0 and 1, a group each
