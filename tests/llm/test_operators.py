@@ -460,3 +460,12 @@ def test_training_sees_every_window(spark, monkeypatch):
     net = scoring.trained(frame, [b"a", b"b"], rounds=1)
     target_bias = net.group_bias - start.group_bias
     assert target_bias[0] > 0 and target_bias[1] > 0 and (target_bias[2:] < 0).all()  # classes 0 and 1, a group each
+
+
+def test_one_bad_page_does_not_block_its_template(spark):
+    urls_ = [f"x://a.org/en/{i}" for i in range(30)] + ["x://a.org/en/bet"] + [f"x://b.org/casino/{i}" for i in range(9)]
+    urls_ += [f"x://c.org/a/b/c/{i}/view/{i * 7}" for i in range(30)]
+    frame = spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")
+    rows = [r.asDict() for r in urls.judged(frame, ["page_id"], []).orderBy("page_id").collect()]
+    assert [r["verdict"] for r in rows] == ["allow"] * 31 + ["block"] * 9 + ["allow"] * 30
+    assert {r["template"] for r in rows[40:]} == {"/a/b/c/*/view/*"}

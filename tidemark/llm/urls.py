@@ -1,18 +1,18 @@
 """URL filters: path-template trees judged by labelled purity.
 
 Every host has a tree of path segments. Going down from the host, a segment that makes up enough of its parent's pages
-stays as it is, and so does one of a few without digits; all others of that parent become one wildcard. Segments below
-``DEPTH`` levels count as one. Templates of a host that differ in one segment are siblings; those with labelled pages whose
+stays as it is, and so does one of a few without digits; all others of that parent become one wildcard, at every depth.
+Templates of a host that differ in one segment are siblings; those with labelled pages whose
 share of bad ones doesn't differ significantly from all siblings' share are merged and judged on their pooled counts. Pages are labelled by explicit rules or else by terms of
-the url; the purity of a template is its share of bad pages among the labelled ones, smoothed towards a small share, so
-that a template without labelled pages is never blocked. An explicit rule's verdict always comes first.
+the url: a page with a term is bad, one without is good; the purity of a template is its share of bad pages, smoothed towards
+a small share, so that one bad page among others blocks nothing. An explicit rule's verdict always comes first.
 
 Everything is DataFrame operations on counts of distinct (host, path), which are combined before each shuffle. Totals and
 kept segments are written before they are joined, so a host with very many pages is split by the skew join.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and is judged like others of that kind;
-repeated pages get a row each; very long urls are read whole; an empty table gives no rows; further columns are ignored;
-without labels nothing is blocked.
+repeated pages get a row each; very long urls are read whole, with a round for each level of the deepest path; an empty table
+gives no rows; further columns are ignored; without rules and terms nothing is blocked.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import written
 
-DEPTH = 4
 #: Pages and share of its parent's pages that a segment needs to stay.
 MIN_PAGES, MIN_SHARE = 5, 0.05
 #: Different segments below which those without digits all stay.
@@ -72,29 +71,34 @@ def labelled(paths: DataFrame) -> DataFrame:
     """Adds ``bad`` and ``known`` pages of each path, from its rule or else from its terms."""
     words = F.split(F.concat_ws("/", F.col("host"), F.translate("path", UPPER, LOWER)), "[^a-z0-9]+")
     term = F.arrays_overlap(words, F.array(*map(F.lit, TERMS)))
-    bad = F.when(F.col("rule_verdict") == "block", F.lit(True)).when(F.col("rule_verdict") == "allow", F.lit(False)).when(term, F.lit(True))
-    return paths.withColumns({"bad": F.when(bad, F.col("n")).otherwise(0), "known": F.when(bad.isNotNull(), F.col("n")).otherwise(0)})
+    bad = F.when(F.col("rule_verdict") == "block", F.lit(True)).when(F.col("rule_verdict") == "allow", F.lit(False)).otherwise(term)
+    return paths.withColumns({"bad": F.when(bad, F.col("n")).otherwise(0), "known": F.col("n")})
 
 
-def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Adds ``template`` to distinct paths with their pages ``n``: the path of its tree's node."""
+def templates(paths: DataFrame) -> DataFrame:
+    """Adds ``template`` to distinct paths with their pages ``n``: the path of its tree's node.
+
+    Paths that have ended are set aside, so deep levels cost only what their few paths do.
+    """
     parts = F.filter(F.split("path", "/"), lambda s: s != "")
-    levels = [F.get("parts", F.lit(i)) for i in range(depth - 1)]
-    levels.append(F.when(F.size("parts") >= depth, F.array_join(F.slice("parts", depth, F.size("parts")), "/")))
-    tree = paths.withColumn("parts", parts).withColumns({f"s{i}": s for i, s in enumerate(levels)}).drop("parts")
-    tree = tree.withColumn("template", F.lit(""))
-    for i in range(depth):
-        tree = written(tree, f"url-level{i}")
-        key = ["host", "template"]
-        counts = written(tree.where(F.col(f"s{i}").isNotNull()).groupBy(*key, f"s{i}").agg(F.sum("n").alias("c")), "url-segments")
+    tree = written(paths.withColumns({"_parts": parts, "template": F.lit("")}), "url-level")
+    ended, i, key = [tree.where(F.size("_parts") == 0).drop("_parts")], 0, ["host", "template"]
+    tree = tree.where(F.size("_parts") > 0).withColumn("_s", F.get("_parts", F.lit(0)))
+    while not tree.isEmpty():
+        counts = written(tree.groupBy(*key, "_s").agg(F.sum("n").alias("c")), "url-segments")
         totals = written(counts.groupBy(*key).agg(F.sum("c").alias("total"), F.count("*").alias("kinds")), "url-totals")
         enough = (F.col("c") >= MIN_PAGES) & (F.col("c") >= MIN_SHARE * F.col("total"))
-        enough = enough | ((F.col("kinds") <= FEW_KINDS) & ~F.col(f"s{i}").rlike("[0-9]"))
-        stays = written(counts.join(totals, key).where(enough).select(*key, f"s{i}", F.lit(True).alias("stays")), "url-stays")
-        step = F.when(F.col("stays"), F.col(f"s{i}")).otherwise(F.lit("*"))
-        joined = tree.join(stays, [*key, f"s{i}"], "left")
-        tree = joined.withColumn("template", F.when(F.col(f"s{i}").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", step))).drop("stays", f"s{i}")
-    return tree
+        enough = enough | ((F.col("kinds") <= FEW_KINDS) & ~F.col("_s").rlike("[0-9]"))
+        stays = written(counts.join(totals, key).where(enough).select(*key, "_s", F.lit(True).alias("stays")), "url-stays")
+        step = F.when(F.col("stays"), F.col("_s")).otherwise(F.lit("*"))
+        tree = written(tree.join(stays, [*key, "_s"], "left").withColumn("template", F.concat_ws("/", "template", step)).drop("stays", "_s"), "url-level")
+        i += 1
+        ended.append(tree.where(F.size("_parts") == i).drop("_parts"))
+        tree = tree.where(F.size("_parts") > i).withColumn("_s", F.get("_parts", F.lit(i)))
+    out = ended[0]
+    for more in ended[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def purities(tree: DataFrame) -> DataFrame:
