@@ -42,7 +42,7 @@ def sha(text):
 
 def test_every_number_is_registered():
     registered = queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(registered) and "op6_quality_rules" in oracle_sql()
 
 

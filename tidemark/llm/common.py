@@ -29,6 +29,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def unused_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder for a table that a loop replaces by the next."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """The rows as a Parquet table at the path."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of a finished round; what came after it must be written already."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` characters."""
     start = size = 0

@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, language, packing, pii, quality, scoring, simhash, sketches, urls
+from tidemark.llm import bpe, chat, clustering, divergence, language, packing, pii, quality, scoring, secrets, simhash, sketches, urls
 from tidemark.llm.common import map_slices, table
 
 
@@ -158,6 +158,89 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every vector after five rounds and a last assignment."""
+    return clustering.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op11_sql(clusters: int = clustering.CLUSTERS, rounds: int = clustering.ROUNDS) -> str:
+    """The rounds one after the other, every vector against every centroid."""
+    good = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64"
+    gap = "list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE {good}),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS INTEGER) AS cluster, v FROM x
+  ORDER BY 1 LIMIT {clusters})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT x.r, min(row(CAST({gap} AS BIGINT), c.cluster)) AS best FROM x, c{i} AS c GROUP BY x.r)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (
+  SELECT cluster, list(mean ORDER BY dim) AS v FROM (
+    SELECT cluster, dim, CAST((s - (((s % n) + n) % n)) // n AS BIGINT) AS mean FROM (
+      SELECT best[2] AS cluster, dim, sum(value) AS s, count(*) AS n
+      FROM (SELECT a.best, unnest(x.v) AS value, unnest(range(64)) AS dim FROM a{i} AS a JOIN x USING (r)) GROUP BY 1, 2))
+  GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{i} AS c LEFT JOIN m{i} AS m USING (cluster))""")
+    return ",".join(steps) + f"""
+SELECT x.vec_id, c.cluster, a.best[1] AS distance, CAST(sum(a.best[1]) OVER (PARTITION BY c.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(a.best[1]) OVER () AS BIGINT) AS inertia, sha256(list_aggregate(c.v, 'string_agg', ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN x USING (r) JOIN c{rounds} AS c ON c.cluster = a.best[2]
+"""
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the other sources and the whole of its language."""
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS MATERIALIZED (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+total AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+of_lang AS (SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total FROM c GROUP BY lang, term),
+p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1)) // (coalesce(total.total, 0) + size.v) AS HUGEINT) AS p
+  FROM groups AS g JOIN kept AS k ON k.lang = g.lang JOIN size ON size.lang = g.lang
+  LEFT JOIN total ON total.lang = g.lang AND total.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (SELECT of_lang.lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 1)) // (total + size.v) AS HUGEINT) AS q FROM of_lang JOIN size USING (lang)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(sums.value, 0) AS BIGINT) AS value
+  FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, CAST(((p.p - q.q) * (p.p - q.q)) // q.q AS BIGINT)
+  FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and all spans of secrets in every document."""
+    found = secrets.with_spans(table(spark, sf_dir, "documents"), ["doc_id"])
+    counts = [F.size(F.filter("_base", (lambda n: lambda x: x["kind"] == n)(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.PATTERNS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.spans_text("_base"), 256).alias("base_sha256"), secrets.spans_text("_spans").alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_bpe_round_trip, op3_simhash, op4_pii, op5_bottom_k, op6_quality_rules, op7_chat_formatting, op8_best_fit_packing, op9_language_id, op10_lm_scoring)}
-SQL = {"op6_quality_rules": OP6_SQL}
+    op1_url_filters, op2_bpe_round_trip, op3_simhash, op4_pii, op5_bottom_k, op6_quality_rules, op7_chat_formatting, op8_best_fit_packing, op9_language_id, op10_lm_scoring,
+    op11_centroid_clustering, op12_source_divergence, op13_secret_scans)}
+SQL = {"op6_quality_rules": OP6_SQL, "op11_centroid_clustering": op11_sql(), "op12_source_divergence": OP12_SQL}
