@@ -1,4 +1,4 @@
-"""Bucketed neighbour, running total and rank helpers against plain windows, hot groups forced."""
+"""Neighbours, running totals and ranks over ranges against plain windows; ties, nulls and common prefixes in a third of the rows."""
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -8,7 +8,7 @@ from tidemark.operators.assertions import aggregates, tables
 
 
 def rows(spark):
-    """A third of all rows in one group, clustered order values, some null order values."""
+    """A third of all rows in one group, a third tied, some null order values."""
     n = F.col("id")
     return spark.range(6000).select(
         n.alias("row"),
@@ -18,25 +18,50 @@ def rows(spark):
     )
 
 
-@pytest.mark.parametrize("hot", [50, 10**9])
+def shaped(spark, kind):
+    """Orders in which a third of the rows are tied, null, or alike in their first 40 characters."""
+    df, third = rows(spark), F.col("row") % 3 == 0
+    if kind == "ties":
+        return df.withColumn("o", F.when(third, 17).otherwise(F.col("o")))
+    if kind == "nulls":
+        return df.withColumn("o", F.when(third, None).otherwise(F.col("o")))
+    return df.withColumn("o", F.when(third, F.concat(F.lit("x" * 40), F.col("row").cast("string"))).otherwise(F.col("o").cast("string")))
+
+
+def equal(got, want):
+    return got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("kind", ["ties", "nulls", "prefix"])
 @pytest.mark.parametrize("group", [["g"], []])
 @pytest.mark.parametrize("direction", ["previous", "next"])
-def test_neighbour_equals_window(spark, hot, group, direction):
-    df = rows(spark)
-    window = Window.partitionBy(*group).orderBy("o", "row")
+def test_neighbour_equals_window(spark, kind, group, direction):
+    df = shaped(spark, kind)
     shift = F.lag if direction == "previous" else F.lead
-    want = df.withColumn("x", shift("v").over(window))
-    got = ordered.with_neighbour(df, group, ["o", "row"], "v", "x", direction, hot)
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    want = df.withColumn("x", shift("v").over(Window.partitionBy(*group).orderBy("o", "row")))
+    assert equal(ordered.with_neighbour(df, group, ["o", "row"], "v", "x", direction), want)
 
 
-@pytest.mark.parametrize("hot", [50, 10**9])
+@pytest.mark.parametrize("kind", ["ties", "nulls", "prefix"])
 @pytest.mark.parametrize("group", [["g"], []])
-def test_row_number_equals_window(spark, hot, group):
-    df = rows(spark)
-    want = df.withColumn("x", F.row_number().over(Window.partitionBy(*group).orderBy("o", "row")).cast("bigint"))
-    got = ordered.with_row_number(df, group, ["o", "row"], "x", hot)
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+def test_row_number_and_total_equal_windows(spark, kind, group):
+    df = shaped(spark, kind)
+    window = Window.partitionBy(*group).orderBy("o", "row")
+    want = df.withColumn("x", F.row_number().over(window).cast("bigint"))
+    assert equal(ordered.with_row_number(df, group, ["o", "row"], "x"), want)
+    upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    assert equal(ordered.with_running_total(df, group, ["o", "row"], F.col("v"), "x"), df.withColumn("x", F.sum("v").over(upto)))
+
+
+def test_equal_rows_are_told_apart(spark):
+    """A third of the rows are one row, copied; another third is a row for each group."""
+    n = F.col("id")
+    df = spark.range(3000).select(
+        F.when(n % 3 == 0, 1).otherwise(n % 5).alias("g"), F.when(n % 3 == 0, 7).when(n % 3 == 1, None).otherwise(n % 50).alias("o"))
+    window = Window.partitionBy("g").orderBy("o")
+    for direction, shift in (("previous", F.lag), ("next", F.lead)):
+        assert equal(ordered.with_neighbour(df, ["g"], ["o"], "o", "x", direction), df.withColumn("x", shift("o").over(window)))
+    assert equal(ordered.with_row_number(df, ["g"], ["o"], "x"), df.withColumn("x", F.row_number().over(window).cast("bigint")))
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "double", "decimal(20,3)", "string", "boolean"])
@@ -52,26 +77,45 @@ def test_neighbour_order_types(spark, kind):
         value = F.col("o").cast(kind)
     df = base.withColumn("o", value)
     want = df.withColumn("x", F.lag("v").over(Window.partitionBy("g").orderBy("o", "row")))
-    got = ordered.with_neighbour(df, ["g"], ["o", "row"], "v", "x", hot_group_rows=50)
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert equal(ordered.with_neighbour(df, ["g"], ["o", "row"], "v", "x"), want)
+
+
+def test_ranges_are_even_and_plans_have_no_job(spark):
+    """Also for ties and prefixes no range holds much more than its share; building a plan runs no job."""
+    tracker = spark.sparkContext.statusTracker()
+    for kind in ("ties", "nulls", "prefix"):
+        spark.sparkContext.setJobGroup(f"built-{kind}", "no job while the plan is built")
+        df = shaped(spark, kind)
+        made = [ordered.with_neighbour(df, [], ["o", "row"], "v", "x"), ordered.dense_rank_desc(df, "v", "x"), aggregates.exact_quantile(df, "v", 0.5, ["g"])]
+        assert list(tracker.getJobIdsForGroup(f"built-{kind}")) == []
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for frame in made:
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+        sizes = ordered._ranged(ordered._counted(df), [], ["o"]).groupBy("_range").count().agg(F.max("count"), F.count("*")).first()
+        assert sizes[1] >= 12 and sizes[0] < 6000 / 16 * 3
 
 
 def test_dense_rank_desc(spark):
     df = rows(spark).withColumn("m", F.when(F.col("row") % 50 != 0, F.col("v") * 13 - 5000))
     want = df.withColumn("x", F.dense_rank().over(Window.orderBy(F.col("m").desc())))
-    got = ordered.dense_rank_desc(df, "m", "x", width=100)
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert equal(ordered.dense_rank_desc(df, "m", "x"), want)
+    assert ordered.dense_rank_desc(df.limit(0), "m", "x").count() == 0
 
 
-def test_assertions_agree_when_groups_are_hot(spark):
+def test_assertions_equal_plain_windows(spark):
     df = rows(spark).filter("o is not null").withColumn("hi", F.col("o") + F.col("v"))
-    for build in (
-        lambda hot: tables.mutually_exclusive_ranges(df, "o", "hi", ["g"], hot_group_rows=hot),
-        lambda hot: tables.sequential_values(df, "o", group_by=["g"], hot_group_rows=hot),
-        lambda hot: tables.expect_column_values_to_be_increasing(df, "v", "o", group_by=["g"], hot_group_rows=hot),
-    ):
-        a, b = build(50), build(10**9)
-        assert not b.isEmpty() and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    window = Window.partitionBy("g").orderBy("lower_bound", "upper_bound")
+    ranges = df.select("g", F.col("o").alias("lower_bound"), F.col("hi").alias("upper_bound")).withColumn("next_lower_bound", F.lead("lower_bound").over(window))
+    low, high, after = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
+    assert equal(tables.mutually_exclusive_ranges(df, "o", "hi", ["g"]), ranges.filter(~((low < high) & (after.isNull() | (high <= after)))))
+    values = df.groupBy("g", "o").agg(F.count("*").alias("n_rows")).withColumn("previous_value", F.lag("o").over(Window.partitionBy("g").orderBy("o")))
+    broken = values.filter((F.col("n_rows") > 1) | (F.col("o") != F.col("previous_value") + 1)).select("g", "o", "previous_value", "n_rows")
+    assert equal(tables.sequential_values(df, "o", group_by=["g"]), broken)
+    lagged = df.select("g", F.col("o").alias("sort_column"), F.col("v").alias("value_field")).withColumn(
+        "value_field_lag", F.lag("value_field").over(Window.partitionBy("g").orderBy("sort_column", "value_field")))
+    got = tables.expect_column_values_to_be_increasing(df, "v", "o", group_by=["g"])
+    assert equal(got, lagged.filter("value_field_lag is not null and not value_field > value_field_lag").select(*got.columns))
 
 
 def test_exact_quantile_equals_builtin(spark):

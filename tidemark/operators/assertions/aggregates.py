@@ -100,7 +100,7 @@ def exact_quantile(df: DataFrame, column: str, quantile: float, group_by: GroupB
     counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    running = with_running_total(counts, keys, ["_v"], F.col("_n"), "_upto")
+    running = with_running_total(counts, keys, ["_v"], F.col("_n"), "_upto", distinct=True)
     if keys:
         totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
         placed = running.join(totals, keys)

@@ -10,7 +10,7 @@ from tidemark.functions.dates import add_periods, boundaries_between, truncate
 from tidemark.operators.assertions.core import (
     ALL_MISSING, Expr, as_column, bounds, equal_expression, failing, keep_unless_missing, one_row, restrict,
 )
-from tidemark.operators.ordered import HOT_GROUP_ROWS, with_neighbour
+from tidemark.operators.ordered import with_neighbour
 from tidemark.operators.relational import date_spine
 
 GroupBy = Sequence[str] | None
@@ -101,7 +101,7 @@ def relationships(df: DataFrame, column: str, to: DataFrame, field: str) -> Data
 
 def mutually_exclusive_ranges(
     df: DataFrame, lower: str, upper: str, partition_by: GroupBy = None, gaps: str = "allowed",
-    zero_length_range_allowed: bool = False, hot_group_rows: int = HOT_GROUP_ROWS,
+    zero_length_range_allowed: bool = False,
 ) -> DataFrame:
     """Ranges that are empty or reversed, or that break the gap rule with the next range."""
     rules = {"allowed": lambda u, n: u <= n, "not_allowed": lambda u, n: u == n, "required": lambda u, n: u < n}
@@ -111,32 +111,32 @@ def mutually_exclusive_ranges(
     ranges = df.select(*keys, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound")).withColumn(
         "_own", F.struct(F.col("lower_bound").alias("v"))
     )
-    paired = with_neighbour(ranges, keys, ["lower_bound", "upper_bound"], "_own", "_next", "next", hot_group_rows)
+    paired = with_neighbour(ranges, keys, ["lower_bound", "upper_bound"], "_own", "_next", "next")
     low, high, following = F.col("lower_bound"), F.col("upper_bound"), F.col("_next.v")
     proper = F.coalesce(low <= high if zero_length_range_allowed else low < high, F.lit(False))
     apart = F.coalesce(rules[gaps](high, following), F.col("_next").isNull())
     return paired.filter(~(proper & apart)).select(*keys, "lower_bound", "upper_bound", following.alias("next_lower_bound"))
 
 
-def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None, group_by: GroupBy = None, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def sequential_values(df: DataFrame, column: str, interval: int = 1, datepart: str | None = None, group_by: GroupBy = None) -> DataFrame:
     """Values that do not follow their predecessor by exactly the interval.
 
     Equal values are counted together first; a repeated value fails once with its count.
     """
     keys = list(group_by or [])
     values = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n_rows"))
-    paired = with_neighbour(values, keys, [column], column, "previous_value", hot_group_rows=hot_group_rows)
+    paired = with_neighbour(values, keys, [column], column, "previous_value")
     expected = add_periods(F.col("previous_value"), datepart, interval) if datepart else F.col("previous_value") + interval
     breaks = F.coalesce(F.col(column) != expected, F.lit(False))
     repeats = F.col("n_rows") > 1
     return paired.filter(breaks | repeats).select(*keys, column, "previous_value", "n_rows")
 
 
-def _monotonic(df: DataFrame, column: str, sort_column: str | None, strictly: bool, row_condition, group_by: GroupBy, step, sign: int, hot_group_rows: int) -> DataFrame:
+def _monotonic(df: DataFrame, column: str, sort_column: str | None, strictly: bool, row_condition, group_by: GroupBy, step, sign: int) -> DataFrame:
     keys = list(group_by or [])
     order = sort_column or column
     rows = restrict(df, row_condition).select(*keys, F.col(order).alias("sort_column"), F.col(column).alias("value_field"))
-    paired = with_neighbour(rows, keys, ["sort_column", "value_field"], "value_field", "value_field_lag", hot_group_rows=hot_group_rows)
+    paired = with_neighbour(rows, keys, ["sort_column", "value_field"], "value_field", "value_field_lag")
     value, before = F.col("value_field"), F.col("value_field_lag")
     ahead = {(1, True): value > before, (1, False): value >= before, (-1, True): value < before, (-1, False): value <= before}
     good = ahead[(sign, strictly)]
@@ -145,13 +145,13 @@ def _monotonic(df: DataFrame, column: str, sort_column: str | None, strictly: bo
     return failing(paired.filter(before.isNotNull()), good)
 
 
-def expect_column_values_to_be_increasing(df: DataFrame, column: str, sort_column: str | None = None, strictly: bool = True, row_condition: Expr | None = None, group_by: GroupBy = None, step=None, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def expect_column_values_to_be_increasing(df: DataFrame, column: str, sort_column: str | None = None, strictly: bool = True, row_condition: Expr | None = None, group_by: GroupBy = None, step=None) -> DataFrame:
     """Rows not above their predecessor in sort order; equal sort values are taken by value."""
-    return _monotonic(df, column, sort_column, strictly, row_condition, group_by, step, 1, hot_group_rows)
+    return _monotonic(df, column, sort_column, strictly, row_condition, group_by, step, 1)
 
 
-def expect_column_values_to_be_decreasing(df: DataFrame, column: str, sort_column: str | None = None, strictly: bool = True, row_condition: Expr | None = None, group_by: GroupBy = None, step=None, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    return _monotonic(df, column, sort_column, strictly, row_condition, group_by, step, -1, hot_group_rows)
+def expect_column_values_to_be_decreasing(df: DataFrame, column: str, sort_column: str | None = None, strictly: bool = True, row_condition: Expr | None = None, group_by: GroupBy = None, step=None) -> DataFrame:
+    return _monotonic(df, column, sort_column, strictly, row_condition, group_by, step, -1)
 
 
 def expect_column_values_to_have_consistent_casing(df: DataFrame, column: str, display_inconsistent_columns: bool = False) -> DataFrame:

@@ -1,4 +1,14 @@
-"""Neighbour lookups and global ranks that hold when one group is a third of the table."""
+"""Neighbours, running totals and global ranks in an order that crosses tasks.
+
+Rows are dealt to ranges of (group, order columns, all further columns), compared as the values they are. The ranges' limits
+are quantiles of a sample of distinct rows, drawn by the hash of a row, that the same plan reads as a scalar subquery; so no job
+runs while a plan is built, and the plan is the same at every size. A group that holds a third of the rows, a third of equal
+or null order values and long common prefixes are spread over ranges like any others. Equal rows are counted into one before
+that, map-side, and told apart again at the end.
+
+What a range needs from the ranges before it is one row a range: the last row, or its group's total. These few rows, at most
+``RANGES_A_PARTITION`` for each shuffle partition, are carried by a window and joined back by range.
+"""
 
 from __future__ import annotations
 
@@ -6,157 +16,96 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.session import stored
+#: Ranges for each shuffle partition, and sampled rows for each range.
+RANGES_A_PARTITION = 2
+SAMPLED_A_RANGE = 8
 
-HOT_GROUP_ROWS = 5_000_000
-MAX_BROADCAST_GROUPS = 10_000
-COARSE_BUCKETS = 128
-FINE_BUCKETS = 256
 
+def _counted(df: DataFrame) -> DataFrame:
+    """Distinct rows with ``_copies``. Columns must be comparable, so maps are no payload."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
 
-def _sort_number(df: DataFrame, column: str) -> Column:
-    """A double that never falls as the column rises: used only to choose buckets."""
-    kind = df.schema[column].dataType.typeName()
-    if kind in ("string", "binary"):
-        prefix = F.hex(F.substring(F.col(column).cast("binary"), 1, 6))
-        return F.conv(F.rpad(prefix, 12, "0"), 16, 10).cast("double")
-    if kind == "boolean":
-        return F.col(column).cast("int").cast("double")
-    if kind in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    if kind == "date":
-        return F.unix_date(F.col(column)).cast("double")
-    return F.col(column).cast("double")
 
+def _ranged(rows: DataFrame, group_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Add ``_key``, the row's place as a struct, and ``_range``, the number of its range."""
+    rest = [c for c in rows.columns if c not in (*group_by, *order_by, "_copies")]
+    names = [*dict.fromkeys([*group_by, *order_by]), *rest]
+    key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)])
+    ranges = RANGES_A_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = rows.withColumn("_key", key)
+    read = keyed.filter("_copies > 0") if "_copies" in rows.columns else keyed  # the same shuffle serves all readings
+    sample = read.orderBy(F.xxhash64("_key")).limit(ranges * SAMPLED_A_RANGE)
+    limits = sample.agg(F.filter(
+        F.array_sort(F.collect_list("_key")), lambda _, i: (i + 1) % SAMPLED_A_RANGE == 0)).scalar()
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range(ranges.bit_length()))])
 
-def _hot_groups(df: DataFrame, group_by: Sequence[str], hot_group_rows: int) -> tuple[DataFrame, int]:
-    """Groups above the row limit, and how many there are, counted up to just past the broadcast bound."""
-    sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_group_rows)
-    hot = sizes.select(*group_by) if group_by else sizes
-    return hot, hot.limit(MAX_BROADCAST_GROUPS + 1).count()
+    def halved(at: Column, step: Column) -> Column:
+        return F.when(F.get("_limits", at + step - 1) < F.col("_key"), at + step).otherwise(at)
 
+    return keyed.withColumn("_limits", limits).withColumn("_range", F.aggregate(halves, F.lit(0), halved)).drop("_limits")
 
-def _bucketed(df: DataFrame, group_by: Sequence[str], order: str, hot: DataFrame, n_hot: int) -> DataFrame:
-    """Add ``_bucket``: 0 for ordinary groups, an order-preserving bucket within hot groups.
 
-    Hot groups get equal-count coarse buckets from an approximate quantile summary and
-    equal-width fine buckets inside each, so no task sees more than a sliver of one group. The
-    summary has one row per hot group; it is broadcast only up to a counted bound, and beyond
-    it an ordinary join with adaptive skew splitting is used.
-    """
-    side = F.broadcast if n_hot <= MAX_BROADCAST_GROUPS else (lambda frame: frame)
-    number = _sort_number(df, order)
-    steps = [i / COARSE_BUCKETS for i in range(COARSE_BUCKETS + 1)]
-    valued = df.withColumn("_x", number)
-    keyed = [F.col(f"_g{i}").eqNullSafe(F.col(g)) for i, g in enumerate(group_by)]
-    renamed = hot.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_by)], F.lit(True).alias("_hot"))
-    if group_by:
-        members = valued.join(side(renamed), keyed, "left_semi")
-        splits = members.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_by)]).agg(
-            F.percentile_approx("_x", steps, 10000).alias("_splits")
-        )
-        marked = valued.join(side(splits), keyed, "left")
-    else:
-        marked = valued.withColumn("_splits", valued.select(F.percentile_approx("_x", steps, 10000)).scalar())
-    inside = F.size(F.filter("_splits", lambda s: s <= F.col("_x")))
-    low = F.try_element_at("_splits", inside)
-    high = F.try_element_at("_splits", inside + 1)
-    share = F.coalesce(F.try_divide(F.col("_x") - low, high - low), F.lit(0.0))
-    fine = F.floor(share * FINE_BUCKETS).cast("bigint")
-    bucket = F.when(F.col("_splits").isNull() | F.col("_x").isNull(), F.lit(0).cast("bigint")).otherwise(
-        inside.cast("bigint") * (FINE_BUCKETS + 1) + fine
-    )
-    return marked.withColumn("_bucket", bucket).select(*df.columns, "_bucket")
-
-
-def with_neighbour(
-    df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], column: str, name: str,
-    direction: str = "previous", hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """Add the column's value from the previous or next row of the group.
+def _same_group(group_by: Sequence[str], side: str) -> Column:
+    same = F.lit(True)
+    for i, c in enumerate(group_by):
+        same = same & F.col(f"{side}.k{i}").eqNullSafe(F.col(f"`{c}`"))
+    return same
+
+
+def with_neighbour(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], column: str, name: str, direction: str = "previous") -> DataFrame:
+    """Add the column's value from the previous or next row of the group; rows equal in order are taken by their other columns.
 
-    Ordinary groups use one window. If any group exceeds ``hot_group_rows``, hot groups are cut
-    into ordered buckets; each bucket receives its neighbour bucket's edge value as one extra
-    row, so the window inside a bucket gives exactly the value a whole-group window would.
     Null order values sort first, as in an ascending window.
     """
     forward = direction == "previous"
-    shift = F.lag if forward else F.lead
-    hot, n_hot = _hot_groups(df, group_by, hot_group_rows)
-    if n_hot == 0:
-        window = Window.partitionBy(*group_by).orderBy(*order_by)
-        return df.withColumn(name, shift(column).over(window))
-
-    rows = _bucketed(df, group_by, order_by[0], hot, n_hot)
-    kind = df.schema[column].dataType
-    ranking = F.struct(*[F.col(c) for c in order_by])
-    pick = F.max_by if forward else F.min_by
-    edges = rows.groupBy(*group_by, "_bucket").agg(
-        pick(F.struct(F.col(column).alias("v")), ranking).alias("_edge"),
-    )
-    between = Window.partitionBy(*group_by).orderBy("_bucket")
-    carried = edges.select(
-        *group_by, "_bucket", shift("_edge").over(between).alias("_edge"),
-    ).filter("_edge is not null").select(
-        *group_by, "_bucket", F.col("_edge.v").cast(kind).alias("_value"), F.lit(True).alias("_carried")
-    )
-    own = rows.select(*df.columns, "_bucket", F.col(column).alias("_value"), F.lit(False).alias("_carried"))
-    merged = own.unionByName(carried, allowMissingColumns=True)
-    first = F.col("_carried").desc() if forward else F.col("_carried").asc()
-    window = Window.partitionBy(*group_by, "_bucket").orderBy(first, *order_by)
-    return merged.withColumn(name, shift("_value").over(window)).filter("not _carried").select(*df.columns, name)
+    rows = _ranged(_counted(df), group_by, order_by)
+    shift, last = (F.lag, F.max) if forward else (F.lead, F.min)
+    value = F.struct("_key", F.col(f"`{column}`").alias("v"))
+    edges = rows.groupBy("_range").agg(last(value).alias("_edge"))
+    carried = edges.select("_range", shift("_edge").over(Window.orderBy("_range")).alias("_carried"))
+    inside = Window.partitionBy("_range").orderBy("_key")
+    near = rows.join(carried, "_range", "left").withColumn("_near", F.coalesce(shift(value).over(inside), F.col("_carried")))
+    found = near.withColumn("_found", F.when(_same_group(group_by, "_near._key"), F.col("_near.v")))
+    # the copies of a row follow one another: one of them looks beyond, the others at a copy
+    each = found.select(*df.columns, "_found", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_i"))
+    return each.select(*df.columns, F.when(F.col("_i") == 1, F.col("_found")).otherwise(F.col(f"`{column}`")).alias(name))
 
 
 def with_running_total(
-    df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], weight: Column, name: str,
-    hot_group_rows: int = HOT_GROUP_ROWS,
+    df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], weight: Column, name: str, distinct: bool = False,
 ) -> DataFrame:
-    """Add the running total of a weight within each group; hot groups are summed bucket by bucket."""
-    hot, n_hot = _hot_groups(df, group_by, hot_group_rows)
-    weighed = df.withColumn("_w", weight)
-    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if n_hot == 0:
-        window = upto(Window.partitionBy(*group_by).orderBy(*order_by))
-        return weighed.withColumn(name, F.sum("_w").over(window)).select(*df.columns, name)
-    rows = _bucketed(weighed, group_by, order_by[0], hot, n_hot)
-    before = Window.partitionBy(*group_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*group_by, "_bucket").agg(F.sum("_w").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .filter("_before > 0")
-        .select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group_by)], F.col("_bucket").alias("_b"), "_before")
-    )
-    same = [F.col(f"_g{i}").eqNullSafe(F.col(g)) for i, g in enumerate(group_by)]
-    inside = upto(Window.partitionBy(*group_by, "_bucket").orderBy(*order_by))
-    return (
-        rows.withColumn("_r", F.sum("_w").over(inside))
-        .join(offsets, [*same, F.col("_b") == F.col("_bucket")], "left")
-        .withColumn(name, F.col("_r") + F.coalesce("_before", F.lit(0)))
-        .select(*df.columns, name)
-    )
-
-
-def with_row_number(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], name: str, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Add the ascending row number within each group."""
-    return with_running_total(df, group_by, order_by, F.lit(1).cast("bigint"), name, hot_group_rows)
-
-
-def dense_rank_desc(df: DataFrame, measure: str, name: str, width: int = 4096) -> DataFrame:
-    """Global dense rank, highest value first, without a single-task window over the rows.
-
-    Distinct values are ranked inside fixed-width value buckets and shifted by the number of
-    distinct values in higher buckets. For integers and decimals a bucket holds a bounded number
-    of distinct values, and the bucket totals are a small table. The rows are stored first
-    because they are read three times.
+    """Add the running total of a weight within each group; ``distinct`` promises that no row occurs twice."""
+    counted = df.withColumn("_copies", F.lit(1).cast("bigint")) if distinct else _counted(df)
+    rows = _ranged(counted, group_by, order_by).withColumn("_w", weight)
+    group = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(group_by)], F.lit(0).alias("_all"))
+    tails = rows.groupBy("_range", group.alias("_group")).agg(F.sum(F.col("_w") * F.col("_copies")).alias("_tail"))
+    edges = tails.groupBy("_range").agg(F.max(F.struct("_group", "_tail")).alias("_edge")).select("_range", "_edge._group", "_edge._tail")
+    upto = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = edges.withColumn("_sum", F.sum("_tail").over(upto))
+    by_range = Window.orderBy("_range")
+    carried = totals.select("_range", F.lag(F.struct("_group", "_sum")).over(by_range).alias("_carried"))
+    inside = Window.partitionBy("_range", *group_by).orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = rows.join(carried, "_range", "left")
+    before = F.when(_same_group(group_by, "_carried._group"), F.col("_carried._sum"))
+    summed = joined.withColumn("_upto", F.sum(F.col("_w") * F.col("_copies")).over(inside) + F.coalesce(before, F.lit(0)))
+    if distinct:
+        return summed.select(*df.columns, F.col("_upto").alias(name))
+    each = summed.select(*df.columns, "_upto", "_w", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)).alias("_i"))
+    return each.select(*df.columns, (F.col("_upto") - F.col("_w") * F.col("_i")).alias(name))
+
+
+def with_row_number(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], name: str, distinct: bool = False) -> DataFrame:
+    """Add the ascending row number within each group; rows equal in order are numbered by their other columns."""
+    return with_running_total(df, group_by, order_by, F.lit(1).cast("bigint"), name, distinct)
+
+
+def dense_rank_desc(df: DataFrame, measure: str, name: str) -> DataFrame:
+    """Global dense rank, highest value first, nulls last: the place of the value among the distinct ones.
+
+    Only the measure is computed for the ranks, and they are joined back by value.
     """
-    df = stored(df, "ranked")
-    values = df.select(measure).distinct().withColumn("_b", F.floor(F.col(measure) / width))
-    inside = values.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(F.col(measure).desc())))
-    above = Window.orderBy(F.col("_b").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = values.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select(
-        F.col("_b").alias("_ob"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above")
-    )
-    ranks = inside.join(offsets, F.col("_b").eqNullSafe(F.col("_ob"))).select(
-        F.col(measure).alias("_m"), (F.col("_r") + F.col("_above")).cast("int").alias(name)
-    )
+    values = df.select(F.col(measure).alias("_m")).distinct()
+    ranks = with_row_number(values, [], ["_m"], "_place", distinct=True)
+    top = values.select(F.count(F.lit(1))).scalar()
+    ranks = ranks.select("_m", (top - F.col("_place") + 1).cast("int").alias(name))
     return df.join(ranks, F.col(measure).eqNullSafe(F.col("_m"))).select(*df.columns, name)
