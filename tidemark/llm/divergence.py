@@ -24,7 +24,9 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.llm.common import arrow_type, bound_batches, written
@@ -240,14 +242,74 @@ def excesses(rated: DataFrame, of_lang: DataFrame, top: int) -> DataFrame:
     return above.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
 
+SHARED = T.StructType([
+    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("item", T.StringType()),
+    T.StructField("high", T.LongType()), T.StructField("low", T.LongType()),
+])
+#: Sums are taken of value // PART and of value % PART apart, each within a double's whole numbers.
+PART = 1 << 20
+#: Entries (a term's sources) that a task compares at a time.
+ENTRIES = 1_000_000
+
+
+def shared_terms(rated: DataFrame) -> DataFrame:
+    """For each two sources of a language, the sum over terms of both of what the pair has beyond its one-sided parts.
+
+    A term's sources meet in one row. A task takes some rows at a time and compares each source of theirs with all entries
+    of the terms that it has, so it holds those entries and a sum for each of the sources, never all pairs.
+    """
+    entry = F.struct("source", "p", "p0")
+    terms = rated.groupBy("lang", "term").agg(F.collect_list(entry).alias("e")).select("lang", "e").where(F.size("e") > 1)
+    schema = arrow_type(SHARED)
+    bound_batches(rated.sparkSession)
+
+    def summed(lang: str, ends: np.ndarray, names: pa.Array, p: np.ndarray, p0: np.ndarray) -> pa.RecordBatch:
+        """One language's terms: ``ends`` of their entries in the arrays."""
+        coded = names.dictionary_encode()
+        source, words = coded.indices.to_numpy(), coded.dictionary
+        term = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        starts, n = np.append(0, ends)[:-1], len(words)
+        out = []
+        order = np.argsort(source, kind="stable")
+        cuts = np.searchsorted(source[order], np.arange(n + 1))
+        for s in range(n):
+            mine = order[cuts[s] : cuts[s + 1]]  # this source's entries, one a term
+            sizes = ends[term[mine]] - starts[term[mine]]
+            high, low, seen = np.zeros(n), np.zeros(n), np.zeros(n, bool)
+            for part in np.array_split(np.arange(len(mine)), sizes.sum() // ENTRIES + 1):
+                k = sizes[part]
+                own = np.repeat(mine[part], k)
+                other = np.repeat(starts[term[mine[part]]] - np.cumsum(k) + k, k) + np.arange(k.sum())
+                a, a0, b, b0, o = p[own], p0[own], p[other], p0[other], source[other]
+                value = (a - b) ** 2 // b - (a - b0) ** 2 // b0 - (a0 - b) ** 2 // b + (a0 - b0) ** 2 // b0
+                high += np.bincount(o, value // PART, n)
+                low += np.bincount(o, value % PART, n)
+                seen[o] = True
+            seen[s] = False
+            at = np.flatnonzero(seen)
+            out.append((np.full(len(at), s), at, high[at].astype(np.int64), low[at].astype(np.int64)))
+        first, second, high, low = (np.concatenate(x) for x in zip(*out, strict=True))
+        columns = [pa.array([lang] * len(first), pa.string()), words.take(pa.array(first)), words.take(pa.array(second)), pa.array(high), pa.array(low)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column(0)
+            for lang in langs.unique().to_pylist():
+                lists = batch.column(1).filter(pc.equal(langs, lang))
+                entries, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy())
+                names, p, p0 = entries.flatten()
+                yield summed(lang, ends, names, p.to_numpy(), p0.to_numpy())
+
+    return terms.mapInArrow(run, SHARED)
+
+
 def pairs(rated: DataFrame, known: DataFrame) -> DataFrame:
     """The sum of excesses over all kept terms for each two sources of a language."""
     wide = "decimal(38,0)"
-    side = rated.select("lang", "term", "source", "p", "p0")
-    other = side.toDF("lang", "term", "item", "q", "q0")
     p, q, p0, q0 = map(F.col, ("p", "q", "p0", "q0"))
-    together = side.join(other, ["lang", "term"]).where("source <> item").groupBy("lang", "source", "item").agg(
-        F.sum((excess(p, q) - excess(p, q0) - excess(p0, q) + excess(p0, q0)).cast("decimal(20,0)")).cast(wide).alias("v"))
+    together = shared_terms(rated).groupBy("lang", "source", "item").agg(
+        (F.sum("high").cast(wide) * PART + F.sum("low").cast(wide)).cast(wide).alias("v"))
 
     # terms of one source alone: each distinct count once for every other source
     alike = rated.groupBy("lang", "source", "p", "p0").agg(F.count("*").alias("m"))
