@@ -1,10 +1,10 @@
 """Source divergence audit: how each source's use of terms differs from the other sources and from its whole language.
 
 The terms of a language are those in at least ``threshold`` of its documents. They are found by iceberg refinement: byte
-prefixes are counted level by level (4, 8, 16, ... bytes), each once a document; prefixes in too few documents are
+prefixes are counted level by level (8, 16, 32, ... bytes), each once a document; prefixes in too few documents are
 discarded, and the next level looks only at terms whose prefix was kept, until no prefix is left to extend. A term shorter
-than its level's prefixes is complete there and is counted with its occurrences by source. Tasks combine their documents
-before the shuffle and hold a bounded number of keys. The kept prefixes reach the tasks as a bit table of fixed size; a
+than its level's prefixes is complete there. A last reading counts the kept terms by source. Tasks combine their documents
+before the shuffle and hold a bounded number of keys. The kept keys reach the tasks as a bit table of fixed size; a
 false hit only means that a rare term is counted and then discarded, so the counts are exact at any size of the corpus.
 
 Probabilities and their divergences are integers (see ``probability``). The sum over all kept terms for a pair of sources
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,21 +33,21 @@ from tidemark.llm.common import arrow_type, bound_batches, written
 
 THRESHOLD = 3
 #: Bytes of the first level's prefixes.
-FIRST = 4
+FIRST = 8
 #: Bits of the table of kept prefixes that tasks get; a power of two, 8 MB.
 SIEVE_BITS = 1 << 26
 #: Keys, and their bytes, that a task combines before it hands them on.
-TASK_KEYS, TASK_BYTES = 200_000, 16_000_000
+TASK_KEYS, TASK_BYTES = 500_000, 16_000_000
+#: Languages for which a task keeps the answers of the bit table at hand.
+MOST_LANGS = 64
 SCALE = 1_000_000_000
 TOP = 200
 
 #: Letters of A-Z as a-z, other letters and bytes of further code points as they are, all else a space.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-COUNTED = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("key", T.BinaryType()),
-    T.StructField("open", T.BooleanType()), T.StructField("documents", T.LongType()), T.StructField("occurrences", T.LongType()),
-])
+COUNTED = "lang string, key binary, open boolean, documents long"
+SAID = "lang string, source string, key binary, n long"
 
 
 def terms_of(text: str) -> list[bytes]:
@@ -87,99 +87,105 @@ class Sieve:
 
 
 class Tally:
-    """A level's counts of a task: documents of prefixes still open, documents and occurrences of complete terms."""
+    """Counts by group that a task combines before it hands them on."""
 
-    def __init__(self, before: int, width: int, sieve: Sieve | None):
-        self.before, self.width, self.sieve = before, width, sieve
-        self.seen: dict[str, dict[bytes, bool]] = defaultdict(dict)
+    def __init__(self, schema: pa.Schema):
+        self.schema = schema
         self.clear()
 
     def clear(self) -> None:
-        self.open: dict[str, Counter] = defaultdict(Counter)
-        self.documents: dict[tuple, Counter] = defaultdict(Counter)
-        self.occurrences: dict[tuple, Counter] = defaultdict(Counter)
+        self.counts: dict[tuple, Counter] = defaultdict(Counter)
         self.keys = self.bytes = 0
 
-    def kept(self, lang: str, terms: Counter) -> list[bytes]:
-        """The terms that reach this level and whose prefix of the level before may have been kept."""
-        before = self.before
-        if not before:
-            return list(terms)
-        seen, seed = self.seen[lang], Sieve.seed(lang)
-        out = []
-        for term in terms:
-            if len(term) < before:
-                continue
-            prefix = term[:before]
-            good = seen.get(prefix)
-            if good is None:
-                if len(seen) * before > TASK_BYTES:
-                    seen.clear()
-                good = seen[prefix] = self.sieve.has(seed, prefix)
-            if good:
-                out.append(term)
-        return out
-
-    def add(self, lang: str, source: str, text: str) -> None:
-        width, counts = self.width, Counter(terms_of(text))
-        kept = self.kept(lang, counts)
-        prefixes = {t[:width] for t in kept if len(t) >= width}
-        complete = [t for t in kept if len(t) < width]
-        opened, documents, occurrences = self.open[lang], self.documents[lang, source], self.occurrences[lang, source]
-        known = len(opened) + len(documents)
-        opened.update(prefixes)
-        documents.update(complete)
-        for term in complete:
-            occurrences[term] += counts[term]
-        more = len(opened) + len(documents) - known
-        self.keys += more
-        self.bytes += more * width
+    def add(self, group: tuple, keys, size: int) -> None:
+        """Count keys (or add up a mapping's counts) of about ``size`` bytes each."""
+        own = self.counts[group]
+        known = len(own)
+        own.update(keys)
+        self.keys += len(own) - known
+        self.bytes += (len(own) - known) * size
 
     def full(self) -> bool:
         return self.keys >= TASK_KEYS or self.bytes >= TASK_BYTES
 
-    def rows(self, step: int = 20_000) -> Iterator[list[tuple]]:
-        out = []
-        for lang, keys in self.open.items():
-            for key, n in keys.items():
-                out.append((lang, "", key, True, n, 0))
-                if len(out) >= step:
-                    yield out
-                    out = []
-        for (lang, source), keys in self.documents.items():
-            said = self.occurrences[lang, source]
-            for key, n in keys.items():
-                out.append((lang, source, key, False, n, said[key]))
-                if len(out) >= step:
-                    yield out
-                    out = []
-        if out:
-            yield out
-
-
-def level(docs: DataFrame, before: int, width: int, sieve: Sieve | None, threshold: int) -> DataFrame:
-    """Prefixes of ``width`` bytes and terms of ``before`` to ``width`` - 1 bytes in enough documents, by source."""
-    schema = arrow_type(COUNTED)
+    def batches(self, columns: Callable[[tuple, list, list], list], step: int = 50_000) -> Iterator[pa.RecordBatch]:
+        """The counts as rows: ``columns`` makes the columns of a group's keys and counts."""
+        for group, counts in self.counts.items():
+            keys, values = list(counts), list(counts.values())
+            for at in range(0, len(keys), step):
+                made = columns(group, keys[at : at + step], values[at : at + step])
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(made, self.schema, strict=True)], schema=self.schema)
+
+
+class Kept:
+    """Which keys of a language may have been kept, with the answers for frequent ones at hand."""
+
+    def __init__(self, sieve: Sieve | None, lang: str):
+        self.sieve, self.seed, self.known, self.bytes = sieve, Sieve.seed(lang), {}, 0
+
+    def has(self, key: bytes) -> bool:
+        good = self.known.get(key)
+        if good is None:
+            if self.bytes > TASK_BYTES:
+                self.known.clear()
+                self.bytes = 0
+            self.bytes += len(key) + 100
+            good = self.known[key] = self.sieve.has(self.seed, key)
+        return good
+
+
+def counted(docs: DataFrame, schema: str, sieve: Sieve | None, count: Callable[[Tally, Kept, str, str, str], None],
+            columns: Callable[[tuple, list, list], list]) -> DataFrame:
+    """What ``count`` adds for each (language, source, text), combined by task; one reading of the texts."""
+    spark_type = T._parse_datatype_string(schema)
+    out = arrow_type(spark_type)
     shared = docs.sparkSession.sparkContext.broadcast(sieve)
     bound_batches(docs.sparkSession)
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(before, width, shared.value)
+        tally, kept = Tally(out), {}
         for rows in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                tally.add(lang, source, text)
+                if lang not in kept:
+                    if len(kept) >= MOST_LANGS:
+                        kept.clear()
+                    kept[lang] = Kept(shared.value, lang)
+                count(tally, kept[lang], lang, source, text)
                 if tally.full():
-                    yield from map(batch, tally.rows())
+                    yield from tally.batches(columns)
                     tally.clear()
-        yield from map(batch, tally.rows())
+        yield from tally.batches(columns)
+
+    return docs.mapInArrow(run, spark_type)
+
+
+def level(docs: DataFrame, before: int, width: int, sieve: Sieve | None, threshold: int) -> DataFrame:
+    """Prefixes of ``width`` bytes (open) and terms of ``before`` to ``width`` - 1 bytes in enough documents."""
+    def count(tally: Tally, kept: Kept, lang: str, source: str, text: str) -> None:
+        terms = set(terms_of(text))
+        if before:
+            terms = [t for t in terms if len(t) >= before and kept.has(t[:before])]
+        tally.add((lang, True), {t[:width] for t in terms if len(t) >= width}, width)
+        tally.add((lang, False), [t for t in terms if len(t) < width], width)
+
+    def columns(group: tuple, keys: list, values: list) -> list:
+        return [[group[0]] * len(keys), keys, [group[1]] * len(keys), values]
+
+    summed = counted(docs, COUNTED, sieve, count, columns).groupBy("lang", "key", "open").agg(F.sum("documents").alias("documents"))
+    return summed.where(F.col("documents") >= threshold).select("lang", "key", "open")
+
+
+def occurrences(docs: DataFrame, terms: DataFrame, sieve: Sieve | None) -> DataFrame:
+    """``lang``, ``source``, ``term`` and ``n`` of the kept terms."""
+    def count(tally: Tally, kept: Kept, lang: str, source: str, text: str) -> None:
+        counts = Counter(terms_of(text))
+        tally.add((lang, source), {t: n for t, n in counts.items() if kept.has(t)}, 16)
+
+    def columns(group: tuple, keys: list, values: list) -> list:
+        return [[group[0]] * len(keys), [group[1]] * len(keys), keys, values]
 
-    summed = docs.mapInArrow(run, COUNTED).groupBy("lang", "source", "key", "open").agg(
-        F.sum("documents").alias("documents"), F.sum("occurrences").alias("occurrences"))
-    every = Window.partitionBy("lang", "key", "open")
-    return summed.withColumn("_all", F.sum("documents").over(every)).where(F.col("_all") >= threshold).drop("_all", "documents")
+    summed = counted(docs, SAID, sieve, count, columns).groupBy("lang", "key", "source").agg(F.sum("n").alias("n"))
+    return summed.join(terms, ["lang", "key"], "left_semi").select("lang", "source", F.col("key").cast("string").alias("term"), "n")
 
 
 def plain(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -194,11 +200,12 @@ def term_counts(docs: DataFrame, threshold: int = THRESHOLD, text: str = "text",
     before, width, sieve, found = 0, first, None, None
     while before == 0 or sieve is not None:
         kept = written(level(rows, before, width, sieve, threshold), f"terms-{width}")
-        complete = kept.where("not open").select("lang", "source", F.col("key").cast("string").alias("term"), F.col("occurrences").alias("n"))
+        complete = kept.where("not open").select("lang", "key")
         found = complete if found is None else found.unionByName(complete)
         sieve = Sieve.of(kept.where("open").select("lang", "key"), sieve_bits)
         before, width = width, width * 2
-    return found
+    sieve = Sieve.of(found, sieve_bits)
+    return occurrences(rows if sieve else rows.limit(0), found, sieve)
 
 
 def probability(n: Column, total: Column, kept: Column) -> Column:
