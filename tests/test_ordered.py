@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tidemark.operators import ordered
+from tidemark.operators import differences, ordered, quality, reports
 from tidemark.operators.assertions import aggregates, tables
 
 
@@ -92,7 +92,7 @@ def test_ranges_are_even_and_plans_have_no_job(spark):
         for frame in made:
             plan = frame._jdf.queryExecution().executedPlan().toString()
             assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
-        sizes = ordered._ranged(ordered._counted(df), [], ["o"]).groupBy("_range").count().agg(F.max("count"), F.count("*")).first()
+        sizes = ordered.ranged(ordered._counted(df), [], ["o"]).groupBy("_range").count().agg(F.max("count"), F.count("*")).first()
         assert sizes[1] >= 12 and sizes[0] < 6000 / 16 * 3
 
 
@@ -124,3 +124,30 @@ def test_exact_quantile_equals_builtin(spark):
         got = {r["g"]: r["expression"] for r in aggregates.exact_quantile(df, "v", q, ["g"]).collect()}
         want = {r["g"]: r["e"] for r in df.groupBy("g").agg(F.expr(f"percentile(v, {q}D)").alias("e")).collect()}
         assert got == pytest.approx(want)
+
+
+def test_grouped_text_splits_a_hot_key(spark):
+    """One key has a third of the rows, with ties, nulls and common prefixes; no task orders all of its texts."""
+    n = F.col("id")
+    df = spark.range(6000).select(
+        F.when(n % 3 == 0, 0).otherwise(n % 50 + 1).alias("g"),
+        F.when(n % 7 == 0, None).when(n % 6 == 0, F.lit("tie")).otherwise(F.concat(F.lit("x" * 30), n.cast("string"))).alias("v"))
+    df = df.unionByName(spark.sql("SELECT 99L AS g, cast(null AS string) AS v"))
+    for distinct, collected in ((False, F.collect_list), (True, F.collect_set)):
+        want = df.groupBy("g").agg(F.array_join(F.array_sort(collected("v")), "; ").alias("t"))
+        assert equal(reports.grouped_text(df, ["g"], F.col("v"), "t", "; ", distinct), want)
+    rows = df.filter("g = 0 and v is not null").groupBy("g", "v").count()
+    assert ordered.ranged(rows.unionByName(df.filter("g <> 0").groupBy("g", "v").count()), ["g"], ["v"]).filter("g = 0").select("_range").distinct().count() > 4
+
+
+def test_differences_by_digest(spark):
+    a = spark.range(5000).select("id", (F.col("id") % 17).alias("v"), F.when(F.col("id") % 3 == 0, F.lit("t")).alias("t"))
+    b = a.filter("id <> 11").withColumn("v", F.when(F.col("id") == 4000, 99).otherwise(F.col("v"))).unionByName(a.filter("id < 5"))
+    got = differences.equality_by_digest(a, b)
+    assert equal(got, tables.equality(a, b)) and got.count() == 3
+    assert differences.equality_by_digest(a, a.repartition(7)).isEmpty()
+    left, right = differences.differing(a, b, a.columns)
+    assert {11, 4000} <= {r["id"] for r in left.collect()} and left.count() + right.count() < 100
+    assert equal(differences.reconcile_by_digest(a, b.filter("id >= 5"), ["id"], "v"), quality.reconcile(a, b.filter("id >= 5"), ["id"], "v"))
+    for empty in (a.limit(0), a):
+        assert equal(differences.equality_by_digest(a.limit(0), empty), tables.equality(a.limit(0), empty))

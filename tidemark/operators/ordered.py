@@ -26,8 +26,8 @@ def _counted(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def _ranged(rows: DataFrame, group_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Add ``_key``, the row's place as a struct, and ``_range``, the number of its range."""
+def ranged(rows: DataFrame, group_by: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """Add ``_key``, the row's place as a struct, and ``_range``, the number of its range, to distinct rows."""
     rest = [c for c in rows.columns if c not in (*group_by, *order_by, "_copies")]
     names = [*dict.fromkeys([*group_by, *order_by]), *rest]
     key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(names)])
@@ -58,7 +58,7 @@ def with_neighbour(df: DataFrame, group_by: Sequence[str], order_by: Sequence[st
     Null order values sort first, as in an ascending window.
     """
     forward = direction == "previous"
-    rows = _ranged(_counted(df), group_by, order_by)
+    rows = ranged(_counted(df), group_by, order_by)
     shift, last = (F.lag, F.max) if forward else (F.lead, F.min)
     value = F.struct("_key", F.col(f"`{column}`").alias("v"))
     edges = rows.groupBy("_range").agg(last(value).alias("_edge"))
@@ -76,7 +76,7 @@ def with_running_total(
 ) -> DataFrame:
     """Add the running total of a weight within each group; ``distinct`` promises that no row occurs twice."""
     counted = df.withColumn("_copies", F.lit(1).cast("bigint")) if distinct else _counted(df)
-    rows = _ranged(counted, group_by, order_by).withColumn("_w", weight)
+    rows = ranged(counted, group_by, order_by).withColumn("_w", weight)
     group = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(group_by)], F.lit(0).alias("_all"))
     tails = rows.groupBy("_range", group.alias("_group")).agg(F.sum(F.col("_w") * F.col("_copies")).alias("_tail"))
     edges = tails.groupBy("_range").agg(F.max(F.struct("_group", "_tail")).alias("_edge")).select("_range", "_edge._group", "_edge._tail")

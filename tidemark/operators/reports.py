@@ -2,32 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.ordered import ranged
 from tidemark.operators.upsert import keep_first
 
 # Fixed value: separator of the concatenating aggregate.
 SEPARATOR = ", "
 
 
-def group_concat(text: Column, separator: str = SEPARATOR) -> Column:
-    """Concatenating aggregate; values are put in order so the result is repeatable."""
-    return F.array_join(F.array_sort(F.collect_list(text)), separator)
+def grouped_text(df: DataFrame, keys: Sequence[str], text: Column, name: str, separator: str = SEPARATOR, distinct: bool = False) -> DataFrame:
+    """Each key's texts in order, joined; null texts count for nothing, and a key with none but these gets an empty text.
+
+    Equal texts are counted map-side, and a key's texts are put in order by ranges of (key, text), so a key that holds
+    much of the table is sorted by many tasks; only the finished pieces, one a range, meet for the key.
+    """
+    rows = df.select(*keys, text.cast("string").alias("_text")).groupBy(*keys, "_text").agg(F.count(F.lit(1)).alias("_copies"))
+    found = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("_text", "_copies"))))
+    repeated = F.transform(found, lambda x: x["_text"]) if distinct else F.flatten(
+        F.transform(found, lambda x: F.array_repeat(x["_text"], x["_copies"].cast("int"))))
+    pieces = ranged(rows, keys, ["_text"]).groupBy(*keys, "_range").agg(repeated.alias("_texts"))
+    piece = F.when(F.size("_texts") > 0, F.struct("_range", F.array_join("_texts", separator).alias("_piece")))
+    ordered = F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["_piece"])
+    return pieces.groupBy(*keys).agg(F.array_join(ordered, separator).alias(name))
 
 
 def actor_info(actor: DataFrame, film_actor: DataFrame, film_category: DataFrame, category: DataFrame, film: DataFrame) -> DataFrame:
     """Per actor, one text of ``category: titles`` entries; actors without films stay, with null."""
-    lines = (
+    titles = (
         film_actor.join(film_category, "film_id")
         .join(category, "category_id")
         .join(film.select("film_id", "title"), "film_id")
-        .groupBy("actor_id", "category_id", "category_name")
-        .agg(group_concat(F.col("title")).alias("titles"))
-        .select("actor_id", F.concat("category_name", F.lit(": "), "titles").alias("line"))
-    )
-    info = lines.groupBy("actor_id").agg(
-        F.array_join(F.array_sort(F.collect_set("line")), SEPARATOR).alias("film_info")
     )
+    lines = grouped_text(titles, ["actor_id", "category_id", "category_name"], F.col("title"), "titles")
+    info = grouped_text(lines, ["actor_id"], F.concat("category_name", F.lit(": "), "titles"), "film_info", distinct=True)
     return actor.join(info, "actor_id", "left")
 
 
@@ -63,7 +73,7 @@ def film_list(film: DataFrame, film_category: DataFrame, category: DataFrame, fi
     """
     first, last = F.col("first_name"), F.col("last_name")
     name = capitalised(first, last) if nicer else F.concat(first, F.lit(" "), last)
-    cast = film_actor.join(actor, "actor_id").groupBy("film_id").agg(group_concat(name).alias("actors"))
+    cast = grouped_text(film_actor.join(actor, "actor_id"), ["film_id"], name, "actors")
     return (
         film.join(cast, "film_id")
         .join(film_category, "film_id")

@@ -383,6 +383,4 @@ SELECT l_orderkey, string_agg(p_name, ', ' ORDER BY p_name) AS names FROM lineit
 def report_group_concat(t: Tables) -> DataFrame:
     """Product names of every order in one text."""
     names = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return t.lineitem.select("l_orderkey", "l_partkey").join(names, "l_partkey").groupBy("l_orderkey").agg(
-        reports.group_concat(F.col("p_name")).alias("names")
-    )
+    return reports.grouped_text(t.lineitem.select("l_orderkey", "l_partkey").join(names, "l_partkey"), ["l_orderkey"], F.col("p_name"), "names")

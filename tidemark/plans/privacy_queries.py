@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators import privacy, upsert
+from tidemark.operators import erasure, privacy, upsert
 from tidemark.plans import feed
 from tidemark.plans.cdc_queries import EVENTS_SQL
 from tidemark.plans.registry import query
-from tidemark.session import Tables, scratch_path
+from tidemark.session import Tables, scratch_path, stored
+from tidemark.sources import landing
 
 KIND = "silver_customer"
 AT = "2002-01-01 00:00:00"
@@ -194,3 +195,55 @@ def privacy_completed_trend(t: Tables) -> DataFrame:
 SELECT CAST(c_custkey AS VARCHAR) AS subject_id, 'silver_customer' AS subject_type FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM acc)""")
 def privacy_active_keys(t: Tables) -> DataFrame:
     return privacy.active_keys(privacy.shred(key_table(t), privacy.accepted(requests(t)), at())).select("subject_id", "subject_type")
+
+
+@query("privacy_random_keys", "SELECT count(*) AS n_keys, count(*) AS n_distinct, 32 AS shortest, 32 AS longest FROM customer")
+def privacy_random_keys(t: Tables) -> DataFrame:
+    """Fresh keys differ on every run, so their number, length and difference are compared."""
+    keys = stored(privacy.missing_keys(t.customer.select("c_custkey"), no_keys(t), KIND, privacy.random_key(), at()), "keys")
+    size = F.octet_length("dek")
+    return keys.agg(F.count("dek").alias("n_keys"), F.count_distinct("dek").alias("n_distinct"), F.min(size).alias("shortest"), F.max(size).alias("longest"))
+
+
+SCANS = {
+    KIND: erasure.Scan(("orders", "customer"), ("customer_id",)),
+    "silver_order": erasure.Scan(("orders",), ("order_id",)),
+}
+
+
+@query("privacy_erasure_run", REQUESTS_SQL + f""", ev AS ({EVENTS_SQL}), ord AS (
+  SELECT 'ord-' || o_orderkey AS request_id, CAST(o_orderkey AS VARCHAR) AS subject_id, 'silver_order' AS subject_type, o_orderkey FROM orders WHERE o_totalprice > 400000),
+every AS (SELECT request_id, subject_id, subject_type FROM acc UNION ALL SELECT request_id, subject_id, subject_type FROM ord),
+named AS (
+  SELECT a.request_id, count(*) AS n FROM acc a JOIN ev ON ev.o_custkey = a.c_custkey AND ev.op <> 'd' GROUP BY 1
+  UNION ALL SELECT request_id, 1 FROM acc UNION ALL SELECT o.request_id, count(*) FROM ord o JOIN ev ON ev.o_orderkey = o.o_orderkey GROUP BY 1)
+SELECT 'event' AS kind, 'orders:' || (o_orderkey * 4 + slot) AS id, op AS state FROM ev
+WHERE NOT (op <> 'd' AND o_custkey IN (SELECT c_custkey FROM acc)) AND o_orderkey NOT IN (SELECT o_orderkey FROM ord)
+UNION ALL SELECT 'event', 'customer:' || c_custkey, 'c' FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM acc)
+UNION ALL SELECT 'request', request_id, CASE WHEN request_id IN (SELECT request_id FROM acc) THEN 'complete' ELSE status END FROM req
+UNION ALL SELECT 'request', request_id, 'complete' FROM ord
+UNION ALL SELECT 'registry', subject_type || ':' || subject_id, 'suppressed' FROM (SELECT DISTINCT subject_type, subject_id FROM every)
+UNION ALL SELECT 'key', 'silver_customer:' || c_custkey, CASE WHEN c_custkey IN (SELECT c_custkey FROM acc) THEN 'gone' ELSE 'live' END FROM customer
+UNION ALL SELECT 'key', 'silver_order:' || o_orderkey, CASE WHEN o_totalprice > 400000 THEN 'gone' ELSE 'live' END FROM orders
+UNION ALL SELECT 'audit', request_id, 'events=' || CAST(sum(n) AS BIGINT) FROM named GROUP BY request_id
+UNION ALL SELECT 'check', request_id, 'PASS' FROM every""")
+def privacy_erasure_run(t: Tables) -> DataFrame:
+    """One run for customers and orders, some of which have equal ids: events, requests, registry, keys, audit and checks."""
+    store = erasure.EventStore(t.spark, scratch_path(t.spark, "erasable"), SCANS)
+    store.add(landing.normalise_landing(feed.order_landing(t), at().cast("timestamp")))
+    store.add(landing.normalise_landing(feed.customer_landing(t), at().cast("timestamp")))
+    asked = requests(t).unionByName(t.orders.filter("o_totalprice > 400000").select(
+        F.concat(F.lit("ord-"), "o_orderkey").alias("request_id"), F.col("o_orderkey").cast("string").alias("subject_id"),
+        F.lit("silver_order").alias("subject_type"), at().alias("requested_at"), F.lit("pending").alias("status")))
+    order_keys = privacy.missing_keys(t.orders.select("o_orderkey"), no_keys(t), "silver_order", privacy.derived_key("drill"), at())
+    done = erasure.run(store, asked, empty_registry(t), key_table(t).unionByName(order_keys), "run-1", at())
+    subject = F.concat_ws(":", "subject_type", "subject_id")
+    row = lambda df, kind, id, state: df.select(F.lit(kind).alias("kind"), id.alias("id"), state.alias("state"))
+    return (
+        row(store.events(), "event", F.concat_ws(":", "table_name", "offset"), F.get_json_object("value", "$.payload.op"))
+        .unionByName(row(done.requests, "request", F.col("request_id"), F.col("status")))
+        .unionByName(row(done.registry, "registry", subject, F.lit("suppressed")))
+        .unionByName(row(done.keys, "key", subject, F.when(F.col("dek").isNull(), "gone").otherwise("live")))
+        .unionByName(row(done.audit.filter("step = 'delete_events'"), "audit", F.col("request_id"), F.regexp_extract("evidence", "^events=[0-9]+", 0)))
+        .unionByName(row(done.checks, "check", F.col("request_id"), F.col("status")))
+    )

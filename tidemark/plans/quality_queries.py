@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators import drift, quality, upsert
+from tidemark.operators import differences, drift, quality, upsert
 from tidemark.plans import feed
 from tidemark.plans.cdc_queries import CLASS, CURRENT_ORDERS_SQL, EVENTS_SQL, empty_orders, order_changes
 from tidemark.plans.registry import query
@@ -215,6 +215,37 @@ def quality_reconcile_totals(t: Tables) -> DataFrame:
     return quality.reconcile(gold, silver, ["rental_id"], "total")
 
 
+# A copy of the orders in which some prices, and the rows of one status and priority, differ.
+COPY_SQL = """(SELECT o_orderkey, o_orderstatus, CASE WHEN o_totalprice > 480000 THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders
+  WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW'))"""
+
+
+def _copied(t: Tables) -> tuple[DataFrame, DataFrame]:
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    kept = t.orders.filter(~((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")))
+    price = F.when(F.col("o_totalprice") > 480000, 0.0).otherwise(F.col("o_totalprice"))
+    return orders, kept.select("o_orderkey", "o_orderstatus", price.alias("o_totalprice"))
+
+
+@query("quality_equality_by_digest", f"""
+(SELECT *, 'a_minus_b' AS which_diff FROM (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders EXCEPT SELECT * FROM {COPY_SQL}))
+UNION ALL (SELECT *, 'b_minus_a' FROM (SELECT * FROM {COPY_SQL} EXCEPT SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders))""")
+def quality_equality_by_digest(t: Tables) -> DataFrame:
+    """Rows of one table only, looked for in the buckets whose digests differ."""
+    return differences.equality_by_digest(*_copied(t))
+
+
+@query("quality_reconcile_by_digest", f"""
+SELECT o_orderkey, CAST(a.o_totalprice AS DOUBLE) AS left_total, CAST(b.o_totalprice AS DOUBLE) AS right_total,
+  CAST(abs(coalesce(CAST(a.o_totalprice AS DECIMAL(18,2)), 0) - coalesce(CAST(b.o_totalprice AS DECIMAL(18,2)), 0)) AS DOUBLE) AS discrepancy
+FROM orders a FULL JOIN {COPY_SQL} b USING (o_orderkey)
+WHERE abs(coalesce(CAST(a.o_totalprice AS DECIMAL(18,2)), 0) - coalesce(CAST(b.o_totalprice AS DECIMAL(18,2)), 0)) > 0.01""")
+def quality_reconcile_by_digest(t: Tables) -> DataFrame:
+    """Keys whose measure differs, looked for in the buckets whose digests differ."""
+    exact = [x.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)")) for x in _copied(t)]
+    return differences.reconcile_by_digest(*exact, ["o_orderkey"], "o_totalprice")
+
+
 @query("quality_positive_amounts", """
 SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal <= 0""")
 def quality_positive_amounts(t: Tables) -> DataFrame:
