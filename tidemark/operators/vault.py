@@ -202,6 +202,74 @@ def containment(child: DataFrame, column: str, parent: DataFrame, parent_column:
     return found.agg(F.count(F.lit(1)).alias("n_values"), F.count("hit").alias("n_found"))
 
 
+#: Nominal entries of a column's sketch, least estimated containment of a candidate, and expected common entries below
+#: which an estimate says nothing and the exact check decides.
+SKETCH_ENTRIES, LIKELY, TOO_FEW = 4096, 0.8, 30
+#: Types whose values name things.
+FAMILIES = {"byte": "integer", "short": "integer", "integer": "integer", "long": "integer", "string": "string"}
+
+
+def column_sketches(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows, values and a mergeable sketch of the distinct values of every integer and text column, in one pass a table."""
+    def named(df: DataFrame) -> list[tuple[str, str]]:
+        return [(f.name, FAMILIES[f.dataType.typeName()]) for f in df.schema.fields if f.dataType.typeName() in FAMILIES]
+
+    def of(name: str, df: DataFrame) -> DataFrame:
+        columns = named(df)
+        row = df.agg(F.array(*[
+            F.struct(
+                F.lit(c).alias("column_name"), F.lit(family).alias("family"), F.count(F.lit(1)).alias("n_rows"), F.count(f"`{c}`").alias("n_values"),
+                F.theta_sketch_agg(F.col(f"`{c}`").cast("string"), SKETCH_ENTRIES.bit_length() - 1).alias("sketch"))
+            for c, family in columns]).alias("columns"))
+        return row.select(F.lit(name).alias("table_name"), F.inline("columns"))
+
+    return reduce(DataFrame.unionByName, [of(name, df) for name, df in tables.items() if named(df)])
+
+
+def reference_candidates(sketches: DataFrame) -> DataFrame:
+    """Pairs of columns, child and parent, that the sketches don't rule out.
+
+    A parent has no nulls and about as many distinct values as rows. A child's estimated share of values among the
+    parent's must be likely, or too few entries of the child are expected in the parent's sketch to tell.
+    """
+    rated = sketches.withColumn("n_distinct", F.theta_sketch_estimate("sketch")).filter("n_distinct > 0")
+    parent = rated.filter((F.col("n_rows") == F.col("n_values")) & (F.col("n_distinct") >= 0.9 * F.col("n_rows")))
+    parent = parent.select("family", F.col("table_name").alias("parent"), F.col("column_name").alias("parent_column"), F.col("sketch").alias("_p"), F.col("n_distinct").alias("_n"))
+    both = rated.join(parent, "family").filter("not (table_name = parent and column_name = parent_column)")
+    share = F.theta_sketch_estimate(F.theta_intersection("sketch", "_p")) / F.col("n_distinct")
+    expected = F.col("n_distinct") * F.least(F.lit(1.0), SKETCH_ENTRIES / F.greatest(F.col("_n"), F.col("n_distinct")))
+    return both.filter((share >= LIKELY) | (expected < TOO_FEW)).select("table_name", "column_name", "parent", "parent_column")
+
+
+def find_references(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Columns all of whose values are among those of a unique, never-null column, found without any names given.
+
+    Sketches of all columns choose the candidates, at most the pairs of columns, which the driver holds; one exact pass
+    checks them: distinct values of all candidate children meet those of all candidate parents in one join.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    pairs = [tuple(r) for r in reference_candidates(column_sketches(tables)).collect()]
+    wanted = spark.createDataFrame(pairs, "table_name string, column_name string, parent string, parent_column string")
+
+    def values(columns: set[tuple[str, str]]) -> DataFrame:
+        """Each column's values with how often they occur; nulls are left out."""
+        def of(name: str) -> DataFrame:
+            own = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v")) for t, c in sorted(columns) if t == name])
+            return tables[name].select(F.lit(name).alias("table_name"), F.inline(own)).filter("v is not null")
+
+        none = spark.createDataFrame([], "table_name string, column_name string, v string")
+        each = reduce(DataFrame.unionByName, [of(name) for name in sorted({t for t, _ in columns})], none)
+        return each.groupBy("table_name", "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+
+    child = values({p[:2] for p in pairs}).drop("n").join(wanted, ["table_name", "column_name"])
+    held = values({p[2:] for p in pairs}).withColumnsRenamed({"table_name": "parent", "column_name": "parent_column"})
+    found = child.join(held, ["parent", "parent_column", "v"], "left").groupBy("table_name", "column_name", "parent", "parent_column").agg(
+        F.count(F.lit(1)).alias("n_values"), F.count("n").alias("_found"))
+    unique = held.groupBy("parent", "parent_column").agg(F.max("n").alias("_most"))
+    good = found.filter(F.col("n_values") == F.col("_found")).join(unique.filter("_most = 1"), ["parent", "parent_column"])
+    return good.select("table_name", "column_name", "parent", "parent_column", "n_values")
+
+
 def suggest_entities(
     tables: Mapping[str, DataFrame],
     keys: Mapping[str, Sequence[str]],

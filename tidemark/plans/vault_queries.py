@@ -355,6 +355,32 @@ def vault_suggest_entities(t: Tables) -> DataFrame:
     )
 
 
+# Integer and text columns of the tables that references are looked for in.
+COLUMNS = {
+    "customer": (("c_custkey", "c_nationkey"), ("c_name", "c_mktsegment")), "supplier": (("s_suppkey", "s_nationkey"), ("s_name",)),
+    "nation": (("n_nationkey", "n_regionkey"), ("n_name",)), "region": (("r_regionkey",), ("r_name",)),
+    "orders": (("o_orderkey", "o_custkey"), ("o_orderstatus", "o_orderpriority")),
+}
+
+
+def references_sql() -> str:
+    """Every column against every other of its kind, exactly."""
+    parts = []
+    for kind in (0, 1):
+        every = [(t, c) for t, kinds in COLUMNS.items() for c in kinds[kind]]
+        for t, c in every:
+            parts += [f"""SELECT '{t}' AS table_name, '{c}' AS column_name, '{p}' AS parent, '{k}' AS parent_column, count(DISTINCT {c}) AS n_values FROM {t}
+HAVING count({c}) > 0 AND (SELECT count(*) = count(DISTINCT {k}) FROM {p}) AND NOT EXISTS (SELECT {c} FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {p} WHERE {k} IS NOT NULL))"""
+                      for p, k in every if (p, k) != (t, c)]
+    return " UNION ALL ".join(parts)
+
+
+@query("vault_find_references", references_sql())
+def vault_find_references(t: Tables) -> DataFrame:
+    """References among five tables, found from their columns' sketches and checked exactly."""
+    return vault.find_references({name: getattr(t, name).select(*kinds[0], *kinds[1]) for name, kinds in COLUMNS.items()})
+
+
 @query("vault_typed_satellite", with_tables("s_film", f"""
 SELECT {hk('film_id')} AS film_hk, CAST(length AS BIGINT) AS length, TRY_CAST(title AS INTEGER) IS NULL AS title_unreadable,
   CAST(rental_rate AS DOUBLE) AS rental_rate FROM s_film"""))
