@@ -37,7 +37,7 @@ FIRST = 8
 #: Bits of the table of kept prefixes that tasks get; a power of two, 8 MB.
 SIEVE_BITS = 1 << 26
 #: Keys, and their bytes, that a task combines before it hands them on.
-TASK_KEYS, TASK_BYTES = 500_000, 16_000_000
+TASK_KEYS, TASK_BYTES = 800_000, 64_000_000
 #: Languages for which a task keeps the answers of the bit table at hand.
 MOST_LANGS = 64
 SCALE = 1_000_000_000
@@ -50,8 +50,9 @@ COUNTED = "lang string, key binary, open boolean, documents long"
 SAID = "lang string, source string, key binary, n long"
 
 
-def terms_of(text: str) -> list[bytes]:
-    return text.encode().translate(TERM_BYTES).split()
+def terms_of(text: bytes) -> list[bytes]:
+    """The terms of a text in UTF-8."""
+    return text.translate(TERM_BYTES).split()
 
 
 class Sieve:
@@ -97,23 +98,24 @@ class Tally:
         self.counts: dict[tuple, Counter] = defaultdict(Counter)
         self.keys = self.bytes = 0
 
-    def add(self, group: tuple, keys, size: int) -> None:
-        """Count keys (or add up a mapping's counts) of about ``size`` bytes each."""
+    def add(self, group: tuple, keys, most: int, width: int | None = None) -> None:
+        """Count keys, which have at most ``most`` bytes together and ``width`` each."""
         own = self.counts[group]
         known = len(own)
         own.update(keys)
-        self.keys += len(own) - known
-        self.bytes += (len(own) - known) * size
+        new = len(own) - known
+        self.keys += new
+        self.bytes += min(most, new * (width or most))
 
     def full(self) -> bool:
         return self.keys >= TASK_KEYS or self.bytes >= TASK_BYTES
 
-    def batches(self, columns: Callable[[tuple, list, list], list], step: int = 50_000) -> Iterator[pa.RecordBatch]:
-        """The counts as rows: ``columns`` makes the columns of a group's keys and counts."""
+    def batches(self, columns: Callable, kept: Callable[[str], Kept], step: int = 50_000) -> Iterator[pa.RecordBatch]:
+        """The counts as rows: ``columns`` makes the columns of a group, whose first part is its language, from keys and counts."""
         for group, counts in self.counts.items():
             keys, values = list(counts), list(counts.values())
             for at in range(0, len(keys), step):
-                made = columns(group, keys[at : at + step], values[at : at + step])
+                made = columns(group, kept(group[0]), keys[at : at + step], values[at : at + step])
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(made, self.schema, strict=True)], schema=self.schema)
 
 
@@ -134,8 +136,8 @@ class Kept:
         return good
 
 
-def counted(docs: DataFrame, schema: str, sieve: Sieve | None, count: Callable[[Tally, Kept, str, str, str], None],
-            columns: Callable[[tuple, list, list], list]) -> DataFrame:
+def counted(docs: DataFrame, schema: str, sieve: Sieve | None, count: Callable[[Tally, Kept, str, str, bytes], None],
+            columns: Callable[[tuple, Kept, list, list], list]) -> DataFrame:
     """What ``count`` adds for each (language, source, text), combined by task; one reading of the texts."""
     spark_type = T._parse_datatype_string(schema)
     out = arrow_type(spark_type)
@@ -143,32 +145,36 @@ def counted(docs: DataFrame, schema: str, sieve: Sieve | None, count: Callable[[
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, kept = Tally(out), {}
+        tally, known = Tally(out), {}
+
+        def kept(lang: str) -> Kept:
+            if lang not in known:
+                if len(known) >= MOST_LANGS:
+                    known.clear()
+                known[lang] = Kept(shared.value, lang)
+            return known[lang]
+
         for rows in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
-                if lang not in kept:
-                    if len(kept) >= MOST_LANGS:
-                        kept.clear()
-                    kept[lang] = Kept(shared.value, lang)
-                count(tally, kept[lang], lang, source, text)
+                count(tally, kept(lang), lang, source, text.encode())
                 if tally.full():
-                    yield from tally.batches(columns)
+                    yield from tally.batches(columns, kept)
                     tally.clear()
-        yield from tally.batches(columns)
+        yield from tally.batches(columns, kept)
 
     return docs.mapInArrow(run, spark_type)
 
 
 def level(docs: DataFrame, before: int, width: int, sieve: Sieve | None, threshold: int) -> DataFrame:
     """Prefixes of ``width`` bytes (open) and terms of ``before`` to ``width`` - 1 bytes in enough documents."""
-    def count(tally: Tally, kept: Kept, lang: str, source: str, text: str) -> None:
+    def count(tally: Tally, kept: Kept, lang: str, source: str, text: bytes) -> None:
         terms = set(terms_of(text))
         if before:
             terms = [t for t in terms if len(t) >= before and kept.has(t[:before])]
-        tally.add((lang, True), {t[:width] for t in terms if len(t) >= width}, width)
-        tally.add((lang, False), [t for t in terms if len(t) < width], width)
+        tally.add((lang, True), {t[:width] for t in terms if len(t) >= width}, len(text), width)
+        tally.add((lang, False), [t for t in terms if len(t) < width], len(text), width)
 
-    def columns(group: tuple, keys: list, values: list) -> list:
+    def columns(group: tuple, kept: Kept, keys: list, values: list) -> list:
         return [[group[0]] * len(keys), keys, [group[1]] * len(keys), values]
 
     summed = counted(docs, COUNTED, sieve, count, columns).groupBy("lang", "key", "open").agg(F.sum("documents").alias("documents"))
@@ -177,12 +183,12 @@ def level(docs: DataFrame, before: int, width: int, sieve: Sieve | None, thresho
 
 def occurrences(docs: DataFrame, terms: DataFrame, sieve: Sieve | None) -> DataFrame:
     """``lang``, ``source``, ``term`` and ``n`` of the kept terms."""
-    def count(tally: Tally, kept: Kept, lang: str, source: str, text: str) -> None:
-        counts = Counter(terms_of(text))
-        tally.add((lang, source), {t: n for t, n in counts.items() if kept.has(t)}, 16)
+    def count(tally: Tally, kept: Kept, lang: str, source: str, text: bytes) -> None:
+        tally.add((lang, source), terms_of(text), len(text))
 
-    def columns(group: tuple, keys: list, values: list) -> list:
-        return [[group[0]] * len(keys), [group[1]] * len(keys), keys, values]
+    def columns(group: tuple, kept: Kept, keys: list, values: list) -> list:
+        both = [(k, v) for k, v in zip(keys, values, strict=True) if kept.has(k)]
+        return [[group[0]] * len(both), [group[1]] * len(both), [k for k, _ in both], [v for _, v in both]]
 
     summed = counted(docs, SAID, sieve, count, columns).groupBy("lang", "key", "source").agg(F.sum("n").alias("n"))
     return summed.join(terms, ["lang", "key"], "left_semi").select("lang", "source", F.col("key").cast("string").alias("term"), "n")
@@ -209,9 +215,9 @@ def term_counts(docs: DataFrame, threshold: int = THRESHOLD, text: str = "text",
 
 
 def probability(n: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(10^9 (n + 1) / (total + kept)), exact in decimals of 38 digits."""
-    share = F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * (n + 1).cast("decimal(20,0)"), (total + kept).cast("decimal(20,0)"))
-    return 1 + share
+    """1 + floor(10^9 (n + 1) / (total + kept)), exact: in longs, or decimals of 38 digits where the product needs them."""
+    wide = F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * (n + 1).cast("decimal(20,0)"), (total + kept).cast("decimal(20,0)"))
+    return 1 + F.when(n < SCALE, F.call_function("div", (n + 1) * F.lit(SCALE).cast("long"), total + kept)).otherwise(wide)
 
 
 def excess(p: Column, q: Column) -> Column:
@@ -237,7 +243,7 @@ def audited(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, text: s
     known = written(known, "term-groups")
 
     rated = counts.join(known.select("lang", "source", "kept", "total", "total_lang", "p0"), ["lang", "source"])
-    rated = rated.withColumn("p", probability(F.col("n"), F.col("total"), F.col("kept")))
+    rated = written(rated.withColumn("p", probability(F.col("n"), F.col("total"), F.col("kept"))), "term-rates")
     return pairs(rated, known).unionByName(excesses(rated, of_lang, top))
 
 
