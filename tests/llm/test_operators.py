@@ -8,12 +8,13 @@ import zlib
 import numpy as np
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from tests.oracle import compare, connect
-from tidemark.llm import bpe, chat, language, packing, pii, quality, scoring, simhash, sketches, urls
+from tidemark.llm import bpe, chat, language, packing, pii, quality, resemblance, scoring, simhash, sketches, urls
 from tidemark.llm.queries import QUERIES, URL_RULES, byte_bpe_path
 
 PATH = "/root/testdata/sf0.001"
@@ -120,23 +121,9 @@ def test_representatives_keep_one_of_each_group(spark):
     apart = [f"v{i}" for i in range(300)]
     rows = [(5, " ".join(words), "x"), (3, " ".join(changed), "x"), (3, " ".join(changed), "x"), (9, " ".join(apart), "x"), (None, " ".join(apart), "y"), (None, None, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, f0 string")
-    kept = simhash.representatives(frame).collect()
+    kept = resemblance.representatives(frame).collect()
     assert sorted((r["doc_id"] or -1, r["f0"]) for r in kept if r["text"]) == [(3, "x"), (9, "x")] and len(kept) == 3
-    assert simhash.representatives(frame.limit(0)).count() == 0
-
-
-def test_file_scan_agrees_whatever_the_batches():
-    random = np.random.default_rng(4)
-    f0 = np.sort(random.integers(0, 4, 500))
-    columns = [np.zeros(500, np.int16), f0 // 2, np.arange(500), f0, random.integers(0, 2, 500) * 3]
-    results = []
-    for size in (7, 100, 500):
-        scan, pairs = simhash.FileScan(1, limit=8), []
-        for a in range(0, 500, size):
-            pairs.append(scan.feed([c[a : a + size] for c in columns]))
-        pairs.append(scan.feed([c[:0] for c in columns], last=True))
-        results.append({tuple(p) for p in simhash.spanning(np.concatenate(pairs)).tolist()})
-    assert results[0] == results[1] == results[2]
+    assert resemblance.representatives(frame.limit(0)).count() == 0
 
 
 def test_sketch_query_and_order(spark, docs):
@@ -398,25 +385,34 @@ def test_near_copies_are_those_of_exact_resemblance(spark):
     near = [near_texts(random, 104, 11) for _ in range(60)]  # 89 of 111 shingles: 0.80
     far = [near_texts(random, 104, 14) for _ in range(60)]  # 86 of 114: 0.75
     rows = [(i, t) for i, t in enumerate(t for pair in near + far for t in pair)]
-    kept = {r["doc_id"] for r in simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kept = {r["doc_id"] for r in resemblance.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {*range(0, 120, 2), *range(120, 240)}
 
 
 def test_crowded_files_keep_every_near_link(spark):
-    f0 = np.array([0, 0b1111, 0b0011, 0xF0, 0xFF])  # 2 links 0 and 1; 4 links 1 and 3
-    columns = [np.zeros(5, np.int16), np.zeros(5, np.int64), np.arange(5), f0, np.zeros(5, np.int64)]
-    scan = simhash.FileScan(2, limit=2)
-    pairs = scan.feed(columns) if not len(scan.feed([c[:0] for c in columns])) else None
-    pairs = np.concatenate([pairs, scan.feed([c[:0] for c in columns], last=True)])
-    assert {tuple(sorted(p)) for p in pairs.tolist()} == {(0, 2), (1, 2)}
     # sliding texts: each is near a few others only, and all are one component of a file too dense for all pairs at once
     random = np.random.default_rng(6)
     words = [f"w{random.integers(0, 1 << 40)}" for _ in range(700)]
     rows = [(i, " ".join(words[at : at + 104])) for i, at in enumerate([*range(0, 400, 5), *range(480, 560, 5)])]
     order = random.permutation(len(rows)).tolist()
     frame = spark.createDataFrame([(order[i], t) for i, t in rows], "doc_id long, text string")
-    kept = {r["doc_id"] for r in simhash.representatives(frame, dense=0).collect()}
-    assert kept == {min(order[:80]), min(order[80:])}
+    for options in ({"dense": 0}, {"dense": 0, "leaders": 0, "block": 8}, {"dense": 0, "leaders": 1}):
+        kept = {r["doc_id"] for r in resemblance.representatives(frame, **options).collect()}
+        assert kept == {min(order[:80]), min(order[80:])}
+
+
+def test_blocks_hold_every_pair_once_and_no_whole_file(spark):
+    """One file of 600 texts, none near another: every pair is met once, no key holds the file, and nothing is linked."""
+    members = spark.range(600).selectExpr("'f' AS key", "id AS node", "100L AS n", "id AS label")
+    sizes = members.groupBy("key").agg(F.count("*").alias("t"))
+    met = resemblance.all_pairs(members, sizes, 50)
+    assert met.count() == met.select("node", "other").distinct().count() == 600 * 599 // 2
+    assert met.groupBy("key", "i", "j").count().agg(F.max("count")).first()[0] < 75 * 75
+    shared = F.sequence(F.lit(1), F.lit(82))
+    own = F.sequence(F.col("id") * 1000 + 1000, F.col("id") * 1000 + 1017)
+    sets = spark.range(600).select(F.col("id").alias("node"), F.concat(shared.cast("array<bigint>"), own).alias("hashes"))  # 82 of 118: 0.69
+    labels = resemblance.near_components(members.drop("label"), sets, dense=0, block=50)
+    assert labels.count() == 600 and labels.where("node <> label").count() == 0
 
 
 def found_spans(spark, texts):

@@ -46,6 +46,23 @@ def removed(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+class Scratch:
+    """Tables of a stage or round in the shared folder, deleted together when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(unused_path(self.spark, label))
+        return stored_at(df, self.paths[-1])
+
+    def clear(self) -> None:
+        """Delete the tables; what was made from them must be written already."""
+        for path in self.paths:
+            removed(self.spark, path)
+        self.paths = []
+
+
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` characters."""
     start = size = 0

@@ -23,6 +23,7 @@ no other; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -121,26 +122,27 @@ def near_points(fp: Column, distance: int) -> Column:
     return F.array(fp)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, store: Callable[[DataFrame, str], DataFrame] = written) -> DataFrame:
     """Rows (node, root) for every node of the links (a, b): root is the least node of its component.
 
     Alternating stars: each node's neighbours above it are hung under the least node it knows, then each node and its
     neighbours below it. The links shrink to one star a component. Least nodes are combined before the shuffle and
-    written before they are joined, so a node with very many links is split by the skew join.
+    written before they are joined, so a node with very many links is split by the skew join. ``store`` writes a table; the
+    result reads the last one.
     """
-    current = written(edges.select("a", "b"), "links")
+    current = store(edges.select("a", "b"), "links")
     mark = None
     while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.col("u")).alias("m")), "star-least")
+        least = store(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.col("u")).alias("m")), "star-least")
         large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b")
         # a node that is its own least hangs its greater neighbours under itself; others pass them on to their least
-        large = written(large.where("a < b").distinct(), "star-large")
-        least = written(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), "star-least")
+        large = store(large.where("a < b").distinct(), "star-large")
+        least = store(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")), "star-least")
         small = large.join(least, F.col("b") == F.col("u")).select(
             F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("a").alias("b")), F.struct(F.col("m").alias("a"), F.col("u").alias("b")))).alias("e")
         ).select("e.a", "e.b").where("a < b").distinct()
-        current = written(small, "links")
+        current = store(small, "links")
         new = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break
