@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import Masked
+from tidemark.llm.spans import bound, cut, found, pieces, running
 
 # Kinds in their order, and the base patterns. Possessive forms match the same texts as greedy ones here,
 # and a start inside a run that already failed is skipped, so long runs cost linear time.
@@ -60,42 +61,12 @@ SPELT_OUT = r"\(at\)|\[at\]|\(dot\)|\[dot\]|\x20dot\x20"
 CONTEXT_CHARS = 24
 #: Boosting: trees a kind, learning rate, least share of base spans above the threshold.
 TREES, RATE, PRECISION = 20, 0.3, 0.9
-BLOCK = 256
 
 
 def digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def appended(state: Column, item: Column) -> Column:
-    """State (blocks, block) with an item more; arrays are copied by block, so long lists cost linear time."""
-    grown = F.concat(state["block"], F.array(item))
-    full = F.size(grown) >= BLOCK
-    return F.struct(
-        F.when(full, F.concat(state["blocks"], F.array(grown))).otherwise(state["blocks"]).alias("blocks"),
-        F.when(full, F.slice(grown, 1, 0)).otherwise(grown).alias("block"),
-    )
-
-
-def found(text: Column, pattern: str, gate: Column) -> Column:
-    """Matches of a pattern as an array of (start, end, match)."""
-    kind = "array<struct<start:int,end:int,match:string>>"
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
-    start = F.struct(
-        F.array().cast(f"array<{kind}>").alias("blocks"), F.array().cast(kind).alias("block"), F.lit(0).alias("at"))
-
-    def step(s: Column, x: Column) -> Column:
-        begin = s["at"] + F.char_length(x["gap"])
-        end = begin + F.coalesce(F.char_length(x["match"]), F.lit(0))
-        more = appended(s, F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("match")))
-        kept = F.struct(s["blocks"].alias("blocks"), s["block"].alias("block"))
-        both = F.when(x["match"].isNotNull(), more).otherwise(kept)
-        return F.struct(both["blocks"].alias("blocks"), both["block"].alias("block"), end.alias("at"))
-
-    spans = F.aggregate(pairs, start, step, lambda s: F.flatten(F.concat(s["blocks"], F.array(s["block"]))))
-    return F.when(gate, spans).otherwise(F.array().cast(kind))
-
-
 def checked(kind: str, match: Column) -> Column:
     """Whether a base match passes its kind's check."""
     if kind == "ip":
@@ -130,21 +101,22 @@ FEATURES = {"length": 9, "separators": 5, "groups": 6, "luhn": 2, "address": 2,
 
 def parts(run: Column) -> Column:
     """The parts of a run that begin and end at separators, as an array of (start, end, match, n digits), without the run."""
-    groups = found(run["match"], "[0-9]++", F.lit(True))
+    kind = "array<struct<start:int,end:int,match:string,n:int>>"
 
-    def of_groups(gs: Column) -> Column:
-        def of_start(g: Column, i: Column) -> Column:
-            def cut(h: Column) -> Column:
-                match = F.substring(run["match"], g["start"] + 1, h["end"] - g["start"])
-                return F.struct((run["start"] + g["start"]).alias("start"), (run["start"] + h["end"]).alias("end"), match.alias("match"), F.char_length(digits(match)).alias("n"))
+    def of_start(x: Column, gs: Column, i: Column) -> Column:
+        def part(h: Column) -> Column:
+            begin, end = x["g"][i]["start"], h["end"]
+            return bound(cut(x["p"], begin, end), lambda match: F.struct(
+                (run["start"] + begin).alias("start"), (run["start"] + end).alias("end"), match.alias("match"), F.char_length(digits(match)).alias("n")))
 
-            return F.transform(F.slice(gs, i + 1, MOST_DIGITS), cut)  # a group has a digit at least
+        return F.transform(F.slice(gs, i + 1, MOST_DIGITS), part)  # a group has a digit at least
 
-        return F.flatten(F.transform(gs, of_start))
+    def of_groups(x: Column) -> Column:
+        return F.flatten(F.transform(x["g"], lambda g, i: of_start(x, x["g"], i)))
 
-    every = F.flatten(F.transform(F.array(groups), of_groups))  # the groups are bound once
-    inner = F.filter(every, lambda x: (x["n"] <= MOST_DIGITS) & (x["end"] - x["start"] < run["end"] - run["start"]))
-    return F.when(run["match"].rlike("[^0-9]"), inner).otherwise(F.array().cast("array<struct<start:int,end:int,match:string,n:int>>"))
+    groups = F.struct(found(run["match"], "[0-9]++", F.lit(True)).alias("g"), pieces(run["match"]).alias("p"))
+    inner = F.filter(bound(groups, of_groups), lambda x: (x["n"] <= MOST_DIGITS) & (x["end"] - x["start"] < run["end"] - run["start"]))
+    return F.when(run["match"].rlike("[^0-9]"), inner).otherwise(F.array().cast(kind))
 
 
 def candidates(with_base: DataFrame) -> DataFrame:
@@ -154,18 +126,21 @@ def candidates(with_base: DataFrame) -> DataFrame:
     gate = text.contains("(at)") | text.contains("[at]") | text.contains(" at ")
     spaced = F.filter(found(text, SPELT, gate), lambda x: x["match"].rlike(SPACED))
     names = [F.col(f"`{c}`") for c in with_base.columns]
-    made = F.struct(runs.alias("_runs"), F.concat(found(text, WRITTEN, gate | text.contains("@")), spaced).alias("_written"))
+    made = F.struct(pieces(text).alias("_pieces"), runs.alias("_runs"), F.concat(found(text, WRITTEN, gate | text.contains("@")), spaced).alias("_written"))
     with_runs = with_base.select(*names, F.inline(F.array(made)))
-    with_runs = with_runs.select(*names, "_runs", "_written", F.inline(F.array(F.struct(F.flatten(F.transform("_runs", parts)).alias("_parts")))))
+    with_runs = with_runs.select(*names, "_pieces", "_runs", "_written", F.inline(F.array(F.struct(F.flatten(F.transform("_runs", parts)).alias("_parts")))))
 
     def described(x: Column, number: int, kind: str) -> Column:
-        plain, match = digits(x["match"]), x["match"]
+        lead = cut(F.col("_pieces"), F.greatest(F.lit(0), x["start"] - CONTEXT_CHARS), x["start"])
+        return bound(F.struct(lead.alias("lead"), digits(x["match"]).alias("plain")), lambda y: features(x, y["lead"], y["plain"], number, kind))
+
+    def features(x: Column, lead: Column, plain: Column, number: int, kind: str) -> Column:
+        match = x["match"]
         n = F.char_length(plain)
         length = sum((n >= F.lit(k)).cast("int") for k in (8, 10, 11, 13, 16, 17, 20, 25))
         marks = F.regexp_replace(match, "[0-9]", "")
         separators = F.when(marks == "", 0).when(marks.rlike("[()]"), 4).when(marks.rlike(r"^\x20+$"), 1).when(marks.rlike("^-+$"), 2).otherwise(3)
         groups = F.least(F.size(F.split(match, r"[^0-9]+")) - 1, F.lit(5))
-        lead = F.substring(text, F.greatest(F.lit(1), x["start"] - CONTEXT_CHARS + 1), F.least(x["start"], F.lit(CONTEXT_CHARS)))
         before = F.when(lead.rlike(r"[\p{L}0-9]$"), 1).when(lead.rlike(r"[=:\"']\s*$"), 2).otherwise(0)
         if kind == "email":
             length, separators = match.rlike(SPACED).cast("int"), F.when(match.rlike(r"[A-Za-z0-9-]\W[a-z]{2,6}$"), 0).when(match.rlike(r"\W[A-Za-z]+$"), 1).otherwise(2)
@@ -292,18 +267,15 @@ def chosen(described: DataFrame, trees: dict[int, Trees]) -> DataFrame:
     rest = [F.col(f"`{c}`") for c in described.columns if c != "_candidates"]
     if not trees:
         return described.select(*rest, F.col("_base").alias("_spans"))
-    item = "struct<start:int,added:int,kind:int,end:int,score:double>"
-    first = F.struct(
-        F.array().cast(f"array<array<array<{item}>>>").alias("blocks"), F.array().cast(f"array<array<{item}>>").alias("block"),
-        F.array().cast(f"array<{item}>").alias("chain"), F.lit(0).alias("reach"))
-
-    def step(s: Column, x: Column) -> Column:
-        """Chains of spans that overlap."""
-        goes_on = x["start"] < s["reach"]
-        same = F.struct(s["blocks"].alias("blocks"), s["block"].alias("block"))
-        lists = F.when(goes_on | (F.size(s["chain"]) == 0), same).otherwise(appended(s, s["chain"]))
-        chain = F.when(goes_on, F.concat(s["chain"], F.array(x))).otherwise(F.array(x))
-        return F.struct(lists["blocks"].alias("blocks"), lists["block"].alias("block"), chain.alias("chain"), F.greatest(s["reach"], x["end"]).alias("reach"))
+
+    def chains(items: Column) -> Column:
+        """Spans in order of their start, cut where one starts behind all before it."""
+        ends = running(F.transform(items, lambda x: x["end"]), F.lit(0), lambda a, b: F.greatest(a, b))
+        reach = F.slice(F.concat(F.array(F.lit(-1)), ends), F.lit(1), F.size(items))
+        fresh = F.zip_with(items, reach, lambda x, r: x["start"] >= r)
+        places = F.filter(F.transform(fresh, lambda f, i: F.when(f, i)), lambda i: i.isNotNull())
+        return bound(F.concat(places, F.array(F.size(items))), lambda at: F.transform(
+            F.slice(at, F.lit(1), F.size(at) - 1), lambda start, k: F.slice(items, start + 1, F.get(at, k + 1) - start)))
 
     def best(chain: Column) -> Column:
         """The base spans of a chain, and of its other spans the best that overlap none taken before."""
@@ -317,11 +289,9 @@ def chosen(described: DataFrame, trees: dict[int, Trees]) -> DataFrame:
 
         return F.aggregate(order, F.array().cast(SPAN), take)
 
-    def finish(s: Column) -> Column:
-        return F.sort_array(F.flatten(F.transform(F.concat(F.flatten(s["blocks"]), s["block"], F.array(s["chain"])), best)))
-
     marked = described.select(*rest, F.inline(F.array(F.struct(some.alias("_some")))))
-    every = F.when(F.size("_some") > 0, F.aggregate(F.sort_array(F.concat(base, F.col("_some"))), first, step, finish)).otherwise(F.col("_base"))
+    every = F.when(F.size("_some") > 0, bound(
+        F.sort_array(F.concat(base, F.col("_some"))), lambda items: F.sort_array(F.flatten(F.transform(chains(items), best))))).otherwise(F.col("_base"))
     return marked.select(*rest, F.inline(F.array(F.struct(every.alias("_spans")))))
 
 
@@ -347,20 +317,21 @@ def redacted(docs: DataFrame, text: str = "text", size: str = "n_chars") -> Data
     marked = with_spans(masked.df, masked.df.columns, text)
     by_start = F.sort_array(F.transform("_spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    first = F.struct(F.array().cast("array<array<string>>").alias("blocks"), F.array().cast("array<string>").alias("block"), F.lit(0).alias("at"))
 
-    def step(s: Column, x: Column) -> Column:
-        piece = F.concat(F.substring(F.col("_text"), s["at"] + 1, x["start"] - s["at"]), F.get(names, x["kind"]))
-        more = appended(s, piece)
-        done = F.struct(more["blocks"].alias("blocks"), more["block"].alias("block"), x["end"].alias("at"))
-        later = F.struct(s["blocks"].alias("blocks"), s["block"].alias("block"), F.greatest(s["at"], x["end"]).alias("at"))
-        return F.when(x["start"] >= s["at"], done).otherwise(later)
+    def replaced(x: Column) -> Column:
+        """The text between spans, with a mark for each span that starts behind all before it."""
+        ends = F.concat(F.array(F.lit(0)), running(F.transform(x["spans"], lambda y: y["end"]), F.lit(0), lambda a, b: F.greatest(a, b)))
+
+        def joined(reach: Column) -> Column:
+            done = F.zip_with(x["spans"], F.slice(reach, F.lit(1), F.size(x["spans"])), lambda y, r: F.when(
+                y["start"] >= r, F.concat(cut(x["pieces"], r, y["start"]), F.get(names, y["kind"]))).otherwise(F.lit("")))
+            tail = cut(x["pieces"], F.element_at(reach, -1), F.char_length("_text"))
+            return F.concat(F.array_join(done, ""), tail)
 
-    def finish(s: Column) -> Column:
-        tail = F.substring(F.col("_text"), s["at"] + 1, F.char_length("_text"))
-        return F.concat(F.array_join(F.flatten(F.concat(s["blocks"], F.array(s["block"]))), ""), tail)
+        return bound(ends, joined)
 
-    made = F.when(F.size("_spans") > 0, F.aggregate(by_start, first, step, finish)).otherwise(F.col(f"`{text}`"))
+    made = F.when(F.size("_spans") > 0, bound(
+        F.struct(by_start.alias("spans"), pieces(F.col("_text")).alias("pieces")), replaced)).otherwise(F.col(f"`{text}`"))
     out = marked.select(*masked.df.columns, F.inline(F.array(F.struct(made.alias("_made")))))
     changed = {text: F.col("_made")}
     if size:

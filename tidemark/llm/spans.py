@@ -49,3 +49,21 @@ def found(text: Column, pattern: str, gate: Column) -> Column:
             (end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("match")))
 
     return F.when(gate, bound(pieces, placed)).otherwise(F.array().cast(f"array<{FOUND}>"))
+
+
+#: Code points of a piece of a text.
+PIECE = 1024
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces, so that a place far inside needn't be counted from the text's start."""
+    last = F.floor((F.greatest(F.char_length(text), F.lit(1)) - 1) / PIECE).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(text, k * PIECE + 1, F.lit(PIECE)))
+
+
+def cut(parts: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (exclusive) of the text whose pieces are given."""
+    first = F.floor(start / PIECE).cast("int")
+    last = F.floor(F.greatest(end - 1, start) / PIECE).cast("int")
+    held = F.array_join(F.slice(parts, first + 1, last - first + 1), "")
+    return F.when(end > start, F.substring(held, start - first * PIECE + 1, end - start)).otherwise(F.lit(""))
