@@ -177,7 +177,8 @@ def level(docs: DataFrame, before: int, width: int, sieve: Sieve | None, thresho
     def columns(group: tuple, kept: Kept, keys: list, values: list) -> list:
         return [[group[0]] * len(keys), keys, [group[1]] * len(keys), values]
 
-    summed = counted(docs, COUNTED, sieve, count, columns).groupBy("lang", "key", "open").agg(F.sum("documents").alias("documents"))
+    dealt = counted(docs, COUNTED, sieve, count, columns).repartition("lang", "key")  # the tasks have combined their rows
+    summed = dealt.groupBy("lang", "key", "open").agg(F.sum("documents").alias("documents"))
     return summed.where(F.col("documents") >= threshold).select("lang", "key", "open")
 
 
@@ -190,7 +191,7 @@ def occurrences(docs: DataFrame, terms: DataFrame, sieve: Sieve | None) -> DataF
         both = [(k, v) for k, v in zip(keys, values, strict=True) if kept.has(k)]
         return [[group[0]] * len(both), [group[1]] * len(both), [k for k, _ in both], [v for _, v in both]]
 
-    summed = counted(docs, SAID, sieve, count, columns).groupBy("lang", "key", "source").agg(F.sum("n").alias("n"))
+    summed = counted(docs, SAID, sieve, count, columns).repartition("lang", "key").groupBy("lang", "key", "source").agg(F.sum("n").alias("n"))
     return summed.join(terms, ["lang", "key"], "left_semi").select("lang", "source", F.col("key").cast("string").alias("term"), "n")
 
 
