@@ -220,3 +220,13 @@ def test_equality_shuffles_once(spark):
     found = tables.equality(a, b)
     assert sorted(map(tuple, found.collect())) == [(2, "x", "a_minus_b"), (3, "y", "b_minus_a")]
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+
+
+def test_references_are_found_without_a_list(spark):
+    """Contained columns of unique parents, also where a few values meet a large parent; nothing that one value breaks."""
+    parent = spark.range(100_000).selectExpr("id * 7 AS id", "concat('n', id) AS name")
+    child = spark.range(20_000).selectExpr("id AS own", "id * 7 AS whole", "IF(id = 3, -1, id * 7) AS broken", "id % 5 * 7 AS few", "id % 3 AS other", "cast(null AS bigint) AS nothing")
+    got = {tuple(r) for r in vault.find_references({"p": parent, "c": child}).collect()}
+    assert got == {("c", "whole", "p", "id", 20_000), ("c", "few", "p", "id", 5), ("c", "few", "c", "own", 5),
+                   ("c", "few", "c", "whole", 5), ("c", "other", "c", "own", 3)}
+    assert vault.find_references({"p": parent.limit(0)}).isEmpty()

@@ -182,39 +182,24 @@ def expect_column_values_to_be_within_n_moving_stdevs(
     sigma_threshold_upper: float | None = None, sigma_threshold_lower: float | None = None,
     take_diffs: bool = True, take_logs: bool = True,
 ) -> DataFrame:
-    """Recent periods whose (log) change leaves the band of the preceding periods.
+    """Recent periods whose change lies too many deviations from the mean of the changes before it.
 
-    Rows are summed per group and period first, so each window holds one row per period.
+    A period's level is its group's sum, or the sum's logarithm (of nothing or zero: 0), and its change the level less the
+    one ``lookback_periods`` rows earlier, if changes are wanted. The score compares a change with the
+    ``trend_periods`` rows before; periods without a score pass. One row a group and period goes through the windows.
     """
     keys = list(group_by or [])
-    upper = sigma_threshold if sigma_threshold_upper is None else sigma_threshold_upper
-    lower = -sigma_threshold if sigma_threshold_lower is None else sigma_threshold_lower
-    by_time = Window.partitionBy(*keys).orderBy("metric_period")
-    trend = by_time.rowsBetween(-trend_periods, -1)
-    totals = df.groupBy(truncate(F.col(date_column), period).alias("metric_period"), *keys).agg(
-        F.sum(column).cast("double").alias("agg_metric_value")
-    )
-
-    def metric(name: str) -> Column:
-        value = F.log(F.nullif(F.col(name), F.lit(0.0))) if take_logs else F.col(name)
-        return F.coalesce(value, F.lit(0.0))
-
-    if take_diffs:
-        totals = totals.withColumn("prior_agg_metric_value", F.lag("agg_metric_value", lookback_periods).over(by_time))
-        tested = totals.withColumn("metric_test_value", metric("agg_metric_value") - metric("prior_agg_metric_value"))
-    else:
-        tested = totals.withColumn("metric_test_value", metric("agg_metric_value"))
-    scored = (
-        tested.withColumn("metric_test_rolling_average", F.avg("metric_test_value").over(trend))
-        .withColumn("metric_test_rolling_stddev", F.stddev_samp("metric_test_value").over(trend))
-        .withColumn("metric_test_delta", F.col("metric_test_value") - F.col("metric_test_rolling_average"))
-        .withColumn("metric_test_sigma", F.try_divide("metric_test_delta", "metric_test_rolling_stddev"))
-    )
-    end = truncate(as_of, period)
-    return failing(
-        scored.filter((F.col("metric_period") >= add_periods(end, period, -test_periods)) & (F.col("metric_period") < end)),
-        (F.col("metric_test_sigma") >= lower) & (F.col("metric_test_sigma") <= upper),
-    )
+    limits = [-sigma_threshold if sigma_threshold_lower is None else sigma_threshold_lower, sigma_threshold if sigma_threshold_upper is None else sigma_threshold_upper]
+    sums = df.groupBy(*keys, truncate(F.col(date_column), period).alias("period")).agg(F.sum(column).cast("double").alias("_sum"))
+    level = F.coalesce(F.log(F.nullif("_sum", F.lit(0.0))) if take_logs else F.col("_sum"), F.lit(0.0))
+    series = Window.partitionBy(*keys).orderBy("period")
+    change = level - F.lag(level, lookback_periods, 0.0).over(series) if take_diffs else level
+    before = series.rowsBetween(-trend_periods, -1)
+    score = F.try_divide(F.col("change") - F.avg("change").over(before), F.stddev_samp("change").over(before))
+    scored = sums.select(*keys, "period", change.alias("change")).withColumn("score", score)
+    last = truncate(as_of, period)
+    tested = scored.filter(F.col("period").between(add_periods(last, period, -test_periods), add_periods(last, period, -1)))
+    return failing(tested, F.col("score").between(*limits))
 
 
 def not_constant(df: DataFrame, column: str, group_by: GroupBy = None) -> DataFrame:

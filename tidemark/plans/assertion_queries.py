@@ -143,11 +143,11 @@ WITH g AS (SELECT date_trunc('day', ts) AS d, event_type, CAST(sum(CAST(value AS
 l AS (SELECT *, lag(m, 1) OVER (PARTITION BY event_type ORDER BY d) AS pm FROM g),
 x AS (SELECT *, coalesce(ln(nullif(m, 0)), 0) - coalesce(ln(nullif(pm, 0)), 0) AS v FROM l),
 r AS (SELECT *, avg(v) OVER w AS a, stddev_samp(v) OVER w AS s FROM x WINDOW w AS (PARTITION BY event_type ORDER BY d ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
-SELECT CAST(d AS VARCHAR) AS metric_period, event_type, round(v, 6) AS metric_test_value, round((v - a) / s, 5) AS metric_test_sigma FROM r
+SELECT CAST(d AS VARCHAR) AS period, event_type, round(v, 6) AS change, round((v - a) / s, 5) AS score FROM r
 WHERE d >= TIMESTAMP '2024-01-17' AND d < TIMESTAMP '2024-01-31' AND NOT ((v - a) / s >= -1.2 AND (v - a) / s <= 1.2)""",
     lambda t: agg.expect_column_values_to_be_within_n_moving_stdevs(
         t.events.withColumn("value", F.col("value").cast("decimal(18,4)")), "value", "ts", as_of("2024-01-31 08:00:00"), ["event_type"], sigma_threshold=1.2)
-    .select("metric_period", "event_type", F.round("metric_test_value", 6).alias("metric_test_value"), F.round("metric_test_sigma", 5).alias("metric_test_sigma")))
+    .select("period", "event_type", F.round("change", 6).alias("change"), F.round("score", 5).alias("score")))
 add("not_constant", "SELECT p_size, CAST(1 AS INTEGER) AS n_distinct FROM part GROUP BY 1 HAVING count(DISTINCT CASE WHEN p_size > 40 THEN 'x' ELSE p_brand END) = 1",
     lambda t: agg.not_constant(t.part.withColumn("b", F.when(F.col("p_size") > 40, "x").otherwise(F.col("p_brand"))), "b", ["p_size"]))
 add("not_null_proportion", "SELECT o_orderpriority, CAST(count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS DOUBLE) / count(*) AS not_null_proportion FROM orders GROUP BY 1 HAVING CAST(count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS DOUBLE) / count(*) < 0.95",
