@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import business_hash, surrogate_key
+from tidemark.functions.hashing import business_hash, packed, surrogate_key, unpacked
 from tidemark.operators import drift, privacy, quality, snapshots, vault
 
 
@@ -230,3 +230,43 @@ def test_references_are_found_without_a_list(spark):
     assert got == {("c", "whole", "p", "id", 20_000), ("c", "few", "p", "id", 5), ("c", "few", "c", "own", 5),
                    ("c", "few", "c", "whole", 5), ("c", "other", "c", "own", 3)}
     assert vault.find_references({"p": parent.limit(0)}).isEmpty()
+
+
+def test_packed_hashes_come_back_and_order_as_texts(spark):
+    texts = ["a" * 64, "0f" * 32, "A" * 64, "f" * 63, "f" * 65, "x", "", "é" * 32, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", unpacked(packed("t")).alias("u"), F.length(packed("t")).alias("n")).collect()
+    assert all(r["t"] == r["u"] for r in rows) and sorted(r["n"] for r in rows if r["n"] is not None)[:2] == [32, 32]
+    assert df.select(packed("t").alias("p")).distinct().count() == len(texts)
+
+
+def test_text_links_shuffle_key_texts_and_keep_one_row_per_hash(spark):
+    """Spellings, nulls and separators in the parts: one row for each hash, with the hashes of its own parts."""
+    rows = [("a ", "b"), ("A", "B"), ("a||b", None), ("a|", "c"), (None, "b"), ("b", None), ("", "b"), ("x", "y||z"), (None, None)]
+    src = spark.createDataFrame(rows, "a string, b string")
+    found = vault.link_rows(src, {"a_hk": "a", "b_hk": "b"}, "lk", at("2020-01-01"), "s")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    aggregate = plan[plan.index("Aggregate"):]
+    assert "sha2" not in aggregate  # hashes are made after the shuffle
+    own = src.select(business_hash(["a", "b"]).alias("lk"), business_hash(["a"]).alias("a_hk"), business_hash(["b"]).alias("b_hk")).collect()
+    got = [(r["lk"], r["a_hk"], r["b_hk"]) for r in found.collect()]
+    assert set(got) <= {tuple(r) for r in own} and len(got) == len({r["lk"] for r in own}) == len({g[0] for g in got})
+
+
+def test_daily_snapshots_shuffle_diff_hashes_only_where_asked(spark):
+    hub = spark.createDataFrame([("a",), ("b",)], "hk string")
+    stored = sat(spark, [("a", "2020-01-01", "A"), ("a", "2020-01-03", "B")])
+    day = lambda text: F.lit(text).cast("date")
+    daily = snapshots.point_in_time_daily(hub, "hk", {"s": stored}, day("2020-01-01"), day("2020-01-03"))
+    assert [r["s_diff_hk"] for r in daily.filter("hk = 'a'").orderBy("snapshot_date").collect()] == [
+        r[0] for r in spark.sql("SELECT sha2(v, 256) FROM VALUES (1, 'A'), (2, 'A'), (3, 'B') t(i, v) ORDER BY i").collect()]
+    dates = daily.select("hk", "snapshot_date", "s_load_date")._jdf.queryExecution().optimizedPlan().toString()
+    assert "diff_hk" not in dates.split("Aggregate")[0]
+
+
+def test_profile_counts_whole_events_before_it_explodes_them(spark):
+    df = spark.createDataFrame([("t", '{"a":1,"b":"x"}')] * 50 + [("t", '{"a":2}')] * 5, "t string, j string")
+    profile = drift.field_profile(df, F.col("j"), "t")
+    assert {(r["field"], r["json_type"]): r["n_events"] for r in profile.collect()} == {("a", "number"): 55, ("b", "string"): 50}
+    plan = profile._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("Aggregate")
