@@ -27,9 +27,14 @@ def field_profile(events: DataFrame, images: Column | Sequence[Column], by: str)
     images = [images] if isinstance(images, Column) else list(images)
     texts = F.array_compact(F.array(*images))
     parsed = events.select(by, F.transform(texts, lambda j: F.from_json(j, "map<string,variant>")).alias("_maps"))
+    unread = (F.size("_maps") == 0) | F.exists("_maps", lambda m: m.isNull())
+    # one reading of a member's type; an event's set of pairs is counted whole, as most events have the same few
+    named = F.transform(
+        F.flatten(F.transform(F.array_compact("_maps"), F.map_entries)), lambda e: F.struct(e["key"].alias("field"), F.schema_of_variant(e["value"]).alias("found"))
+    )
+    read = parsed.select(by, named.alias("_members"), unread.alias("_unread"))
 
-    def kind(value: Column) -> Column:
-        found = F.schema_of_variant(value)
+    def kind(found: Column) -> Column:
         return (
             F.when(found == "VOID", "null")
             .when(found.startswith("OBJECT"), "object")
@@ -42,14 +47,12 @@ def field_profile(events: DataFrame, images: Column | Sequence[Column], by: str)
     def pair(field: Column, json_type: Column) -> Column:
         return F.struct(field.alias("field"), json_type.alias("json_type"))
 
-    members = F.transform(
-        F.flatten(F.transform(F.array_compact("_maps"), F.map_entries)), lambda e: pair(e["key"], kind(e["value"]))
-    )
-    unread = (F.size("_maps") == 0) | F.exists("_maps", lambda m: m.isNull())
-    lost = F.when(unread, F.array(pair(F.lit(None).cast("string"), F.lit(UNPARSED)))).otherwise(F.array())
-    pairs = parsed.select(by, F.explode(F.array_union(members, lost)).alias("_p"))
+    members = F.transform("_members", lambda e: pair(e["field"], kind(e["found"])))
+    lost = F.when(F.col("_unread"), F.array(pair(F.lit(None).cast("string"), F.lit(UNPARSED)))).otherwise(F.array())
+    shapes = read.groupBy(by, F.array_union(members, lost).alias("_shape")).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = shapes.select(by, F.explode("_shape").alias("_p"), "_n")
     return pairs.groupBy(by, F.col("_p.field").alias("field"), F.col("_p.json_type").alias("json_type")).agg(
-        F.count(F.lit(1)).alias("n_events")
+        F.sum("_n").alias("n_events")
     )
 
 

@@ -8,7 +8,7 @@ from tidemark.operators import cdc, upsert
 from tidemark.plans import feed
 from tidemark.plans.cdc_queries import CURRENT_ORDERS_SQL, EVENTS_SQL, empty_orders
 from tidemark.plans.registry import query
-from tidemark.session import Tables, scratch_path
+from tidemark.session import Tables, scratch_path, stored
 from tidemark.sources import landing
 from tidemark.sources.buckets import BucketedTable
 from tidemark.streaming.dedupe import DedupedIngest
@@ -29,8 +29,8 @@ def gated(t: Tables) -> GatedIngest:
     """
     source, state = scratch_path(t.spark, "landing"), scratch_path(t.spark, "state")
     job = GatedIngest(scratch_path(t.spark, "gated"), CONTRACT, on_block="skip")
-    op = F.get_json_object("value", "$.payload.op")
-    creations, updates = feed.order_landing(t).filter(op == "c"), feed.order_landing(t).filter(op == "u")
+    landed = stored(feed.order_landing(t).withColumn("op", F.get_json_object("value", "$.payload.op")), "order-feed")
+    creations, updates = (landed.filter(F.col("op") == op).drop("op") for op in ("c", "u"))
     repeated = F.replace(F.col("value"), F.lit('"order_id":'), F.lit('"order_id":"x","order_id":'))
     cut = creations.filter(F.col("value").contains('"priority":"4-NOT SPECIFIED"')).withColumn("value", F.substring("value", 1, 10))
     customers = feed.customer_landing(t)
@@ -117,7 +117,7 @@ def upsert_merge_buckets(t: Tables) -> DataFrame:
     schema = T.StructType([*empty_orders(t).schema.fields, T.StructField("event_ts_ms", T.LongType())])
     table = BucketedTable(scratch_path(t.spark, "buckets"), ("order_id",), schema, buckets=16)
     table.load(t.spark.createDataFrame([], schema))
-    changes = cdc.decode_events(feed.order_events(t), feed.ORDERS)
+    changes = stored(cdc.decode_events(feed.order_events(t), feed.ORDERS), "changes")
     for ops in (["c"], ["u"], ["d", "u"]):
         latest = upsert.latest_per_key(changes.filter(F.col("op").isin(*ops)), ["order_id"], ["event_ts_ms", "bronze_offset"])
         table.merge(latest, order_column="event_ts_ms")
