@@ -344,15 +344,21 @@ def stream_drain_to_bronze(t: Tables) -> DataFrame:
     )
 
 
+def landed_files(t: Tables) -> int:
+    """Files that a feed is landed in: some for each core, so that no task writes or reads a large share of it."""
+    return 4 * t.spark.sparkContext.defaultParallelism
+
+
 @query("stream_keyed_upsert", f"SELECT * EXCLUDE (last_inserted_dt) FROM ({CURRENT_ORDERS_SQL})")
 def stream_keyed_upsert(t: Tables) -> DataFrame:
     """Micro-batches in landing order, late events among them, with a compaction halfway."""
     table, source, state = (scratch_path(t.spark, n) for n in ("silver", "landing", "state"))
     rows = feed.order_landing(t)
     job = CurrentStateStream(feed.ORDERS, table, empty_orders(t).schema)
+    files = landed_files(t)
     for late in (True, False):
-        rows.filter((F.col("offset") % 4 == 3) == late).repartition(4, "offset").write.mode("append").json(source)
-        job.run(landing.normalise_landing(landing.landing_stream(t.spark, source, max_files_per_trigger=2)), state)
+        rows.filter((F.col("offset") % 4 == 3) == late).repartition(files, "offset").write.mode("append").json(source)
+        job.run(landing.normalise_landing(landing.landing_stream(t.spark, source, max_files_per_trigger=files // 2)), state)
         job.compact(t.spark)
     return job.read(t.spark).drop("event_ts_ms", "last_inserted_dt")
 
@@ -363,7 +369,7 @@ def stream_dedupe_and_gate(t: Tables) -> DataFrame:
     """The feed is landed twice over; in-batch dedupe and the key gate keep one row per order."""
     table, source = scratch_path(t.spark, "silver"), scratch_path(t.spark, "landing")
     doubled = feed.order_landing(t)
-    doubled.unionByName(doubled).repartition(4).write.json(source)
+    doubled.unionByName(doubled).repartition(landed_files(t)).write.json(source)
     job = CurrentStateStream(feed.ORDERS, table, empty_orders(t).schema)
     job.run(landing.normalise_landing(landing.landing_stream(t.spark, source)), scratch_path(t.spark, "state"))
     return job.read(t.spark).select("order_id", "status")
