@@ -1,6 +1,7 @@
-"""Near copies by resemblance: texts of a component share 0.8 of their five-word shingles with another of it.
+"""Near copies: texts whose SimHash fingerprints link, and texts that share 0.8 of their five-word shingles.
 
-At such a resemblance about 15 % of a fingerprint's bits differ, with so wide a spread that no choice of blocks is both sure to
+First fingerprints are linked as in ``simhash``; texts of one of its components are of one component here from the start. At a
+resemblance of 0.8 a pair's fingerprints may differ more, so what fingerprints left apart is then tested by resemblance. At such a resemblance about 15 % of a fingerprint's bits differ, with so wide a spread that no choice of blocks is both sure to
 be shared and selective. So texts are filed under ``BANDS`` hashes of ``ROWS`` least shingle hashes each, and every candidate
 pair is verified by the exact resemblance of its two sets of shingles. A pair at 0.8 shares no file once in eight million,
 above that less often.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from tidemark.llm.common import Masked, Scratch, map_slices
-from tidemark.llm.simhash import SEED, components, shingle_hashes
+from tidemark.llm.simhash import SEED, components, fingerprints, links, shingle_hashes
 
 #: Files of a text, and least hashes that name a file together.
 BANDS, ROWS = 40, 5
@@ -62,6 +63,30 @@ def banded(texts: list[str], size: int) -> list:
     return [nodes, counts, keys]
 
 
+def printed(texts: list[str], size: int) -> list:
+    """Fingerprint, and what ``banded`` gives, of each text."""
+    return [fingerprints(texts, size)[:, 0], *banded(texts, size)]
+
+
+def fingerprint_labels(prints: DataFrame, distance: int, kept: Scratch) -> DataFrame:
+    """Rows (node, label) of all nodes: those whose fingerprints ``fp`` are of one component of links have one label, a node of theirs.
+
+    A node may have several fingerprints, as it stands for texts that repeat its shingles differently; it then ties their components.
+    """
+    pairs = kept.written(prints.select("node", "fp").distinct(), "near-fingerprints")
+    roots = kept.written(components(links(pairs.select("fp").distinct(), distance), kept.written).select(F.col("node").alias("fp"), "root"), "near-roots")
+    filed = pairs.join(roots, "fp", "left").select("node", F.coalesce("root", "fp").alias("root"))
+    least = kept.written(filed.groupBy("root").agg(F.min("node").alias("label")), "near-least")
+    held = kept.written(filed.join(least, "root").select("node", "label").distinct(), "near-held")
+    first = kept.written(held.groupBy("node").agg(F.min("label").alias("label")), "near-seeds")
+    ties = first.select("node", F.col("label").alias("a")).join(held, "node").where("a <> label").select("a", F.col("label").alias("b")).distinct()
+    ties = kept.written(ties, "near-ties")
+    if ties.isEmpty():
+        return first
+    tied = components(ties, kept.written).select(F.col("node").alias("label"), "root")
+    return first.join(tied, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
+
+
 def similar(pairs: DataFrame, sets: DataFrame, resemblance: int = RESEMBLANCE) -> DataFrame:
     """The pairs (a, b) whose ``sets`` (node, hashes) share at least ``resemblance`` percent of all their members."""
     sides = {c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"h{c}")) for c in ("a", "b")}
@@ -82,12 +107,15 @@ def all_pairs(members: DataFrame, sizes: DataFrame, block: int = BLOCK) -> DataF
     return each.join(other, ["key", "i", "j"]).where(apart & (F.col("node") < F.col("other")))
 
 
-def near_components(members: DataFrame, sets: DataFrame, resemblance: int = RESEMBLANCE, dense: float = DENSE, leaders: int = LEADERS, block: int = BLOCK) -> DataFrame:
-    """Rows (node, label) of all ``members`` (key, node, n): nodes of one component have one label, a node of it."""
+def near_components(members: DataFrame, sets: DataFrame, resemblance: int = RESEMBLANCE, dense: float = DENSE, leaders: int = LEADERS, block: int = BLOCK, seeds: DataFrame | None = None) -> DataFrame:
+    """Rows (node, label) of all ``members`` (key, node, n): nodes of one component have one label, a node of it.
+
+    ``seeds`` (node, label) has the labels of nodes that are linked already, of members and others; pairs of one label aren't tested.
+    """
     spark = members.sparkSession
     fits = 100 * F.least("n", "n2") >= resemblance * F.greatest("n", "n2")
     kept = Scratch(spark)
-    labels = kept.written(members.select("node").distinct().withColumn("label", F.col("node")), "near-labels")
+    labels = kept.written(members.select("node").distinct().withColumn("label", F.col("node")) if seeds is None else seeds, "near-labels")
     final = False
     for number in range(leaders + 1):
         work = Scratch(spark)
@@ -123,8 +151,8 @@ def near_components(members: DataFrame, sets: DataFrame, resemblance: int = RESE
     return labels
 
 
-def representatives(docs: DataFrame, shingle: int = 5, resemblance: int = RESEMBLANCE, doc_id: str = "doc_id", text: str = "text", dense: float = DENSE, leaders: int = LEADERS, block: int = BLOCK) -> DataFrame:
-    """One row of each component of texts that resemble each other: that of the smallest id, of repeated rows one.
+def representatives(docs: DataFrame, shingle: int = 5, resemblance: int = RESEMBLANCE, doc_id: str = "doc_id", text: str = "text", dense: float = DENSE, leaders: int = LEADERS, block: int = BLOCK, distance: int = 2) -> DataFrame:
+    """One row of each component of texts linked by fingerprint or resemblance: that of the smallest id, of repeated rows one.
 
     Null ids come after all others, by their text. Texts of equal shingles are one node, named by a hash of the set.
     """
@@ -133,7 +161,7 @@ def representatives(docs: DataFrame, shingle: int = 5, resemblance: int = RESEMB
     late = F.xxhash64(text).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
     numbered = masked.df.withColumn("_id", F.coalesce(F.col(masked[doc_id]).cast("long"), late))
     prints = kept.written(
-        map_slices(numbered, text, [*columns, "_id"], "node long, n long, keys array<long>", lambda texts: banded(texts, shingle)), "set-prints")
+        map_slices(numbered, text, [*columns, "_id"], "fp long, node long, n long, keys array<long>", lambda texts: printed(texts, shingle)), "set-prints")
     nodes = kept.written(prints.groupBy("node").agg(F.min("_id").alias("_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "set-nodes")
     files = nodes.select("node", "n", F.explode("keys").alias("key"))
     shared = kept.written(files.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "set-files")
@@ -141,7 +169,7 @@ def representatives(docs: DataFrame, shingle: int = 5, resemblance: int = RESEMB
     texts = prints.join(kept.written(nodes.select("node", "_id").join(members.select("node").distinct(), "node"), "set-filed"), ["node", "_id"])
     texts = texts.groupBy("node").agg(F.first(text).alias("text"))
     sets = kept.written(map_slices(texts, "text", ["node"], "hashes array<long>", lambda ts: [[s.view(np.int64) for s in shingle_sets(ts, shingle)]]), "set-hashes")
-    labels = near_components(members, sets, resemblance, dense, leaders, block)
+    labels = near_components(members, sets, resemblance, dense, leaders, block, fingerprint_labels(prints, distance, kept))
     rooted = nodes.join(labels, "node", "left").select("node", "_id", F.coalesce("label", "node").alias("root"))
     first = kept.written(rooted.groupBy("root").agg(F.min(F.struct("_id", "node")).alias("x")).select("x._id", "x.node"), "set-firsts")
     order = Window.partitionBy("_id", "node").orderBy(F.xxhash64(*columns))
