@@ -36,8 +36,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies, by the resemblance of their five-word shingles."""
-    return resemblance.representatives(docs, shingle=5)
+    """The document of the smallest id of each group of near copies: by SimHash fingerprints, and what these leave apart by resemblance."""
+    return resemblance.representatives(docs, shingle=5, distance=2)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
