@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import marts, upsert, vault
+from tidemark.operators import marts, reports, upsert, vault
+from tidemark.plans import load_queries
 from tidemark.plans.shop import Shop
 from tidemark.session import Tables
 
@@ -45,3 +46,14 @@ def test_partitioned_writes_are_rebalanced(t):
     from tidemark.sources.sinks import balanced
 
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(balanced(t.orders, ["o_orderstatus"]))
+
+
+def test_rentals_shuffle_their_lines_once(spark):
+    """The triples of an order and the order itself meet in the shuffle of the lines."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(Shop(Tables(spark, PATH)).rental)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") == 2
