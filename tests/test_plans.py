@@ -57,3 +57,9 @@ def test_rentals_shuffle_their_lines_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_incremental_rental_mart_is_made_once(spark):
+    """The stored part and the refreshing rows come from one making of the mart."""
+    text = plan(load_queries()["mart_rental_incremental"].build(Tables(spark, PATH)))
+    assert "lineitem.parquet" not in text and "rental-mart" in text
