@@ -63,3 +63,9 @@ def test_incremental_rental_mart_is_made_once(spark):
     """The stored part and the refreshing rows come from one making of the mart."""
     text = plan(load_queries()["mart_rental_incremental"].build(Tables(spark, PATH)))
     assert "lineitem.parquet" not in text and "rental-mart" in text
+
+
+def test_grouped_text_reads_its_input_once(spark):
+    df = spark.read.parquet(f"{PATH}/lineitem.parquet")
+    text = plan(reports.grouped_text(df, ["l_orderkey"], F.col("l_partkey"), "t"))
+    assert "lineitem.parquet" not in text and "grouped-text" in text

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.ordered import ranged
 from tidemark.operators.upsert import keep_first
+from tidemark.session import stored
 
 # Fixed value: separator of the concatenating aggregate.
 SEPARATOR = ", "
@@ -17,9 +18,11 @@ def grouped_text(df: DataFrame, keys: Sequence[str], text: Column, name: str, se
     """Each key's texts in order, joined; null texts count for nothing, and a key with none but these gets an empty text.
 
     Equal texts are counted map-side, and a key's texts are put in order by ranges of (key, text), so a key that holds
-    much of the table is sorted by many tasks; only the finished pieces, one a range, meet for the key.
+    much of the table is sorted by many tasks; only the finished pieces, one a range, meet for the key. The counted texts are
+    written once, as the ranges' limits and the pieces both read them.
     """
     rows = df.select(*keys, text.cast("string").alias("_text")).groupBy(*keys, "_text").agg(F.count(F.lit(1)).alias("_copies"))
+    rows = stored(rows, "grouped-text")
     found = F.array_sort(F.collect_list(F.when(F.col("_text").isNotNull(), F.struct("_text", "_copies"))))
     repeated = F.transform(found, lambda x: x["_text"]) if distinct else F.flatten(
         F.transform(found, lambda x: F.array_repeat(x["_text"], x["_copies"].cast("int"))))
