@@ -84,6 +84,17 @@ def test_sieve_finds_what_it_holds(spark):
     assert divergence.Sieve.of(spark.createDataFrame([], "lang string, key binary")) is None
 
 
+def test_sieve_answers_for_many_as_for_each(spark):
+    keys = [("en", bytes([i % 256, i // 256 + 1])) for i in range(500)]
+    sieve, seed = divergence.Sieve.of(spark.createDataFrame(keys, "lang string, key binary"), 1 << 12), divergence.Sieve.seed("en")
+    asked = [k for _, k in keys] + [b"", b"\xff" * 40] + [bytes([9, 9, i]) for i in range(256)]
+    assert list(sieve.which(seed, asked)) == [sieve.has(seed, k) for k in asked] and not all(sieve.which(seed, asked))
+    assert list(sieve.which(seed, [])) == []
+    kept, terms = divergence.Kept(sieve, "en"), [k + b"tail" for k in asked]
+    for _ in range(2):  # the second time all answers are at hand
+        assert kept.beginning(terms, 2) == [t for t in terms if sieve.has(seed, t[:2])]
+
+
 def test_long_terms_and_empty_tables(spark):
     rows = [("x" * 600 + f" y{i}", "en", "s") for i in range(3)] + [("x" * 599, "en", "t")]
     got = audited(spark, rows)

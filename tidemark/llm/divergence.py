@@ -22,7 +22,8 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,11 @@ class Sieve:
         at = zlib.crc32(prefix, seed) & self.mask
         return bool(self.bits[at >> 3] >> (at & 7) & 1)
 
+    def which(self, seed: int, prefixes: list[bytes]) -> np.ndarray:
+        """The answer for each of many."""
+        at = np.fromiter(map(zlib.crc32, prefixes, repeat(seed)), np.int64, len(prefixes)) & self.mask
+        return (np.frombuffer(self.bits, np.uint8)[at >> 3] >> (at & 7) & 1).astype(bool)
+
     @staticmethod
     def seed(lang: str) -> int:
         return zlib.crc32(lang.encode() + b"\0")
@@ -111,12 +117,15 @@ class Tally:
         return self.keys >= TASK_KEYS or self.bytes >= TASK_BYTES
 
     def batches(self, columns: Callable, kept: Callable[[str], Kept], step: int = 50_000) -> Iterator[pa.RecordBatch]:
-        """The counts as rows: ``columns`` makes the columns of a group, whose first part is its language, from keys and counts."""
+        """The counts as rows: ``columns`` makes the columns of a group, whose first part is its language, from keys and counts; a text stands in all rows."""
         for group, counts in self.counts.items():
             keys, values = list(counts), list(counts.values())
             for at in range(0, len(keys), step):
                 made = columns(group, kept(group[0]), keys[at : at + step], values[at : at + step])
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(made, self.schema, strict=True)], schema=self.schema)
+                size = max(len(c) for c in made if isinstance(c, list | np.ndarray))
+                yield pa.RecordBatch.from_arrays([
+                    pa.repeat(pa.scalar(c, f.type), size) if isinstance(c, str) else pa.array(c, type=f.type)
+                    for c, f in zip(made, self.schema, strict=True)], schema=self.schema)
 
 
 class Kept:
@@ -135,6 +144,11 @@ class Kept:
             good = self.known[key] = self.sieve.has(self.seed, key)
         return good
 
+    def beginning(self, terms: Iterable[bytes], before: int) -> list[bytes]:
+        """The terms whose prefix of ``before`` bytes may have been kept."""
+        known, has = self.known.get, self.has  # most prefixes have been met
+        return [t for t in terms if (good := known(t[:before])) or good is None and has(t[:before])]
+
 
 def counted(docs: DataFrame, schema: str, sieve: Sieve | None, count: Callable[[Tally, Kept, str, str, bytes], None],
             columns: Callable[[tuple, Kept, list, list], list]) -> DataFrame:
@@ -168,14 +182,13 @@ def counted(docs: DataFrame, schema: str, sieve: Sieve | None, count: Callable[[
 def level(docs: DataFrame, before: int, width: int, sieve: Sieve | None, threshold: int) -> DataFrame:
     """Prefixes of ``width`` bytes (open) and terms of ``before`` to ``width`` - 1 bytes in enough documents."""
     def count(tally: Tally, kept: Kept, lang: str, source: str, text: bytes) -> None:
-        terms = set(terms_of(text))
+        terms = terms_of(text)
         if before:
-            terms = [t for t in terms if len(t) >= before and kept.has(t[:before])]
-        tally.add((lang, True), {t[:width] for t in terms if len(t) >= width}, len(text), width)
-        tally.add((lang, False), [t for t in terms if len(t) < width], len(text), width)
+            terms = kept.beginning({t for t in terms if len(t) >= before}, before)
+        tally.add((lang,), {t[:width] for t in terms}, len(text), width)
 
     def columns(group: tuple, kept: Kept, keys: list, values: list) -> list:
-        return [[group[0]] * len(keys), keys, [group[1]] * len(keys), values]
+        return [group[0], keys, [len(k) == width for k in keys], values]  # what fills the width is open
 
     dealt = counted(docs, COUNTED, sieve, count, columns).repartition("lang", "key")  # the tasks have combined their rows
     summed = dealt.groupBy("lang", "key", "open").agg(F.sum("documents").alias("documents"))
@@ -188,8 +201,8 @@ def occurrences(docs: DataFrame, terms: DataFrame, sieve: Sieve | None) -> DataF
         tally.add((lang, source), terms_of(text), len(text))
 
     def columns(group: tuple, kept: Kept, keys: list, values: list) -> list:
-        both = [(k, v) for k, v in zip(keys, values, strict=True) if kept.has(k)]
-        return [[group[0]] * len(both), [group[1]] * len(both), [k for k, _ in both], [v for _, v in both]]
+        good = kept.sieve.which(kept.seed, keys)
+        return [group[0], group[1], list(compress(keys, good)), list(compress(values, good))]
 
     summed = counted(docs, SAID, sieve, count, columns).repartition("lang", "key").groupBy("lang", "key", "source").agg(F.sum("n").alias("n"))
     return summed.join(terms, ["lang", "key"], "left_semi").select("lang", "source", F.col("key").cast("string").alias("term"), "n")
