@@ -478,3 +478,31 @@ def test_fingerprints_link_texts_below_the_resemblance(spark):
     seeds = spark.createDataFrame(list(labels.items()), "node long, label long")
     joined = {r["node"]: r["label"] for r in resemblance.near_components(shingles, sets, seeds=seeds).collect()}
     assert joined == labels
+
+
+def test_network_steps_equal_plain_ones():
+    """A step with all groups and positions at once is the step that takes each window's gradient by itself."""
+    random = np.random.default_rng(3)
+    pad = np.full(scoring.SIDE, scoring.PAD, dtype=np.int32)
+    flat = np.concatenate([pad, random.zipf(1.3, 900).astype(np.int32) % scoring.CLASSES, pad])
+    places = random.permutation(np.arange(scoring.SIDE, len(flat) - scoring.SIDE))
+    network, plain = scoring.Network.start(), scoring.Network(*(a.astype(np.float64) for a in scoring.Network.start().arrays()))
+    network.train(flat, places, 0.25)
+    h, size = plain.hidden(flat, places), scoring.GROUPS
+    softmax = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    changes = [np.zeros_like(a) for a in plain.arrays()]
+    for row, place in zip(h, places, strict=True):
+        g, w = flat[place] % size, flat[place] // size
+        d1, d2 = softmax(row @ plain.group + plain.group_bias), softmax(row @ plain.inner[g] + plain.inner_bias[g])
+        d1[g] -= 1
+        d2[w] -= 1
+        dh = (plain.group @ d1 + plain.inner[g] @ d2) * (1 - row * row)
+        for i, offset in enumerate(scoring.OFFSETS):
+            changes[0][i, flat[place + offset]] += dh
+        changes[1] += dh
+        changes[2] += np.outer(row, d1)
+        changes[3] += d1
+        changes[4][g] += np.outer(row, d2)
+        changes[5][g] += d2
+    for got, start, change in zip(network.arrays(), plain.arrays(), changes, strict=True):
+        assert np.allclose(got, start - 0.25 / np.sqrt(len(places)) * change, atol=1e-4)

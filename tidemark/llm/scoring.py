@@ -132,9 +132,9 @@ class Network:
         return cls(*out)
 
     def hidden(self, flat: np.ndarray, places: np.ndarray) -> np.ndarray:
-        h = self.bias + self.context[0][flat[places + OFFSETS[0]]]
+        h = self.bias + self.context[0].take(flat[places + OFFSETS[0]], axis=0)
         for table, offset in zip(self.context[1:], OFFSETS[1:], strict=True):
-            h += table[flat[places + offset]]
+            h += table.take(flat[places + offset], axis=0)
         return np.tanh(h)
 
     def log_probabilities(self, flat: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -154,39 +154,53 @@ class Network:
         return out
 
     def train(self, flat: np.ndarray, places: np.ndarray, rate: float) -> None:
-        """Gradient steps over the windows, in place."""
+        """Gradient steps over the windows, in place.
+
+        A step's windows are in order of their group, so each group's are a slice; what is not a product with the group's own
+        matrix is done for all groups at once, and so are the sums by context class for all four positions.
+        """
+        tables, offsets = self.context.reshape(-1, HIDDEN), np.array(OFFSETS)[:, None]
+        shift = (np.arange(len(OFFSETS)) * (CLASSES + 1))[:, None]
         for a in range(0, len(places), STEP):
             some = places[a : a + STEP]
             step = np.float32(rate / np.sqrt(len(some)))
-            some = some[np.argsort(flat[some] % GROUPS, kind="stable")]
-            h, target = self.hidden(flat, some), flat[some]
+            some = some[np.argsort((flat[some] % GROUPS).astype(np.uint8), kind="stable")]
+            near = (flat[some + offsets] + shift).astype(np.uint16)  # places in all tables, of each position
+            h = self.bias + tables.take(near[0], axis=0)
+            for own in near[1:]:
+                h += tables.take(own, axis=0)
+            np.tanh(h, out=h)
+            target = flat[some]
             group, within = target % GROUPS, target // GROUPS
             rows = np.arange(len(some))
             d1 = np.exp(log_softmax(h @ self.group + self.group_bias))
             d1[rows, group] -= 1
             dh = d1 @ self.group.T
             cuts = np.searchsorted(group, np.arange(GROUPS + 1))
-            for g in np.unique(group):
-                own = slice(cuts[g], cuts[g + 1])
-                d2 = np.exp(log_softmax(h[own] @ self.inner[g] + self.inner_bias[g]))
-                d2[np.arange(len(d2)), within[own]] -= 1
-                dh[own] += d2 @ self.inner[g].T
-                self.inner[g] -= step * (h[own].T @ d2)
-                self.inner_bias[g] -= step * d2.sum(0)
+            slices_ = [(g, slice(cuts[g], cuts[g + 1])) for g in range(GROUPS) if cuts[g] < cuts[g + 1]]
+            d2 = np.empty((len(some), GROUPS), dtype=np.float32)
+            for g, own in slices_:
+                np.matmul(h[own], self.inner[g], out=d2[own])
+            d2 = np.exp(log_softmax(d2 + self.inner_bias[group]))
+            d2[rows, within] -= 1
+            for g, own in slices_:
+                dh[own] += d2[own] @ self.inner[g].T
+                self.inner[g] -= step * (h[own].T @ d2[own])
+                self.inner_bias[g] -= step * d2[own].sum(0)
             dh *= 1 - h * h
             self.group -= step * (h.T @ d1)
             self.group_bias -= step * d1.sum(0)
             self.bias -= step * dh.sum(0)
-            for table, offset in zip(self.context, OFFSETS, strict=True):
-                near = flat[some + offset]
-                order = np.argsort(near, kind="stable")
-                classes, first = np.unique(near[order], return_index=True)
-                table[classes] -= step * np.add.reduceat(dh[order], first, axis=0)
+            order = np.argsort(near, axis=None, kind="stable")  # two bytes wide, so sorted by digits
+            sorted_ = near.ravel()[order]
+            first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+            tables[sorted_[first]] -= step * np.add.reduceat(dh.take(order % len(some), axis=0), first, axis=0)
 
 
 def log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    return x
 
 
 def trained(docs: DataFrame, frequent: list[bytes], text: str = "text", rounds: int = ROUNDS) -> Network:
