@@ -159,6 +159,33 @@ def test_erasure_is_completed_after_a_stop_and_repeated_without_effect(spark, tm
     assert store.erase(subjects, "r2") == [] and store.files() == files
 
 
+def test_ids_of_a_parsed_text_are_those_of_paths(spark):
+    texts = [
+        '{"payload":{"before":{"customer_id":1},"after":{"customer_id":2,"x":"customer_id"}}}', '{"after":{"customer_id":3}}',
+        '{"payload":{"after":{"customer_id":4,"customer_id":5}}}', '{"payload":{"after":{},"after":{"customer_id":6}}}',
+        '{"payload":{"after":{"customer\\u005fid":7}}}', '{"payload":{"after":{"customer_id":"a8"},"before":{"customer_id":"9"}}}',
+        '{"payload":{"after":{"customer_id":10}', '{"after":{"customer_id":11}} }x', '{"after":{"customer_id":1.50}}', '{"after":{"customer_id":{"a": 1}}}',
+        '{"payload":[{"after":{"customer_id":12}}]}', '{"after":"{\\"customer_id\\":13}"}', '{"after":{"customer_id":null}}', "", None, "[]", '{"after":{"customer_id":14},"customer_id":15}',
+    ]
+    rows = spark.createDataFrame([(i, "customer", t) for i, t in enumerate(texts)], "i int, table_name string, value string")
+    plain = ["customer_id", "staff_id"]
+    both = rows.withColumn("_images", F.from_json("value", erasure.image_schema(plain))).select(
+        "i", erasure.subject_ids(SCANS["customer"], plain).alias("parsed"), erasure.subject_ids(SCANS["customer"]).alias("paths"))
+    found = {r["i"]: (r["parsed"], r["paths"]) for r in both.collect()}
+    assert all(a == b for a, b in found.values()), found
+    assert sorted(found[0][0]) == ["1", "2"] and found[1][0] == ["3"] and found[2][0] == ["4"] and sorted(found[5][0]) == ["9", "a8"]
+
+
+def test_erasure_holds_requests_in_tables(spark, tmp_path, monkeypatch):
+    store, _ = erasable(spark, tmp_path / "e")
+    collected = []
+    real = type(store.events()).collect
+    monkeypatch.setattr(type(store.events()), "collect", lambda df: collected.append(df.columns) or real(df))
+    state = erase(spark, store, [("customer", "2"), ("staff", "3"), ("customer", "2")])
+    assert collected and all(c == ["file"] for c in collected)  # names of files alone reach the driver
+    assert {r["status"] for r in state.checks.collect()} == {"PASS"}
+
+
 def test_random_keys_differ(spark, tmp_path):
     keys = privacy.missing_keys(spark.range(300), spark.createDataFrame([], "subject_id string, subject_type string"), "t", privacy.random_key(), F.current_timestamp())
     keys.write.parquet(str(tmp_path / "k"))

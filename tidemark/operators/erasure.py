@@ -5,17 +5,21 @@ subjects up there, so it reads and rewrites only the files that name one of them
 the touched files are staged beside the table first, then the touched files are deleted, then the staged ones move in. A
 run that stopped between can be run again: what is staged completely is not staged anew. The index is ids and places, never
 event texts; a run writes its next version without the erased subjects and drops the former one.
+
+Event texts are parsed once for all subject types where that gives the ids for certain, else by a path for each image and
+field. A run's requests, the index rows of its subjects and its checks are tables; the driver holds names of files only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators import privacy
+from tidemark.session import stored
 
 STEPS = ("validate", "suppress", "shred", "delete_events", "check", "complete")
 IDENTITY = list(privacy.EVENT_IDENTITY)
@@ -41,19 +45,47 @@ class ErasureState:
     checks: DataFrame
 
 
-def subject_ids(scan: Scan) -> Column:
+def image_schema(fields: Sequence[str]) -> str:
+    """Both images, enveloped and bare, with the fields as text."""
+    image = f"struct<{', '.join(f'`{f}`: string' for f in fields)}>"
+    return f"payload struct<after: {image}, before: {image}>, after {image}, before {image}"
+
+
+def field_ids(field: str, plain: bool) -> Column:
+    """Ids in a field of an event's images, null where an image has none; ``plain`` fields are in ``_images``.
+
+    The parsed texts are taken if they are digits and as many as the text names the field: it then occurs nowhere else, so paths
+    would find the same. Repeated names, escaped ones, broken texts and other values go by paths.
+    """
+    places = [f"{prefix}{image}" for prefix in ("payload.", "") for image in ("after", "before")]
+    by_path = F.array(*[F.get_json_object("value", f"$.{p}.{field}") for p in places])
+    if not plain:
+        return by_path
+    parsed = [F.col(f"_images.{p}.`{field}`") for p in places]
+    name = f'"{field}"'
+    named = F.octet_length("value") - F.octet_length(F.replace("value", F.lit(name), F.lit("")))
+    certain = [F.when(p.isNull(), 0).when(p.rlike("^[0-9]+$"), len(name)) for p in parsed]
+    return F.when(named == reduce(lambda a, b: a + b, certain), F.array(*parsed)).otherwise(by_path)
+
+
+def subject_ids(scan: Scan, plain: Sequence[str] = ()) -> Column:
     """Distinct ids of the type that an event's images name, enveloped or bare; none in other tables."""
-    paths = [f"$.{prefix}{image}.{field}" for field in scan.fields for prefix in ("payload.", "") for image in ("after", "before")]
-    ids = F.array_distinct(F.array_compact(F.array(*[F.get_json_object("value", p) for p in paths])))
+    ids = F.array_except(F.concat(*[field_ids(f, f in plain) for f in scan.fields]), F.array(F.lit(None).cast("string")))
     return F.when(F.col("table_name").isin(*scan.tables), ids)
 
 
 def index_rows(events: DataFrame, scans: Mapping[str, Scan]) -> DataFrame:
-    """A row for each subject an event names, with the event's identity and file; one reading for all types."""
+    """A row for each subject an event names, with the event's identity and file; one reading and parsing for all types."""
+    plain = sorted({f for scan in scans.values() for f in scan.fields if f.isidentifier()})
     found = F.array(*[
-        F.struct(F.lit(kind).alias("subject_type"), F.coalesce(subject_ids(scan), F.array().cast("array<string>")).alias("ids"))
+        F.struct(F.lit(kind).alias("subject_type"), F.coalesce(subject_ids(scan, plain), F.array().cast("array<string>")).alias("ids"))
         for kind, scan in scans.items()])
-    each = events.select(F.col("_metadata.file_path").alias("file"), *IDENTITY, F.explode(found).alias("s"))
+    searched = F.col("table_name").isin(*{table for scan in scans.values() for table in scan.tables})
+    file = F.col("_metadata.file_path").alias("file")
+    texts = events.select(file, *IDENTITY, "table_name", F.when(searched, F.col("value")).alias("value"))
+    if plain:
+        texts = texts.withColumn("_images", F.from_json("value", image_schema(plain)))
+    each = texts.select("file", *IDENTITY, F.explode(found).alias("s"))
     return each.select("s.subject_type", F.explode("s.ids").alias("subject_id"), "file", *IDENTITY).select(*[c.split()[0] for c in INDEX.split(", ")])
 
 
@@ -107,20 +139,22 @@ class EventStore:
 
     def named(self, subjects: DataFrame) -> DataFrame:
         """Index rows of the subjects (``subject_type``, ``subject_id``)."""
-        return self.index().join(subjects.select("subject_type", "subject_id").distinct(), ["subject_type", "subject_id"], "left_semi")
+        wanted = subjects.select("subject_type", "subject_id").distinct().hint("shuffle_hash")
+        return self.index().join(wanted, ["subject_type", "subject_id"], "left_semi")
 
-    def erase(self, subjects: DataFrame, run_id: str) -> list[str]:
-        """Rewrite the files that name a subject; returns the files that went.
+    def erase(self, subjects: DataFrame, run_id: str, named: DataFrame | None = None) -> list[str]:
+        """Rewrite the files that name a subject; returns the files that went. ``named`` has the subjects' index rows, if they are at hand.
 
         The driver holds the touched files' names, fewer than those it lists to read the table.
         """
         staged = self._hadoop.Path(f"{self.path}/_erasure/{run_id}")
         journal = f"{self.path}/_erasure/{run_id}-files"
         if not self._fs.exists(self._hadoop.Path(f"{journal}/_SUCCESS")):
-            touched = [r["file"] for r in self.named(subjects).select("file").distinct().collect()]
+            named = stored(self.named(subjects), "erasure-named") if named is None else named
+            touched = [r["file"] for r in named.select("file").distinct().collect()]
             if touched:
-                doomed = self.named(subjects).select(*IDENTITY).distinct()
-                kept = self._read(touched).join(doomed, IDENTITY, "left_anti")
+                doomed = named.select(*IDENTITY).distinct()
+                kept = self._read(touched).join(doomed.hint("shuffle_hash"), IDENTITY, "left_anti")  # texts aren't sorted
                 kept.write.mode("overwrite").partitionBy("table_name").parquet(staged.toString())
             self.spark.createDataFrame([(f,) for f in touched], "file string").coalesce(1).write.mode("overwrite").parquet(journal)
         touched = [r["file"] for r in self.spark.read.schema("file string").parquet(journal).collect()]
@@ -151,11 +185,20 @@ class EventStore:
         return [r["file"] for r in live.join(known, "file", "left_anti").collect()]
 
 
+def counted(named: DataFrame, wanted: DataFrame) -> DataFrame:
+    """For each request its events and files, from the index rows of all subjects."""
+    each = named.join(wanted.select("request_id", "subject_type", "subject_id").hint("shuffle_hash"), ["subject_type", "subject_id"])
+    return each.groupBy("request_id").agg(F.count_distinct(*IDENTITY).alias("n_events"), F.count_distinct("file").alias("n_files"))
+
+
+def accepted_requests(requests: DataFrame) -> DataFrame:
+    return privacy.accepted(requests).select("request_id", F.col("subject_number").cast("string").alias("subject_id"), "subject_type")
+
+
 def preview(store: EventStore, requests: DataFrame) -> DataFrame:
     """Dry run: for each accepted request the events and files that would go."""
-    wanted = privacy.accepted(requests).withColumn("subject_id", F.col("subject_number").cast("string"))
-    named = store.index().join(wanted.select("request_id", "subject_type", "subject_id"), ["subject_type", "subject_id"])
-    return named.groupBy("request_id").agg(F.count_distinct(*IDENTITY).alias("n_events"), F.count_distinct("file").alias("n_files"))
+    wanted = accepted_requests(requests)
+    return counted(store.named(wanted), wanted)
 
 
 def run(store: EventStore, requests: DataFrame, registry: DataFrame, keys: DataFrame, run_id: str, at: Column) -> ErasureState:
@@ -165,21 +208,23 @@ def run(store: EventStore, requests: DataFrame, registry: DataFrame, keys: DataF
     suppressed and its key shredded, but there are no events to delete. A request is complete when its check passes: no
     readable key and no event in the index.
     """
-    wanted = privacy.accepted(requests).select("request_id", F.col("subject_number").cast("string").alias("subject_id"), "subject_type")
+    wanted = stored(accepted_requests(requests), "erasure-requests")
     subjects = wanted.select("subject_type", "subject_id").distinct()
-    evidence = preview(store, requests).join(wanted, "request_id", "right").select(
+    named = stored(store.named(subjects), "erasure-named")
+    evidence = counted(named, wanted).join(wanted, "request_id", "right").select(
         "request_id", F.coalesce("n_events", F.lit(0)).alias("n_events"), F.coalesce("n_files", F.lit(0)).alias("n_files"))
-    evidence = store.spark.createDataFrame(evidence.collect(), "request_id string, n_events bigint, n_files bigint")  # a row a request, before files go
+    evidence = stored(evidence, "erasure-evidence")  # before files go
 
     added, moved = privacy.register_suppression(registry, requests, at)
     shredded = privacy.shred(keys, subjects, at)
-    store.erase(subjects, run_id)
+    store.erase(subjects, run_id, named)
 
     live = shredded.filter(F.col("dek").isNotNull()).select("subject_type", "subject_id", F.lit(1).alias("n_keys"))
     left = store.named(subjects).groupBy("subject_type", "subject_id").agg(F.count(F.lit(1)).alias("n_left"))
     checks = wanted.join(live, ["subject_type", "subject_id"], "left").join(left, ["subject_type", "subject_id"], "left").select(
         "request_id", "subject_type", "subject_id", F.coalesce("n_keys", F.lit(0)).alias("readable_keys"), F.coalesce("n_left", F.lit(0)).alias("events_left")
     ).withColumn("status", F.when((F.col("readable_keys") == 0) & (F.col("events_left") == 0), "PASS").otherwise("FAIL"))
+    checks = stored(checks, "erasure-checks")
     passed = checks.filter("status = 'PASS'").select("request_id", F.lit(True).alias("_passed"))
     done = moved.join(passed, "request_id", "left").withColumn("status", F.when(F.col("_passed"), F.lit("complete")).otherwise(F.col("status"))).drop("_passed")
 
