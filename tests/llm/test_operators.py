@@ -506,3 +506,23 @@ def test_network_steps_equal_plain_ones():
         changes[5][g] += d2
     for got, start, change in zip(network.arrays(), plain.arrays(), changes, strict=True):
         assert np.allclose(got, start - 0.25 / np.sqrt(len(places)) * change, atol=1e-4)
+
+
+def test_components_of_stars_need_no_round_and_chains_end_without_a_spare_one(spark, tmp_path):
+    def found(edges):
+        stored, labels = [], []
+
+        def store(df, label):
+            labels.append(label)
+            df.write.parquet(str(tmp_path / f"{len(labels)}-{len(edges)}"))
+            stored.append(spark.read.parquet(str(tmp_path / f"{len(labels)}-{len(edges)}")))
+            return stored[-1]
+
+        rows = simhash.components(spark.createDataFrame(edges, "a long, b long"), store).collect()
+        assert len(rows) == len({r["node"] for r in rows})
+        return {r["node"]: r["root"] for r in rows}, labels.count("links") - 1
+
+    # stars, a link given twice and turned round, a node linked to itself
+    assert found([(1, 2), (1, 3), (3, 1), (1, 3), (-5, 9), (7, 7)]) == ({1: 1, 2: 1, 3: 1, -5: -5, 9: -5}, 0)
+    assert found([(2, 3), (1, 2), (3, 4), (10, 11)]) == ({1: 1, 2: 1, 3: 1, 4: 1, 10: 10, 11: 10}, 2)
+    assert found([]) == ({}, 0)

@@ -24,9 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, lineage cut, safe from lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return stored_at(df, unused_path(df.sparkSession, label))
 
 
 def unused_path(spark: SparkSession, label: str) -> str:

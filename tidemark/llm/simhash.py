@@ -109,17 +109,24 @@ def near_points(fp: Column, distance: int) -> Column:
     return F.array(fp)
 
 
+def stars(links: DataFrame) -> bool:
+    """Whether distinct links (a, b), a < b, are one star a component, under its least node."""
+    ends = links.select(F.col("b").alias("node"), F.lit(1).alias("above")).unionByName(links.select(F.col("a").alias("node"), F.lit(None).cast("int").alias("above")))
+    mixed = ends.groupBy("node").agg(F.count("above").alias("above"), F.max(F.col("above").isNull()).alias("below"))
+    return mixed.where("above > 1 or (above = 1 and below)").isEmpty()
+
+
 def components(edges: DataFrame, store: Callable[[DataFrame, str], DataFrame] = written) -> DataFrame:
     """Rows (node, root) for every node of the links (a, b): root is the least node of its component.
 
     Alternating stars: each node's neighbours above it are hung under the least node it knows, then each node and its
-    neighbours below it. The links shrink to one star a component. Least nodes are combined before the shuffle and
+    neighbours below it. The links shrink to one star a component, and rounds end when each node is the lesser end of all its
+    links or the greater end of one; links that are such stars from the start need none. Least nodes are combined before the shuffle and
     written before they are joined, so a node with very many links is split by the skew join. ``store`` writes a table; the
     result reads the last one.
     """
-    current = store(edges.select("a", "b"), "links")
-    mark = None
-    while True:
+    current = store(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
+    while not stars(current):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = store(both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.col("u")).alias("m")), "star-least")
         large = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b")
@@ -130,10 +137,6 @@ def components(edges: DataFrame, store: Callable[[DataFrame, str], DataFrame] =
             F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("a").alias("b")), F.struct(F.col("m").alias("a"), F.col("u").alias("b")))).alias("e")
         ).select("e.a", "e.b").where("a < b").distinct()
         current = store(small, "links")
-        new = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if new == mark:
-            break
-        mark = new
     leaves = current.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return leaves.unionByName(current.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
 
