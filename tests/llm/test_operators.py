@@ -526,3 +526,53 @@ def test_components_of_stars_need_no_round_and_chains_end_without_a_spare_one(sp
     assert found([(1, 2), (1, 3), (3, 1), (1, 3), (-5, 9), (7, 7)]) == ({1: 1, 2: 1, 3: 1, -5: -5, 9: -5}, 0)
     assert found([(2, 3), (1, 2), (3, 4), (10, 11)]) == ({1: 1, 2: 1, 3: 1, 4: 1, 10: 10, 11: 10}, 2)
     assert found([]) == ({}, 0)
+
+
+def test_scores_equal_brute_force_whatever_shares_are_known(spark, monkeypatch):
+    """Shares that tasks know and shares that are joined give the sum of each word's two log-probabilities and its share."""
+    texts = ["a b a c d " * 9, "a b zz a " * 7 + "yy xx", "xx " * 40 + "a", "b", "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    first = scoring.FREQUENT
+    monkeypatch.setattr(scoring, "FREQUENT", 3)  # of the words that are looked for here; tasks keep the number of classes
+    frequent, counts = [b"xx", b"a", b"b"], collections.Counter(w for t in texts for w in scoring.words(t or ""))
+    assert [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:3]] == frequent
+    shared = lambda w: first + scoring.xxh64_intdigest(w, scoring.SEED) % scoring.SHARED
+    in_class = collections.Counter()
+    for w in set(counts) - set(frequent):
+        in_class[shared(w)] += counts[w]
+    net = scoring.trained(frame, frequent)
+    softmax = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+
+    def expected(text):
+        found = scoring.words(text or "")
+        own = [scoring.PAD] * 2 + [frequent.index(w) if w in frequent else shared(w) for w in found] + [scoring.PAD] * 2
+        total = 0
+        for i, w in enumerate(found, 2):
+            h = np.tanh(net.bias + sum(net.context[k, own[i + o]] for k, o in enumerate(scoring.OFFSETS)))
+            g, c = own[i] % scoring.GROUPS, own[i] // scoring.GROUPS
+            total += softmax(h @ net.group + net.group_bias)[g] + softmax(h @ net.inner[g] + net.inner_bias[g])[c]
+            total += 0 if w in frequent else np.log(counts[w] / in_class[own[i]])
+        return total
+
+    for known in (0, 2, 1000):
+        monkeypatch.setattr(scoring, "KNOWN", known)
+        rows = scoring.scored(frame, ["doc_id"]).collect()
+        assert all(abs(r["log_likelihood"] - expected(texts[r["doc_id"]])) < 1e-3 and r["n_words"] == len(scoring.words(texts[r["doc_id"]] or "")) for r in rows)
+        assert len(rows) == len(texts)
+
+
+def test_far_scores_make_no_denormal_numbers():
+    """Products with denormal numbers take many times as long; a network that is sure of itself made them in every step."""
+    random = np.random.default_rng(4)
+    scores = random.normal(0, 60, (50, 2 * scoring.GROUPS)).astype(np.float32)
+    plain = scores.reshape(-1, scoring.GROUPS).astype(np.float64)
+    wanted = np.exp(plain - plain.max(axis=1, keepdims=True))
+    assert ((0 < wanted) & (wanted < np.finfo(np.float32).tiny)).any()
+    made = scoring.exponentials(scoring.bounded(scores)).reshape(-1, scoring.GROUPS)
+    assert (made > 1e-27).all() and np.allclose(made, wanted, atol=1e-7, rtol=1e-5)
+    flat = np.concatenate([np.full(2, scoring.PAD), random.integers(0, scoring.CLASSES, 600), np.full(2, scoring.PAD)]).astype(np.uint16)
+    net = scoring.Network.start()
+    net.group *= 100
+    net.inner *= 100
+    net.train(flat, np.arange(2, 602), 0.25)
+    assert np.isfinite(net.flat()).all() and (net.log_probabilities(flat, np.arange(2, 602)) <= 0).all()

@@ -63,14 +63,19 @@ class Scratch:
 
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` characters."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
+    return ranges([len(t) for t in texts], limit)
+
+
+def ranges(sizes: list[int], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` in size; a larger row is a range of its own."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > limit:
             yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def arrow_type(schema: T.StructType) -> pa.Schema:
