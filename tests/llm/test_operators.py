@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -576,3 +577,16 @@ def test_far_scores_make_no_denormal_numbers():
     net.inner *= 100
     net.train(flat, np.arange(2, 602), 0.25)
     assert np.isfinite(net.flat()).all() and (net.log_probabilities(flat, np.arange(2, 602)) <= 0).all()
+
+
+def test_plans_keep_configurations_small():
+    """The driver keeps what is in each configuration, not a count for every length: that was over 100 MB, which it never gave back."""
+    counts = np.bincount(np.clip(np.random.default_rng(5).lognormal(5.9, 0.7, 20000).astype(int), 1, packing.CAPACITY), minlength=packing.CAPACITY + 1)
+    tracemalloc.start()
+    try:
+        made = packing.plan(counts, rounds=60)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 30e6
+    assert (sum(n * np.bincount(x, minlength=len(counts)) for x, n in made.runs) == counts).all()

@@ -35,6 +35,8 @@ ROUNDS = 120
 STEP = 1.0
 #: Least part of a sequence that a configuration must fill to be used in rounding.
 FULL = 0.95
+#: Lengths in a configuration.
+CONTENT = np.dtype("<i4")
 
 
 class Knapsack:
@@ -73,8 +75,10 @@ class Knapsack:
         return used
 
 
-def cover(counts: np.ndarray, rounds: int) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often each is used: an approximate solution of the covering program.
+def cover(counts: np.ndarray, rounds: int) -> list[tuple[bytes, float]]:
+    """Configurations, as ``lengths_in`` reads them, and how often each is used: an approximate solution of the covering program.
+
+    There can be one for each round and length, so each is kept as the lengths in it and not as a count for every length.
 
     Each round prices lengths by token, solves the knapsack once and takes, for every length, longest first, the
     dearest configuration through it, for its share of the round. Weights fall as lengths are covered, so a length
@@ -95,9 +99,14 @@ def cover(counts: np.ndarray, rounds: int) -> list[tuple[np.ndarray, float]]:
                 inside = found > 0
                 amount = lacking / found[length]
                 covered[inside] += amount * found[inside]
-                entry = used.setdefault(found.tobytes(), [found, 0.0])
-                entry[1] += amount
-    return [(f, x) for f, x in used.values()]
+                key = np.repeat(lengths, found).astype(CONTENT).tobytes()
+                used[key] = used.get(key, 0.0) + amount
+    return list(used.items())
+
+
+def lengths_in(configuration: bytes) -> np.ndarray:
+    """The lengths in a configuration, in ascending order."""
+    return np.frombuffer(configuration, CONTENT)
 
 
 @dataclass
@@ -150,9 +159,9 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
         take(np.bincount([capacity], minlength=capacity + 1), int(left[capacity]))
     if left.any():
         # rounded down, longest items first; what overshoots the items stays out
-        for found, amount in sorted(cover(left.copy(), rounds), key=lambda x: -int(np.flatnonzero(x[0])[-1])):
-            if int((found * lengths).sum()) >= FULL * capacity:
-                take(found, int(amount))
+        for configuration, amount in sorted(cover(left.copy(), rounds), key=lambda x: -int(lengths_in(x[0])[-1])):
+            if int(lengths_in(configuration).sum(dtype=np.int64)) >= FULL * capacity:
+                take(np.bincount(lengths_in(configuration), minlength=capacity + 1), int(amount))
     out.solved = out.sequences
     out.runs += fullest(left, capacity)
     return out
