@@ -25,6 +25,8 @@ DRIFT = (
     "batch bigint, table_name string, severity string, is_valid boolean, "
     "added_columns array<string>, removed_columns array<string>, type_changes array<string>, has_unparsed boolean"
 )
+#: Bytes of a row group of stored events, so that several tasks can parse the events of one file.
+ROW_GROUP = 8 << 20
 #: A batch's folder has the batch as a partition column.
 IMAGES = ("$.payload.before", "$.payload.after")
 
@@ -100,12 +102,17 @@ class GatedIngest:
     def volume_log(self, spark: SparkSession) -> DataFrame:
         return self._table(spark, "volume", VOLUME)
 
-    def _drift(self, good: DataFrame) -> DataFrame:
-        """Verdict of every source with a contract that has events in the batch."""
+    def _drift(self, good: DataFrame, batch_id: int) -> DataFrame:
+        """Verdict of every source with a contract that has events in the batch.
+
+        Events are parsed once, into a profile of a row a source, field and type that is written before it is read.
+        """
         spark = good.sparkSession
         contract = spark.createDataFrame(list(self.contract), "table_name string, field string, json_type string")
-        checked = good.join(contract.select("table_name").distinct(), "table_name", "left_semi")
-        profile = drift.field_profile(checked, [F.get_json_object("value", p) for p in IMAGES], "table_name")
+        checked = good.filter(F.col("table_name").isin(*{table for table, _, _ in self.contract}))
+        found = drift.field_profile(checked, [F.get_json_object("value", p) for p in IMAGES], "table_name")
+        found.write.mode("overwrite").parquet(f"{self.path}/profile/batch={batch_id}")
+        profile = spark.read.schema(found.schema).parquet(f"{self.path}/profile/batch={batch_id}")
         present = good.select("table_name").distinct()
         due = contract.join(present, "table_name", "left_semi")
         changes = drift.classify_drift(profile, due, "table_name")
@@ -147,10 +154,11 @@ class GatedIngest:
         counted = marked.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("usable")).alias("bad"))
         columns = [c for c in self._layout.names if c != "batch"]
         folder = f"{self.path}/events/batch={batch_id}"
-        balanced(counted.select(*columns), ["usable", "table_name"]).write.mode("overwrite").partitionBy("usable", "table_name").parquet(folder)
+        writer = balanced(counted.select(*columns), ["usable", "table_name"]).write.mode("overwrite").option("parquet.block.size", ROW_GROUP)
+        writer.partitionBy("usable", "table_name").parquet(folder)
         n_events, n_quarantined = seen.get["n"], seen.get["bad"]
         good = self._table(spark, "events", self._layout).filter((F.col("batch") == batch_id) & F.col("usable"))
-        self._drift(good).drop("batch").write.mode("overwrite").parquet(f"{self.path}/drift/batch={batch_id}")
+        self._drift(good, batch_id).drop("batch").write.mode("overwrite").parquet(f"{self.path}/drift/batch={batch_id}")
         self._volume(good, batch_id).write.mode("overwrite").parquet(f"{self.path}/volume/batch={batch_id}")
         reasons = self._reasons(spark, batch_id, n_events, n_quarantined)
         row = ("blocked" if reasons else "published", n_events, n_quarantined, "; ".join(reasons) or None)
