@@ -65,8 +65,11 @@ def _value(before: Column, after: Column, op: str, ts_ms: Column, table: str) ->
     return F.to_json(F.struct(payload.alias("payload")))
 
 
-def order_landing(t: Tables) -> DataFrame:
-    """Landing records of the whole orders table, in one scan."""
+def order_landing(t: Tables, parts: int | None = None) -> DataFrame:
+    """Landing records of the whole orders table, in one scan.
+
+    ``parts`` deals the orders to as many tasks before the records, which are far longer, are made of them.
+    """
     created = _millis(F.col("o_orderdate"))
     image_type = "struct<order_id:bigint,customer_id:bigint,status:string,priority:string,ordered_at:bigint,total:string>"
 
@@ -94,7 +97,8 @@ def order_landing(t: Tables) -> DataFrame:
         F.when((status == "P") & (priority == "5-LOW"), event(2, 60, "d", key_only, nothing)),
         F.when((status == "F") & (priority == "1-URGENT"), event(3, 10, "u", opened, image(F.lit("P")))),
     )
-    return spread(t.orders).select(
+    rows = spread(t.orders) if parts is None else t.orders.repartition(parts)
+    return rows.select(
         F.col("o_orderkey").cast("string").alias("message_key"), F.explode(F.array_compact(events)).alias("e")
     ).select(
         F.lit(TOPIC).alias("topic"), F.pmod(F.xxhash64("message_key"), F.lit(8)).cast("int").alias("partition"),

@@ -368,8 +368,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderstatus AS status FROM ord
 def stream_dedupe_and_gate(t: Tables) -> DataFrame:
     """The feed is landed twice over; in-batch dedupe and the key gate keep one row per order."""
     table, source = scratch_path(t.spark, "silver"), scratch_path(t.spark, "landing")
-    doubled = feed.order_landing(t)
-    doubled.unionByName(doubled).repartition(landed_files(t)).write.json(source)
+    doubled = feed.order_landing(t, landed_files(t) // 2)
+    doubled.unionByName(doubled).write.option("compression", "gzip").json(source)
     job = CurrentStateStream(feed.ORDERS, table, empty_orders(t).schema)
     job.run(landing.normalise_landing(landing.landing_stream(t.spark, source)), scratch_path(t.spark, "state"))
     return job.read(t.spark).select("order_id", "status")
