@@ -103,3 +103,22 @@ def test_a_second_load_shuffles_what_its_hashes_are_made_of(unbroadcast):
         assert rows(new) == rows(new_rows(some, full, [key]).select(*full.columns))
         made = [line for line in plan(new).splitlines() if "Exchange hashpartitioning" in line and "REPARTITION_BY_COL" in line]
         assert made and all("sha2(" in line for line in made)
+
+
+@pytest.mark.parametrize("name, hashes", [
+    ("mart_customer_summary", ("rental_hk", "payment_hk")), ("mart_customer_summary_all_versions", ("rental_hk", "payment_hk")),
+    ("mart_staff_performance", ("rental_hk", "payment_hk")), ("mart_inventory_status", ("rental_hk",)),
+    ("mart_inventory_status_any_return", ("rental_hk",)), ("mart_film_popularity", ("payment_hk", "inventory_hk")),
+    ("mart_revenue_by_store", ("payment_hk", "rental_hk")),
+])
+def test_rows_of_a_mart_meet_in_place(unbroadcast, monkeypatch, name, hashes):
+    """No table is shuffled by these hashes; where rows go to another's hash, it is made of their text on the way."""
+    from tidemark.operators import marts
+
+    made = []
+    monkeypatch.setattr(marts, "stored", lambda mart, _: made.append(mart) or mart)
+    frame = load_queries()[name].build(Tables(unbroadcast, PATH))
+    for df in made or [frame]:
+        df.collect()
+        text = plan(df).split("== Initial Plan ==")[0]
+        assert "REPARTITION_BY_COL" in text and not [h for h in hashes if f"Exchange hashpartitioning({h}" in text]
